@@ -35,14 +35,14 @@ def keyed(events: DataFrame) -> DataFrame:
     )
 
 
-def segments(events: DataFrame, slice_width: str = "10 minutes") -> DataFrame:
+def segments(events: DataFrame, slice_seconds: int = 600) -> DataFrame:
     """Fold keyed events into alert segments (dedup_key, segment): first and last event, count.
 
     A resolving event ends its segment. The segment number is the count of earlier resolving
     events of the key, taken slice by slice in event time (see ``count_before``), so one noisy
     key never has to be sorted by a single task.
     """
-    sliced = F.window("observed_at", slice_width).start
+    sliced = F.floor(F.unix_micros("observed_at") / F.lit(slice_seconds * 1_000_000))
     numbered = count_before(
         events, ["dedup_key"], ORDER, F.col("resolves"), sliced, "segment"
     )
@@ -106,9 +106,9 @@ def alerts_of(segment_rows: DataFrame, acknowledgements: DataFrame | None = None
 
 
 def episodes(
-    events: DataFrame, acknowledgements: DataFrame | None = None, slice_width: str = "10 minutes"
+    events: DataFrame, acknowledgements: DataFrame | None = None, slice_seconds: int = 600
 ) -> DataFrame:
-    return alerts_of(segments(keyed(events), slice_width), acknowledgements)
+    return alerts_of(segments(keyed(events), slice_seconds), acknowledgements)
 
 
 def listed(

@@ -39,13 +39,14 @@ def routed(
     arrival: list[str],
     *,
     accepted_before: DataFrame | None = None,
+    hopeless: Column | None = None,
     max_retries: int = vocab.MAX_RETRIES,
 ) -> DataFrame:
     """Add ``broken_rules``, ``fingerprint`` and ``outcome`` to every event.
 
     ``arrival`` orders the events and must be unique together with the fingerprint. The first
     valid event of a fingerprint is accepted unless ``accepted_before`` (the ledger, column
-    ``fingerprint``) already has it.
+    ``fingerprint``) already has it. ``hopeless`` marks failures no retry can mend.
 
     Winners are found by an aggregate and joined back on (fingerprint, arrival). A fingerprint
     copied a billion times is combined in the map tasks and its rows stay spread over the join,
@@ -72,6 +73,8 @@ def routed(
     for c in arrival:
         same = same & (F.col(c) == F.col(f"_w_{c}"))
     can_retry = (F.col("retry_count") >= 0) & (F.col("retry_count") < max_retries)
+    if hopeless is not None:
+        can_retry = can_retry & ~hopeless
     outcome = (
         F.when(F.col("_fp").isNotNull(), "accepted")
         .when(F.col("fingerprint").isNotNull(), "duplicate")
@@ -109,8 +112,10 @@ def retries(routed_events: DataFrame, failed_at: Column) -> DataFrame:
     )
 
 
-def payload() -> Column:
-    return F.to_json(F.struct(*EVENT_COLUMNS, "retry_count"))
+def payload(events: DataFrame) -> Column:
+    """The text an event arrived as, or its fields as JSON when it was not text."""
+    fields = F.to_json(F.struct(*EVENT_COLUMNS, "retry_count"))
+    return F.coalesce("raw", fields) if "raw" in events.columns else fields
 
 
 def dead_letters(
@@ -120,7 +125,7 @@ def dead_letters(
     topic: str = vocab.SOURCE_TOPIC,
 ) -> DataFrame:
     return routed_events.where(F.col("outcome") == "dlq").select(
-        payload().alias("original_payload"),
+        payload(routed_events).alias("original_payload"),
         F.lit("SchemaError").alias("error_type"),
         messages(rules, F.col("broken_rules")).alias("error_message"),
         "retry_count",
