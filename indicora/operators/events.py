@@ -102,13 +102,16 @@ def accepted(routed_events: DataFrame) -> DataFrame:
     return rows.select("fingerprint", *EVENT_COLUMNS)
 
 
-def retries(routed_events: DataFrame, failed_at: Column) -> DataFrame:
+def retries(
+    routed_events: DataFrame, failed_at: Column, keep: list[str] | None = None
+) -> DataFrame:
     """Events to try again, with the raised count and the time of the next attempt."""
     wait = F.make_dt_interval(secs=retry_delay_seconds(F.col("retry_count")).cast("decimal(18,6)"))
     return routed_events.where(F.col("outcome") == "retry").select(
         *EVENT_COLUMNS,
         (F.col("retry_count") + 1).alias("retry_count"),
         (failed_at + wait).alias("next_attempt_at"),
+        *(keep or []),
     )
 
 
