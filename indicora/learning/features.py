@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicora.functions.keys import table_digest
+from indicora.functions.numbers import rounded
 from indicora.operators.series import SERIES
 
 ANOMALY_FEATURES = ["value_zscore", "delta_zscore", "year_scaled", "has_previous_value"]
@@ -129,7 +130,7 @@ def drift_details(current: DataFrame, baseline: DataFrame) -> DataFrame:
     return now.join(then, "indicator", "left").select(
         "indicator",
         status.alias("status"),
-        F.round(shift, 4).alias("standardized_mean_shift"),
+        rounded(shift, 4).alias("standardized_mean_shift"),
         "baseline_count",
         "current_count",
         "baseline_latest_year",
@@ -176,11 +177,11 @@ def error_metrics(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     r2 = F.when(F.col("test_rows") > 1, F.coalesce(fit, flat))
     return rows.select(
         *(by or []),
-        F.round("_mae", 6).alias("mae"),
-        F.round("_rmse", 6).alias("rmse"),
-        F.round(r2, 6).alias("r2"),
-        F.round("_smape", 6).alias("smape_pct"),
-        F.round("_spread", 6).alias("residual_std"),
+        rounded("_mae", 6).alias("mae"),
+        rounded("_rmse", 6).alias("rmse"),
+        rounded(r2, 6).alias("r2"),
+        rounded("_smape", 6).alias("smape_pct"),
+        rounded("_spread", 6).alias("residual_std"),
         "test_rows",
     )
 

@@ -13,6 +13,7 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from indicora.functions.numbers import rounded
 from indicora.learning.features import FORECAST_NUMBERS
 from indicora.operators.series import SERIES
 from indicora.scaling import constant_table
@@ -75,7 +76,7 @@ class Forecaster:
             spark, {"feature": self.feature_names(), "importance": [float(w) for w in weights]}
         )
         return (
-            table.withColumn("importance", F.round("importance", 6))
+            table.withColumn("importance", rounded("importance", 6))
             .orderBy(F.col("importance").desc(), "feature")
             .limit(top)
         )
@@ -228,9 +229,9 @@ def forecasts(
     return state.select(*SERIES, F.inline("_out")).select(
         *SERIES,
         "year",
-        F.round("value", 4).alias("predicted_value"),
-        F.round("lower", 4).alias("lower"),
-        F.round("upper", 4).alias("upper"),
+        rounded("value", 4).alias("predicted_value"),
+        rounded("lower", 4).alias("lower"),
+        rounded("upper", 4).alias("upper"),
     )
 
 

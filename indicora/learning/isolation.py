@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from indicora.functions.numbers import rounded
 from indicora.functions.quantiles import exact_quantiles
 from indicora.learning.features import ANOMALY_FEATURES, calibrated, review_level
 
@@ -127,9 +128,9 @@ class IsolationModel:
         score = calibrated(raw, F.lit(self.q05), F.lit(self.q95))
         return (
             self.raw_scores(df)
-            .withColumn("decision_function", F.round(-raw, 6))
+            .withColumn("decision_function", rounded(-raw, 6))
             .withColumn("is_anomaly", flagged)
-            .withColumn("anomaly_score", F.round(score, 2))
+            .withColumn("anomaly_score", rounded(score, 2))
             .withColumn("review_level", review_level(score, flagged))
         )
 
@@ -176,6 +177,6 @@ def metrics(scored: DataFrame) -> DataFrame:
     return scored.agg(
         F.count(F.lit(1)).alias("training_rows"),
         F.count_if(F.col("is_anomaly")).alias("flagged_rows"),
-        F.round(F.avg(F.col("is_anomaly").cast("double")), 6).alias("flagged_rate"),
-        F.round(F.avg("decision_function"), 6).alias("mean_decision_function"),
+        rounded(F.avg(F.col("is_anomaly").cast("double")), 6).alias("flagged_rate"),
+        rounded(F.avg("decision_function"), 6).alias("mean_decision_function"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicora import vocab
+from indicora.functions.numbers import rounded
 
 REQUIRED = ["country", "year", "indicator", "value"]
 OPTIONAL_KEY = ["sub_indicator", "sex"]
@@ -163,7 +164,7 @@ def freshness(df: DataFrame, stamp: str, now: Column, by: list[str], limit_hours
     last = df.groupBy(*by).agg(F.max(stamp).alias("last_seen"))
     age = (F.unix_micros(now) - F.unix_micros(F.col("last_seen"))) / F.lit(3_600_000_000.0)
     return last.select(
-        *by, "last_seen", F.round(age, 4).alias("age_hours"), (age > limit_hours).alias("stale")
+        *by, "last_seen", rounded(age, 4).alias("age_hours"), (age > limit_hours).alias("stale")
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from indicora import vocab
 from indicora.functions import scoring
+from indicora.functions.numbers import rounded
 from indicora.operators.series import DIMENSIONS, SERIES, latest, tie_break
 from indicora.scaling import broadcast_within, constant_table
 
@@ -41,14 +42,14 @@ def score_components(df: DataFrame, directions: DataFrame) -> DataFrame:
     signed = F.when(F.col("direction") > 0, place).otherwise(1 - place)
     return spread.select(
         *SERIES,
-        F.round("latest_value", 3).alias("latest_value"),
-        F.round(scoring.clamp(signed * 100, 0.0, 100.0), 2).alias("risk_contribution"),
+        rounded("latest_value", 3).alias("latest_value"),
+        rounded(scoring.clamp(signed * 100, 0.0, 100.0), 2).alias("risk_contribution"),
     )
 
 
 def scores(components: DataFrame) -> DataFrame:
     summed = components.groupBy("country").agg(
-        F.round(F.avg("risk_contribution"), 2).alias("risk_score"),
+        rounded(F.avg("risk_contribution"), 2).alias("risk_score"),
         F.count(F.lit(1)).alias("indicators_used"),
     )
     return summed.withColumn("risk_level", scoring.band(F.col("risk_score"), 34, 67))
@@ -70,7 +71,7 @@ def comparative_scores(df: DataFrame, directions: DataFrame) -> DataFrame:
     spread = newest.withColumn("_low", F.min("value").over(peers)).withColumn(
         "_span", F.max("value").over(peers) - F.min("value").over(peers)
     )
-    part = F.round((F.col("value") - F.col("_low")) / F.col("_span") * 100, 1)
+    part = rounded((F.col("value") - F.col("_low")) / F.col("_span") * 100, 1)
     summed = (
         spread.where(F.col("_span") > 0)
         .groupBy("country")
@@ -78,7 +79,7 @@ def comparative_scores(df: DataFrame, directions: DataFrame) -> DataFrame:
     )
     return summed.select(
         "country",
-        F.round("_score", 1).alias("risk_score"),
+        rounded("_score", 1).alias("risk_score"),
         scoring.band(F.col("_score"), 33.3, 66.7).alias("risk_level"),
         "indicators_used",
     )
@@ -105,11 +106,11 @@ def disease_risk(scenarios: DataFrame, baselines: DataFrame, countries: DataFram
     return joined.select(
         *kept,
         F.element_at(names, F.col("disease")).alias("disease"),
-        F.round("_p", 4).alias("risk_probability"),
-        F.round(F.col("_p") * 100, 2).alias("risk_score"),
+        rounded("_p", 4).alias("risk_probability"),
+        rounded(F.col("_p") * 100, 2).alias("risk_score"),
         level.alias("risk_level"),
-        F.round(climate * 100, 2).alias("climate_suitability"),
-        F.round(history * 100, 2).alias("health_vulnerability"),
+        rounded(climate * 100, 2).alias("climate_suitability"),
+        rounded(history * 100, 2).alias("health_vulnerability"),
         scoring.weather_evidence(parts).alias("weather_evidence"),
         F.array(
             F.lit(vocab.DISEASE_ADVICE[0]),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from indicora.functions.numbers import rounded
 from indicora.functions.scoring import percent_change, trend_word
 from indicora.scaling import broadcast_within, keep_extreme, nulls_last_key
 
@@ -50,9 +51,9 @@ def peer_comparison(df: DataFrame) -> DataFrame:
     """Latest value of every country next to the spread of its peers."""
     newest = latest(df, SERIES).select(*SERIES, "year", "value")
     peers = newest.groupBy("indicator").agg(
-        F.round(F.avg("value"), 3).alias("average"),
-        F.round(F.min("value"), 3).alias("minimum"),
-        F.round(F.max("value"), 3).alias("maximum"),
+        rounded(F.avg("value"), 3).alias("average"),
+        rounded(F.min("value"), 3).alias("minimum"),
+        rounded(F.max("value"), 3).alias("maximum"),
         F.count(F.lit(1)).alias("countries"),
     )
     return newest.join(peers, "indicator")
@@ -89,8 +90,8 @@ def trends(df: DataFrame) -> DataFrame:
         "start_year",
         "end_year",
         trend_word(change, tolerance).alias("trend"),
-        F.round(change, 3).alias("absolute_change"),
-        F.round(percent_change(change, F.col("first_value")), 3).alias("percentage_change"),
+        rounded(change, 3).alias("absolute_change"),
+        rounded(percent_change(change, F.col("first_value")), 3).alias("percentage_change"),
     )
 
 
@@ -115,13 +116,13 @@ def yearly_jumps(df: DataFrame, threshold: float = 2.5) -> DataFrame:
     return moved.where(F.col("_z") >= threshold).select(
         *series,
         "year",
-        F.round("value", 3).alias("value"),
-        F.round("previous_value", 3).alias("previous_value"),
-        F.round("_change", 3).alias("absolute_change"),
-        F.round(percent_change(F.col("_change"), F.col("previous_value")), 2).alias(
+        rounded("value", 3).alias("value"),
+        rounded("previous_value", 3).alias("previous_value"),
+        rounded("_change", 3).alias("absolute_change"),
+        rounded(percent_change(F.col("_change"), F.col("previous_value")), 2).alias(
             "percentage_change"
         ),
-        F.round("_z", 2).alias("z_score"),
+        rounded("_z", 2).alias("z_score"),
         F.when(F.col("_z") >= threshold + 1, "high").otherwise("moderate").alias("severity"),
     )
 
@@ -167,11 +168,11 @@ def line_forecasts(df: DataFrame, directions: DataFrame, horizon: int = 3) -> Da
         .select(
             *SERIES,
             "year",
-            F.round(F.col("slope") * F.col("year") + F.col("intercept"), 3).alias("predicted_value"),
+            rounded(F.col("slope") * F.col("year") + F.col("intercept"), 3).alias("predicted_value"),
             F.when(rising, "increasing").when(falling, "decreasing").otherwise("stable").alias("trend"),
             implication.alias("implication"),
-            F.round("slope", 6).alias("annual_slope"),
-            F.round("r_squared", 4).alias("r_squared"),
+            rounded("slope", 6).alias("annual_slope"),
+            rounded("r_squared", 4).alias("r_squared"),
             confidence.alias("confidence"),
             F.col("points").alias("history_points"),
         )

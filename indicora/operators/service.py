@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicora import vocab
+from indicora.functions.numbers import rounded
 from indicora.functions.quantiles import exact_quantiles
 from indicora.scaling import constant_table
 
@@ -81,7 +82,7 @@ def window_health(
             F.col("w.start").alias("window_start"),
             "events",
             "errors",
-            F.round(rate, 6).alias("error_rate"),
+            rounded(rate, 6).alias("error_rate"),
             (rate > limit).alias("alerting"),
         )
     )

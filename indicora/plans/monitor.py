@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from indicora.functions.numbers import rounded
+
 # --- fixed values: wording and sources of generated events ---------------------------------------
-NOT_READY = "Processed data is unavailable or the batch pipeline is not ready."
+NOT_READY = "Processed ASEAN health data is unavailable or the batch pipeline is not ready."
 FAILED_EVENTS = "Streaming events failed and require retry or DLQ review."
 STALE = "The processed health dataset is older than the configured freshness threshold."
 BAD_QUALITY = "The processed health dataset failed one or more quality checks."
+QUALITY_SOURCE, JUMP_SOURCE = "phase3_quality_service", "phase3_anomaly_service"
 JUMP = "unusual year-over-year movement versus the historical series"
 
 _SHAPE = ["event_type", "source", "status", "message", "country", "metric", "value", "threshold"]
@@ -55,7 +58,7 @@ def stale_events(age: DataFrame, limit_hours: int = 720) -> DataFrame:
             "warning",
             STALE,
             metric=F.lit("dataset_age_hours"),
-            value=F.round("age_hours", 2),
+            value=rounded("age_hours", 2),
             threshold=F.lit(float(limit_hours)),
         )
     )
@@ -66,7 +69,7 @@ def quality_events(profile: DataFrame) -> DataFrame:
     return profile.where(F.col("status") != "pass").select(
         *_event(
             "data_quality",
-            "phase3_quality_service",
+            QUALITY_SOURCE,
             "warning",
             BAD_QUALITY,
             metric=F.lit("quality_failures"),
@@ -81,7 +84,7 @@ def jump_events(top_jumps: DataFrame) -> DataFrame:
     return top_jumps.where(F.col("severity").isin("high", "critical")).select(
         *_event(
             "disease_risk",
-            "phase3_anomaly_service",
+            JUMP_SOURCE,
             "warning",
             JUMP,
             country=F.col("country"),

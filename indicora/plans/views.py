@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicora import vocab
+from indicora.functions.numbers import rounded
 
 OPS_STATUS = {
     "error": "failed",
@@ -121,10 +122,10 @@ def sensor_replay(spark: SparkSession, folder: str) -> DataFrame:
     return once.withColumn("copy", F.explode(copies))
 
 
-def ops_events(spark: SparkSession, folder: str) -> DataFrame:
+def as_ops_events(events: DataFrame) -> DataFrame:
     """Operational signals of one type, so the alert key reduces to the source."""
     status = F.create_map(*[F.lit(x) for kv in OPS_STATUS.items() for x in kv])
-    return table(spark, folder, "events").select(
+    return events.select(
         "event_id",
         F.lit("api_health").alias("event_type"),
         F.concat(F.lit("svc"), (F.col("user_id") % 10).cast("string")).alias("source"),
@@ -139,6 +140,10 @@ def ops_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ops_events(spark: SparkSession, folder: str) -> DataFrame:
+    return as_ops_events(table(spark, folder, "events"))
+
+
 def typed_ops_events(spark: SparkSession, folder: str) -> DataFrame:
     """The same signals spread over all six event types."""
     types = F.array(*[F.lit(t) for t in vocab.EVENT_TYPES])
@@ -151,5 +156,5 @@ def wide_orders(spark: SparkSession, folder: str) -> DataFrame:
     rows = _grouped(spark, folder, F.year("o_orderdate")).groupBy("country")
     wide = rows.pivot("year", list(range(1995, 2002))).agg(F.sum("value"))
     return wide.select(
-        "country", *[F.round(F.col(str(y)), 2).cast("string").alias(str(y)) for y in range(1995, 2002)]
+        "country", *[rounded(F.col(str(y)), 2).cast("string").alias(str(y)) for y in range(1995, 2002)]
     )

@@ -15,7 +15,7 @@ def constant_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
 
 
 def plan_size_bytes(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_within(df: DataFrame, bounded_by: DataFrame) -> DataFrame:
