@@ -22,6 +22,7 @@ from indicora.session import scratch_path
 # --- fixed values: forest settings ----------------------------------------------------------
 TREES, DEPTH, LEAF_ROWS, SEED = 240, 14, 2, 42
 BINS = 256
+ROWS_PER_TASK = 20_000
 HISTORY = 5
 PLAUSIBLE_SPREADS, RESIDUAL_SHARE = 3.0, 0.25
 
@@ -47,7 +48,7 @@ def regressor(trees: int = TREES) -> RandomForestRegressor:
         minInstancesPerNode=LEAF_ROWS,
         featureSubsetStrategy="all",
         maxBins=BINS,
-        maxMemoryInMB=128,
+        maxMemoryInMB=48,  # per task
         cacheNodeIds=False,
         seed=SEED,
     )
@@ -114,7 +115,11 @@ class Forecaster:
 
 def train(frame: DataFrame, trees: int = TREES) -> Forecaster:
     preparation = preprocessing().fit(frame)
-    ready = preparation.transform(frame).select("features", "value").persist()
+    ready = preparation.transform(frame).select("features", "value")
+    # best splits are searched by as many tasks as the input has; a small frame that adaptive
+    # execution folded into one partition is spread over the cores again
+    tasks = max(frame.sparkSession.sparkContext.defaultParallelism, frame.count() // ROWS_PER_TASK)
+    ready = ready.repartition(tasks).persist()
     try:
         return Forecaster(preparation, regressor(trees).fit(ready))
     finally:

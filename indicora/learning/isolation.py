@@ -78,9 +78,12 @@ def _samples(frame: DataFrame, key: list[str], features: list[str], rows: int, t
     drawn = pool.select(*key, *features, F.explode(entered).alias("tree")).withColumn(
         "_draw", draw(F.col("tree"))
     )
+    # a stated number of tasks keeps adaptive execution from folding all trees into one
+    tasks = min(trees, frame.sparkSession.sparkContext.defaultParallelism * 2)
     ranked = Window.partitionBy("tree").orderBy("_draw", *key)
     return (
-        drawn.withColumn("_rank", F.row_number().over(ranked))
+        drawn.repartition(tasks, "tree")
+        .withColumn("_rank", F.row_number().over(ranked))
         .where(F.col("_rank") <= SAMPLE)
         .select("tree", "_rank", *features)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicora import vocab
+from indicora import schemas, vocab
 from indicora.functions.numbers import rounded
 
 OPS_STATUS = {
@@ -25,7 +25,7 @@ DIRECTIONS = {
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(schemas.GIVEN_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _orders_by_nation(spark: SparkSession, folder: str) -> DataFrame:

@@ -84,3 +84,36 @@ FILE_LEDGER = _struct(file_name=_S, checksum=_S, ingestion_timestamp=_TS, pipeli
 METRIC_LEDGER = _struct(
     pipeline_name=_S, metric_name=_S, metric_value=_D, metric_unit=_S, recorded_at=_TS
 )
+
+_NTZ = T.TimestampNTZType()
+
+# The given tables. Reading with a declared shape skips the footer-reading job of every scan.
+GIVEN_TABLES = {
+    "nation": _struct(n_nationkey=_I, n_name=_S, n_regionkey=_I),
+    "customer": _struct(c_custkey=_L, c_name=_S, c_nationkey=_I, c_acctbal=_D, c_mktsegment=_S),
+    "part": _struct(
+        p_partkey=_L, p_name=_S, p_brand=_S, p_type=_S, p_size=_I, p_retailprice=_D
+    ),
+    "orders": _struct(
+        o_orderkey=_L,
+        o_custkey=_L,
+        o_orderstatus=_S,
+        o_totalprice=_D,
+        o_orderdate=_NTZ,
+        o_orderpriority=_S,
+    ),
+    "lineitem": _struct(
+        l_orderkey=_L,
+        l_partkey=_L,
+        l_suppkey=_L,
+        l_linenumber=_I,
+        l_quantity=_D,
+        l_extendedprice=_D,
+        l_discount=_D,
+        l_tax=_D,
+        l_returnflag=_S,
+        l_linestatus=_S,
+        l_shipdate=_NTZ,
+    ),
+    "events": _struct(event_id=_L, ts=_NTZ, user_id=_L, event_type=_S, value=_D, props=_S),
+}

@@ -45,10 +45,15 @@ def file_name_of(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
-def _files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, uri, length) of every CSV; the content column is pruned, so nothing is read."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    return found.select("path", F.col("_metadata.file_path").alias("uri"), "length")
+def _listed(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]:
+    """(path, uri, length) of every CSV. Scans leave empty files out, a listing does not."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.csv")
+    store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [
+        (s.getPath().toString(), s.getPath().toUri().toString(), s.getLen())
+        for s in store.globStatus(pattern)
+    ]
+    return sorted(found, key=lambda f: file_name_of(f[0]))
 
 
 def _line_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,16 +87,19 @@ def _decoded(raw: bytes, charset: str) -> str:
 def manifest(spark: SparkSession, folder: str, exclude: frozenset[str] = frozenset()) -> Manifest:
     """Group the folder's files by layout. One small row per file reaches the driver, which
     lists the files for the scan anyway."""
-    listed = _files(spark, folder).join(_line_facts(spark, folder), "uri", "left")
+    listed = _listed(spark, folder)
+    if not listed:
+        raise FileNotFoundError(f"No CSV files were found inside: {folder}")
+    facts = {row["uri"]: row for row in _line_facts(spark, folder).collect()}
     result = Manifest()
-    for row in sorted(listed.collect(), key=lambda r: file_name_of(r["path"])):
-        path, name = row["path"], file_name_of(row["path"])
+    for path, uri, length in listed:
+        name, row = file_name_of(path), facts.get(uri)
         if name in exclude:
             continue
         result.files.append(name)
-        if row["length"] == 0:
+        if length == 0:
             result.rejected[name] = f"CSV file is empty: {name}"
-        elif row["header"] is None:
+        elif row is None or row["header"] is None:
             result.rejected[name] = f"No columns or records found in {name}"
         elif row["filled_lines"] < 2:
             result.rejected[name] = f"Dataset contains no rows: {name}"
@@ -101,8 +109,6 @@ def manifest(spark: SparkSession, folder: str, exclude: frozenset[str] = frozens
             header = tuple(next(csv.reader([first])))
             layout = Layout(header, charset, bool(row["multi_line"]))
             result.layouts.setdefault(layout, []).append(path)
-    if not result.files:
-        raise FileNotFoundError(f"No CSV files were found inside: {folder}")
     return result
 
 
@@ -141,12 +147,13 @@ def read_layout(spark: SparkSession, layout: Layout, paths: list[str]) -> tuple[
 def checksums(spark: SparkSession, folder: str) -> DataFrame:
     """(file_name, checksum). Exact SHA-256 of the bytes up to a size limit; beyond it, an
     order-free digest of the lines, so no file has to fit into one task's memory."""
-    files = _files(spark, folder)
     binary = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
     small = binary.where(F.col("length") <= _EXACT_CHECKSUM_LIMIT).select(
         "path", F.sha2("content", 256).alias("checksum")
     )
-    large = files.where(F.col("length") > _EXACT_CHECKSUM_LIMIT)
+    large = binary.where(F.col("length") > _EXACT_CHECKSUM_LIMIT).select(
+        "path", F.col("_metadata.file_path").alias("uri")
+    )  # the content column is pruned here
     lines = spark.read.option("pathGlobFilter", "*.csv").text(folder).select(
         F.xxhash64("value").cast("decimal(38,0)").alias("h"), F.col("_metadata.file_path").alias("uri")
     )
