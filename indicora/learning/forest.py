@@ -94,6 +94,7 @@ class Forecaster:
             F.col("nodeData.split.featureIndex").alias("split"),
             F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("cut"),
             F.col("nodeData.prediction").alias("value"),
+            (F.col("nodeData.split.numCategories") > 0).alias("named"),
         )
         stored = spark.read.parquet(f"{path}/data").groupBy("treeID").agg(
             F.array_sort(F.collect_list(node)).alias("nodes")
@@ -108,6 +109,8 @@ class Forecaster:
                     "split": np.asarray(columns[3], dtype=np.int64),
                     "cut": np.asarray([np.nan if c is None else c for c in columns[4]], dtype=float),
                     "value": np.asarray(columns[5], dtype=float),
+                    # one-hot columns are split by the one category that goes low
+                    "named": np.asarray(columns[6], dtype=bool),
                 }
             )
         return forest
@@ -139,7 +142,9 @@ def _tree_values(shared):
                 if not inner.any():
                     break
                 value = points[rows, np.where(inner, tree["split"][at], 0)]
-                step = np.where(value <= tree["cut"][at], tree["low"][at], tree["high"][at])
+                cut = tree["cut"][at]
+                goes_low = np.where(tree["named"][at], value == cut, value <= cut)
+                step = np.where(goes_low, tree["low"][at], tree["high"][at])
                 at = np.where(inner, step, at)
             values[:, slot] = tree["value"][at]
         clipped = np.clip(values, low.to_numpy()[:, None], high.to_numpy()[:, None])

@@ -460,7 +460,9 @@ def melt_years(spark, folder):
     )
     roles = etl.roles_of(text.unique_headers(wide.columns))
     long = etl.melted(cells, roles)
-    return long.select("country", "year", text.number(F.col("raw_value")).alias("value"))
+    return long.select("country", "year", text.number(F.col("raw_value")).alias("value")).where(
+        "value IS NOT NULL"
+    )
 
 
 @query
