@@ -42,14 +42,11 @@ def weather_score(parts: list[Column]) -> Column:
 
 
 def weather_evidence(parts: list[Column]) -> Column:
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(p >= limit, F.lit(text))
-                for (_, limit, text), p in zip(vocab.SUITABILITY_PARTS, parts)
-            ]
-        )
-    )
+    found = [
+        F.when(p >= limit, F.lit(text))
+        for (_, limit, text), p in zip(vocab.SUITABILITY_PARTS, parts)
+    ]
+    return F.array_except(F.array(*found), F.array(F.lit(None).cast("string")))
 
 
 def severity() -> Column:

@@ -190,7 +190,7 @@ def evidence() -> Column:
         line(label, F.try_element_at(F.col("metadata"), F.lit(name)))
         for name, label in vocab.EVIDENCE_LABELS
     ]
-    return F.array_compact(F.array(*facts, *extras))
+    return F.array_except(F.array(*facts, *extras), F.array(F.lit(None).cast("string")))
 
 
 def root_causes(events: DataFrame) -> DataFrame:

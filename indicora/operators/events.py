@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from indicora import vocab
 from indicora.functions.keys import event_fingerprint
 from indicora.functions.scoring import retry_delay_seconds
-from indicora.operators.contracts import Rule, broken, messages
+from indicora.operators.contracts import Rule, broken, messages, passes
 
 EVENT_COLUMNS = [
     "event_id",
@@ -56,13 +56,14 @@ def routed(
     marked = (
         events.withColumn("retry_count", retry_count)
         .withColumn("broken_rules", broken(rules))
-        .withColumn("fingerprint", F.when(F.size("broken_rules") == 0, event_fingerprint()))
+        .withColumn("fingerprint", F.when(passes(rules), event_fingerprint()))
     )
-    order = F.struct(*arrival)
+    order = F.struct(*arrival)  # one numeric column keeps the aggregate in hash tables
+    first = F.min(order) if len(arrival) > 1 else F.struct(F.min(arrival[0]).alias(arrival[0]))
     winners = (
         marked.where(F.col("fingerprint").isNotNull())
         .groupBy("fingerprint")
-        .agg(F.min(order).alias("_first"))
+        .agg(first.alias("_first"))
     )
     if accepted_before is not None:
         winners = winners.join(accepted_before.select("fingerprint"), "fingerprint", "left_anti")

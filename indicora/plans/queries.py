@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 NOW = "2024-02-01 00:00:00"
-ARRIVAL = ["copy", "seq"]
+ARRIVAL = ["arrival"]
 ONCE = ["seq"]
 
 

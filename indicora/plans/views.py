@@ -119,7 +119,9 @@ def sensor_replay(spark: SparkSession, folder: str) -> DataFrame:
     copies = F.when(F.col("seq") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
-    return once.withColumn("copy", F.explode(copies))
+    return once.withColumn("copy", F.explode(copies)).withColumn(
+        "arrival", F.col("seq") * 2 + F.col("copy")
+    )
 
 
 def as_ops_events(events: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from indicora.operators.contracts import Rule, sensor_event
 from indicora.operators.events import EVENT_COLUMNS
 
 _KNOWN = [*EVENT_COLUMNS, "retry_count"]
-ARRIVAL = ["file_path", "block", "row"]
+ARRIVAL = ["row"]
 
 
 def read_lines(spark: SparkSession, folder: str, *, stream: bool = False) -> DataFrame:
@@ -30,7 +30,10 @@ def read_lines(spark: SparkSession, folder: str, *, stream: bool = False) -> Dat
 
 
 def numbered(lines: DataFrame) -> DataFrame:
-    """Give lines of one scan their place in the file split."""
+    """Number the lines of one scan: increasing within a file split, unique over the scan.
+
+    The number follows from the scan's file splits, so a retried task gives the same one.
+    """
     return lines.withColumn("row", F.monotonically_increasing_id())
 
 
