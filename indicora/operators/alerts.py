@@ -35,16 +35,18 @@ def keyed(events: DataFrame) -> DataFrame:
     )
 
 
-def segments(events: DataFrame, slice_seconds: int = 600) -> DataFrame:
+def segments(events: DataFrame, slice_seconds: tuple[int, ...] = (3600, 10)) -> DataFrame:
     """Fold keyed events into alert segments (dedup_key, segment): first and last event, count.
 
     A resolving event ends its segment. The segment number is the count of earlier resolving
     events of the key, taken slice by slice in event time (see ``count_before``), so one noisy
     key never has to be sorted by a single task.
     """
-    sliced = F.floor(F.unix_micros("observed_at") / F.lit(slice_seconds * 1_000_000))
+    slices = [
+        F.floor(F.unix_micros("observed_at") / F.lit(width * 1_000_000)) for width in slice_seconds
+    ]
     numbered = count_before(
-        events, ["dedup_key"], ORDER, F.col("resolves"), sliced, "segment"
+        events, ["dedup_key"], ORDER, F.col("resolves"), slices, "segment"
     )
     order = F.struct(*ORDER)
     newest = F.struct(*LATEST_FIELDS)
@@ -106,9 +108,9 @@ def alerts_of(segment_rows: DataFrame, acknowledgements: DataFrame | None = None
 
 
 def episodes(
-    events: DataFrame, acknowledgements: DataFrame | None = None, slice_seconds: int = 600
+    events: DataFrame, acknowledgements: DataFrame | None = None
 ) -> DataFrame:
-    return alerts_of(segments(keyed(events), slice_seconds), acknowledgements)
+    return alerts_of(segments(keyed(events)), acknowledgements)
 
 
 def listed(

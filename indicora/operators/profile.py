@@ -94,39 +94,33 @@ def validation_report(
     nulls_in: list[str] | None = None,
     by: list[str] | None = None,
 ) -> DataFrame:
-    """Findings (rule, severity, n, detail), one row per failing rule and ``by`` group.
+    """Findings (rule, severity, n, detail) of a long table, per ``by`` group.
 
     Missing required columns are an error found without touching the data. ``countries`` may be
-    a one-column table instead of a list.
+    a one-column table instead of a list. Unsupported names get one row each: their number is
+    not bounded, so they are never gathered into one list.
     """
     by = by or []
     absent = sorted(set(REQUIRED) - set(df.columns))
     if absent:
         raise ValueError(f"Missing required columns: {absent}")
     key = key or natural_key(df)
-    nulls_in = nulls_in or df.columns
     any_null = F.lit(False)
-    for c in nulls_in:
+    for c in nulls_in or df.columns:
         any_null = any_null | F.col(c).isNull()
-    bad_year = (F.col("year") < vocab.FIRST_YEAR) | (F.col("year") > vocab.LAST_YEAR)
-    group_cols = list(dict.fromkeys([*by, *key]))
-    groups = df.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(any_null).alias("_nulls"),
+    groups = df.groupBy(*dict.fromkeys([*by, *key])).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(any_null).alias("_nulls")
     )
-    if isinstance(countries, DataFrame):
-        name = countries.columns[0]
-        listed = countries.select(F.col(name).alias("_known")).distinct()
-        groups = groups.join(listed, F.col("country") == F.col("_known"), "left")
-        unsupported: Column = F.col("_known").isNull()
-    else:
-        unsupported = ~F.coalesce(F.col("country").isin(countries), F.lit(False))
+    bad_year = (F.col("year") < vocab.FIRST_YEAR) | (F.col("year") > vocab.LAST_YEAR)
+
+    def total(col: Column) -> Column:
+        return F.coalesce(F.sum(col), F.lit(0))
+
     found = groups.groupBy(*by).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
-        F.coalesce(F.sum("_nulls"), F.lit(0)).alias("_nulls"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_copies"),
-        F.coalesce(F.sum(F.when(bad_year, F.col("_n"))), F.lit(0)).alias("_years"),
-        F.array_sort(F.collect_set(F.when(unsupported, F.col("country")))).alias("_names"),
+        total(F.col("_n")).alias("_rows"),
+        total(F.col("_nulls")).alias("_nulls"),
+        total(F.col("_n") - 1).alias("_copies"),
+        total(F.when(bad_year, F.col("_n"))).alias("_years"),
     )
 
     def finding(rule: str, level: str, n: Column, detail: Column) -> Column:
@@ -137,27 +131,32 @@ def validation_report(
             detail.alias("detail"),
         )
 
-    copies = F.concat(
-        F.lit("Dataset contains "), F.col("_copies").cast("string"), F.lit(" duplicate records.")
-    )
-    years = F.concat(
-        F.lit("Dataset contains "), F.col("_years").cast("string"),
-        F.lit(" records with invalid years."),
-    )
-    names = F.concat(
-        F.lit("Unsupported country names found: "), F.concat_ws(", ", F.col("_names"))
-    )
-    all_findings = F.array(
+    def counted(name: str, text: str) -> Column:
+        return F.concat(F.lit("Dataset contains "), F.col(name).cast("string"), F.lit(text))
+
+    numbers = F.array(
         finding(
-            "empty", "error", (F.col("_rows") == 0).cast("long"),
-            F.lit("Validation failed: dataset is empty."),
+            "empty", "error", F.col("_rows") == 0, F.lit("Validation failed: dataset is empty.")
         ),
         finding("nulls", "warning", F.col("_nulls"), F.lit("Dataset contains missing values.")),
-        finding("duplicates", "warning", F.col("_copies"), copies),
-        finding("years", "warning", F.col("_years"), years),
-        finding("countries", "warning", F.size("_names").cast("long"), names),
+        finding("duplicates", "warning", F.col("_copies"), counted("_copies", " duplicate records.")),
+        finding("years", "warning", F.col("_years"), counted("_years", " records with invalid years.")),
+    )
+    named = groups.where(F.col("country").isNotNull()).groupBy(*by, "country").agg(
+        F.sum("_n").alias("_n")
+    )
+    if isinstance(countries, DataFrame):
+        known = countries.select(F.col(countries.columns[0]).alias("country")).distinct()
+        named = named.join(known, "country", "left_anti")
+    else:
+        named = named.where(~F.col("country").isin(countries))
+    name = F.concat(F.lit("Unsupported country names found: "), F.col("country"))
+    unsupported = finding("countries", "warning", F.col("_n"), name)
+    return (
+        found.select(*by, F.inline(numbers))
+        .where("n > 0")
+        .unionByName(named.select(*by, F.inline(F.array(unsupported))))
     )
-    return found.select(*by, F.inline(all_findings)).where("n > 0")
 
 
 def freshness(df: DataFrame, stamp: str, now: Column, by: list[str], limit_hours: float) -> DataFrame:

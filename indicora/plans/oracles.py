@@ -377,11 +377,11 @@ ORACLES: dict[str, str] = {
             _violations("obs", {"value_present": "value IS NOT NULL"}, "anomaly_request"),
         ]
     ),
-    "validation_report": f"""WITH {OBS}, g AS (SELECT count(*) AS n FROM obs GROUP BY country, year, indicator),
-        bad AS (SELECT DISTINCT country FROM obs WHERE country NOT IN (SELECT n_name FROM nation WHERE n_regionkey < 4))
+    "validation_report": f"""WITH {OBS}, g AS (SELECT count(*) AS n FROM obs GROUP BY country, year, indicator)
         SELECT 'nulls' AS rule, 'warning' AS severity, count(*) AS n, 'Dataset contains missing values.' AS detail FROM obs HAVING count(*) > 0
         UNION ALL SELECT 'duplicates', 'warning', CAST(sum(n - 1) AS BIGINT), 'Dataset contains ' || CAST(CAST(sum(n - 1) AS BIGINT) AS VARCHAR) || ' duplicate records.' FROM g HAVING sum(n - 1) > 0
-        UNION ALL SELECT 'countries', 'warning', count(*), 'Unsupported country names found: ' || string_agg(country, ', ' ORDER BY country) FROM bad HAVING count(*) > 0""",
+        UNION ALL SELECT 'countries', 'warning', count(*), 'Unsupported country names found: ' || country FROM obs
+          WHERE country NOT IN (SELECT n_name FROM nation WHERE n_regionkey < 4) GROUP BY country""",
     "unsupported_names": f"""WITH {OBS} SELECT DISTINCT country FROM obs
         WHERE country NOT IN (SELECT n_name FROM nation WHERE n_regionkey < 4)""",
     "readiness": f"""WITH {QUALITY} SELECT record_count > 0 AS processed_data_available, required_field_failures = 0 AS required_fields_valid,

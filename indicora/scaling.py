@@ -57,31 +57,47 @@ def count_before(
     keys: list[str],
     order: list[str],
     flag: Column,
-    slice_by: Column,
+    slices: list[Column],
     name: str,
 ) -> DataFrame:
     """Running count of ``flag`` over strictly earlier rows of the key, in ``order``.
 
-    ``slice_by`` must not decrease along ``order``. Each (key, slice) is ranked on its own, and
-    the totals of earlier slices are added from a combined side table, so a key that holds a
-    third of all rows is spread over its slices instead of one task.
+    ``slices`` are nested, coarse to fine (say hour, then ten seconds); none may decrease along
+    ``order``. Rows are ranked only inside their finest slice. What lies before a slice is added
+    up level by level on combined totals: fine slices inside their coarse slice, coarse slices
+    inside the key. A key, or an hour of it, that holds a third of all rows is thus spread over
+    its slices, and no ordered window sees more than one slice's rows or one level's totals.
     """
-    sliced = df.withColumn("_slice", slice_by).withColumn("_flag", flag.cast("long"))
-    part = [*keys, "_slice"]
-    totals = sliced.groupBy(*part).agg(F.sum("_flag").alias("_in_slice"))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    carried = totals.select(
-        *[F.col(c).alias(f"_c_{c}") for c in part],
-        F.coalesce(F.sum("_in_slice").over(earlier), F.lit(0)).alias("_carried"),
-    )
+    names = [f"_s{i}" for i in range(len(slices))]
+    sliced = df.withColumns(dict(zip(names, slices))).withColumn("_flag", flag.cast("long"))
+
+    totals = sliced.groupBy(*keys, *names).agg(F.sum("_flag").alias("_n"))
+    before = None
+    for depth in range(len(names), 0, -1):
+        outer, level = [*keys, *names[: depth - 1]], names[depth - 1]
+        earlier = (
+            Window.partitionBy(*outer).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        )
+        offset = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+        placed = totals.select(*outer, level, offset.alias("_offset"))
+        before = placed if before is None else _added(before, placed, [*outer, level])
+        totals = totals.groupBy(*outer).agg(F.sum("_n").alias("_n"))
+
+    part = [*keys, *names]
     inside = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ranked = sliced.withColumn("_local", F.coalesce(F.sum("_flag").over(inside), F.lit(0)))
-    same = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in part]
-    condition = same[0]
-    for clause in same[1:]:
-        condition = condition & clause
-    return ranked.join(carried, condition).select(
-        *df.columns, (F.col("_local") + F.col("_carried")).alias(name)
-    )
+    joined = _null_safe_join(ranked, before, part)
+    return joined.select(*df.columns, (F.col("_local") + F.col("_offset")).alias(name))
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    condition = F.lit(True)
+    for c in on:
+        condition = condition & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return left.join(renamed, condition).drop(*[f"_r_{c}" for c in on])
+
+
+def _added(fine: DataFrame, coarse: DataFrame, on: list[str]) -> DataFrame:
+    joined = _null_safe_join(fine, coarse.withColumnRenamed("_offset", "_more"), on)
+    return joined.withColumn("_offset", F.col("_offset") + F.col("_more")).drop("_more")

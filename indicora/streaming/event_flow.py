@@ -30,6 +30,7 @@ _DEAD = (
     "original_payload string, error_type string, error_message string, retry_count int, "
     "failed_at timestamp, source_topic string, batch_id long"
 )
+_DAYS_LISTED = 400  # beyond it the touched days are given to the scan as a range
 _SCHEMAS = {"accepted": _ACCEPTED, "duplicate": _ACCEPTED, "retry": _RETRY, "dlq": _DEAD}
 
 
@@ -40,16 +41,17 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).option("basePath", path).parquet(path)
 
 
-def _ledger(spark: SparkSession, root: str, batch_id: int, days: tuple[str, str]) -> DataFrame:
+def _ledger(spark: SparkSession, root: str, batch_id: int, days: list[str]) -> DataFrame:
     """Fingerprints accepted by other batches on the days this batch touches.
 
     The fingerprint covers the event time, so equal fingerprints share their day and only those
     partitions can matter. Rows of the same batch come from an earlier attempt and are ignored.
     """
-    known = table(spark, root, "accepted")
-    return known.where(
-        (F.col("batch_id") != batch_id) & F.col("event_day").between(*days)
-    ).select("fingerprint")
+    day = F.col("event_day")
+    listed = len(days) <= _DAYS_LISTED
+    touched = day.isin(days) if listed else day.between(days[0], days[-1])
+    known = table(spark, root, "accepted").where((F.col("batch_id") != batch_id) & touched)
+    return known.select("fingerprint")
 
 
 def route_batch(
@@ -59,14 +61,14 @@ def route_batch(
     spark = lines.sparkSession
     failed_at = F.current_timestamp() if failed_at is None else failed_at
     parsed = json_lines.parsed(lines).withColumn("event_day", events.event_day(F.col("timestamp")))
-    days = parsed.agg(F.min("event_day"), F.max("event_day")).first()
-    if days[0] is None:
+    days = sorted(r[0] for r in parsed.select("event_day").distinct().collect())
+    if not days:
         return
     marked = events.routed(
         parsed,
         rules,
         json_lines.ARRIVAL,
-        accepted_before=_ledger(spark, root, batch_id, (days[0], days[1])),
+        accepted_before=_ledger(spark, root, batch_id, days),
         hopeless=F.col("malformed"),
     ).persist()
     try:

@@ -89,9 +89,9 @@ def _told(segments):
     )
 
 
-@pytest.mark.parametrize("seconds", [60, 600, 10_000_000])
+@pytest.mark.parametrize("seconds", [(600,), (3600, 60), (7200, 3600, 10)])
 def test_segments_match_simulation(spark, seconds):
-    rows = _random_events(600, seconds)
+    rows = _random_events(600, seconds[0])
     found = _told(alerts.segments(alerts.keyed(_frame(spark, rows)), seconds))
     assert found == _simulated(rows)
 
@@ -141,7 +141,7 @@ def test_root_cause(spark):
 
 def test_running_count_is_sliced(spark):
     df = spark.range(1000).select(F.lit("k").alias("k"), "id", (F.col("id") % 3 == 0).alias("hit"))
-    got = count_before(df, ["k"], ["id"], F.col("hit"), F.floor(F.col("id") / 50), "n")
+    got = count_before(df, ["k"], ["id"], F.col("hit"), [F.floor(F.col("id") / 200), F.floor(F.col("id") / 20)], "n")
     assert all(r["n"] == (r["id"] + 2) // 3 for r in got.collect())
 
 
