@@ -23,18 +23,26 @@ def exact_quantiles(
 ) -> DataFrame:
     """Columns ``by`` + one column per named probability.
 
-    1. Equal values are counted together (combined inside the map tasks).
-    2. Counts per magnitude bucket give each bucket's starting rank; a group has a bounded
+    1. Counts per magnitude bucket give each bucket's starting rank; a group has a bounded
        number of buckets whatever its row count.
-    3. Only buckets that contain a wanted rank are ranked value by value.
+    2. Only buckets that contain a wanted rank are ranked value by value, equal values together.
+
+    Without ``by`` the wanted buckets are at most two per probability: they are broadcast, and
+    only the few rows inside them are shuffled. With ``by`` the number of groups is not bounded,
+    so equal values are counted first and the counts are joined by shuffle.
     """
-    counted = (
+    values = (
         df.where(F.col(value).isNotNull() & ~F.isnan(value))
-        .groupBy(*by, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*by, F.col(value).alias("_v"))
         .withColumn("_b", magnitude_bucket(F.col("_v")))
     )
-    buckets = counted.groupBy(*by, "_b").agg(F.sum("_n").alias("_bn"))
+    key = [*by, "_b"]
+    rows = F.count(F.lit(1))
+    if by:
+        values = values.groupBy(*key, "_v").agg(rows.alias("_n"))
+        buckets = values.groupBy(*key).agg(F.sum("_n").alias("_bn"))
+    else:
+        buckets = values.groupBy(*key).agg(rows.alias("_bn"))
     whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     placed = buckets.select(
@@ -61,9 +69,14 @@ def exact_quantiles(
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
     inside = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    if by:
+        candidates = values.join(wanted, same)
+    else:
+        found = values.join(F.broadcast(wanted), same).groupBy("_b", "_v")
+        carried = [F.first(c).alias(c) for c in ("_start", "_total", "_ranks")]
+        candidates = found.agg(rows.alias("_n"), *carried)
     spotted = (
-        counted.join(wanted, same)
-        .withColumn("_from", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        candidates.withColumn("_from", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
         .withColumn(
             "_hit",
             F.filter("_ranks", lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_n"))),

@@ -348,9 +348,9 @@ ORACLES: dict[str, str] = {
           WHEN watched_indicators > 0 THEN 'watch' ELSE 'stable' END AS status FROM c""",
     "quantile_calibration": """SELECT round(quantile_cont(l_extendedprice, 0.05), 4) AS q05,
         round(quantile_cont(l_extendedprice, 0.5), 4) AS q50, round(quantile_cont(l_extendedprice, 0.95), 4) AS q95 FROM lineitem""",
-    "calibrated_scores": """WITH m AS (SELECT event_type, quantile_cont(value, 0.05) AS a, quantile_cont(value, 0.95) AS b FROM events GROUP BY 1),
+    "calibrated_scores": """WITH m AS (SELECT quantile_cont(value, 0.05) AS a, quantile_cont(value, 0.95) AS b FROM events),
         s AS (SELECT event_type, value > b AS flagged, least(greatest((value - a) / greatest(b - a, 1e-9) * 100, 0.0), 100.0) AS sc
-          FROM events JOIN m USING (event_type))
+          FROM events, m)
         SELECT event_type, CASE WHEN flagged OR sc >= 75 THEN 'high' WHEN sc >= 45 THEN 'review' ELSE 'low' END AS review_level,
           count(*) AS n, round(avg(sc), 4) AS mean_score FROM s GROUP BY 1, 2""",
     "error_metrics": f"WITH {FRAME} SELECT {_METRICS} FROM frame",
