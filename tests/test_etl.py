@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from indicora.operators import series
-from indicora.plans import etl
+from indicora.plans import etl, jobs
 from indicora.sources import csv_folder, tables
 
 
@@ -174,3 +174,21 @@ def test_raw_goldens(spark):
     sums = dict(table.groupBy("indicator").agg(F.round(F.sum("value"), 3)).collect())
     assert sums["life_expentancy_rate"] == 13960.2 and sums["death_by_hiv_aids"] == 335100.0
     table.unpersist()
+
+
+def test_batch_job(spark, tmp_path):
+    folder, root = tmp_path / "raw", str(tmp_path / "lake")
+    folder.mkdir()
+    (folder / "tb_prevalence.csv").write_text("Country,2000,2001\nLaos,1,2\nViet Nam,3,\n")
+    (folder / "broken.csv").write_text("Place,2000\nLaos,1\n")
+    assert jobs.load_indicators(spark, str(folder), root) is not None
+    assert jobs.load_indicators(spark, str(folder), root) is None
+    (folder / "tb_prevalence.csv").write_text("Country,2000,2001\nLaos,1,2\nViet Nam,3,4\n")
+    assert jobs.load_indicators(spark, str(folder), root) is not None
+    table = jobs.current_long_table(spark, root)
+    assert table.count() == 4 and table.where("indicator = 'tb_prevalence' AND value = 4").count() == 1
+    runs = spark.read.parquet(f"{root}/pipeline_runs")
+    assert runs.count() == 2 and {r["status"] for r in runs.collect()} == {"completed"}
+    assert sorted(r["record_count_valid"] for r in runs.collect()) == [3, 4]
+    with pytest.raises(FileNotFoundError):
+        jobs.current_long_table(spark, str(tmp_path / "none"))
