@@ -198,9 +198,18 @@ def output_order() -> list[Column]:
 
 
 def load_report(spark: SparkSession, loaded: Loaded) -> DataFrame:
-    """(file_name, status, rows, reason): one row per file, including the ones left out."""
-    kept = loaded.usable.groupBy("file_name", *KEY).agg(F.count(F.lit(1)).alias("_n"))
-    per_file = kept.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows"))
+    """(file_name, status, rows, rows_with_nulls, reason): one row per file, also rejected ones.
+
+    Cleaned and deduplicated rows can only still lack optional cells, so the null count is the
+    one validation warning left; it comes from the same pass as the row count.
+    """
+    first = keep_extreme(loaded.usable, ["file_name", *KEY], F.struct(*PLACE))
+    any_null = F.lit(False)
+    for c in LONG:
+        any_null = any_null | F.col(c).isNull()
+    per_file = first.groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(any_null).alias("rows_with_nulls")
+    )
     listed = constant_table(
         spark,
         {
@@ -214,6 +223,7 @@ def load_report(spark: SparkSession, loaded: Loaded) -> DataFrame:
         "file_name",
         F.when(reason.isNull(), "processed").otherwise("skipped").alias("status"),
         F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.coalesce("rows_with_nulls", F.lit(0)).alias("rows_with_nulls"),
         reason.alias("reason"),
     )
 

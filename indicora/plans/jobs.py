@@ -31,8 +31,7 @@ def load_indicators(
 
     Returns the folder of the new table version, or None when nothing changed. The long table is
     partitioned by indicator and sorted inside its files; readers switch over when the write has
-    committed. Written besides it: the file report, the validation findings, the run record and
-    the newly processed files.
+    committed. Written besides it: the file report, the run record and the newly processed files.
     """
     run = uuid.uuid4().hex
     fresh = etl.unseen_files(csv_folder.checksums(spark, folder), _ledger(spark, root))
@@ -46,7 +45,6 @@ def load_indicators(
         loaded.table.sortWithinPartitions(*etl.output_order()), f"{root}/long", ["indicator"]
     )
     _noted(etl.load_report(spark, loaded), root, "file_report", run)
-    _noted(etl.load_warnings(loaded), root, "findings", run)
 
     report = spark.read.parquet(f"{root}/file_report/run={run}")
     counted = report.agg(

@@ -192,3 +192,11 @@ def test_batch_job(spark, tmp_path):
     assert sorted(r["record_count_valid"] for r in runs.collect()) == [3, 4]
     with pytest.raises(FileNotFoundError):
         jobs.current_long_table(spark, str(tmp_path / "none"))
+
+
+def test_report_counts_nulls_like_the_validation(spark, tmp_path):
+    got = _load(spark, tmp_path, a="Country,2000,2001\nLaos,1,2\n", b="Country,Unit,Indicators,2000M\nLaos,u,i,3\n")
+    report = {r["file_name"]: r["rows_with_nulls"] for r in etl.load_report(spark, got).collect()}
+    assert report == {"a.csv": 2, "b.csv": 0}
+    found = {r["file_name"]: r["n"] for r in etl.load_warnings(got).where("rule = 'nulls'").collect()}
+    assert found == {"a.csv": 2}
