@@ -96,7 +96,11 @@ def trends(df: DataFrame) -> DataFrame:
 
 
 def yearly_jumps(df: DataFrame, threshold: float = 2.5) -> DataFrame:
-    """Year-over-year movements that are unusual for their own series."""
+    """Year-over-year movements that are unusual for their own series.
+
+    ``df`` holds one row per (country, indicator, sub-indicator, sex, year), as the load job
+    guarantees, so a series is bounded by its years.
+    """
     if not 1.0 <= threshold <= 10.0:
         raise ValueError("threshold must be between 1 and 10")
     series = [c for c in DIMENSIONS if c in df.columns]
