@@ -57,7 +57,7 @@ def _listed(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]:
 
 
 def _line_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """Per file, from one splittable pass over its lines: charset, quoting, row count, header."""
+    """Per file, from one splittable pass over its lines: charset, quoting, rows, width, header."""
     lines = spark.read.option("pathGlobFilter", "*.csv").text(folder).select(
         "value",
         F.col("_metadata.file_path").alias("uri"),
@@ -68,11 +68,13 @@ def _line_facts(spark: SparkSession, folder: str) -> DataFrame:
     undefined = F.hex(F.col("value").cast("binary")).rlike(f"^(..)*({_UNDEFINED_1252})")
     valid = F.is_valid_utf8("value")
     filled = F.length(F.trim("value")) > 0
+    cells = F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), ","))
     return lines.groupBy("uri").agg(
         F.count_if(filled).alias("filled_lines"),
         F.bool_and(valid).alias("utf8"),
         F.bool_and(valid | ~undefined).alias("windows"),
         F.bool_or(quotes % 2 == 1).alias("multi_line"),
+        F.max(cells).alias("widest"),
         F.min_by(
             F.when((F.col("block") == 0) & filled, F.col("value").cast("binary")),
             F.when((F.col("block") == 0) & filled, F.col("row")),
@@ -107,6 +109,9 @@ def manifest(spark: SparkSession, folder: str, exclude: frozenset[str] = frozens
             charset = "UTF-8" if row["utf8"] else "windows-1252" if row["windows"] else "ISO-8859-1"
             first = _decoded(bytes(row["header"]), charset)
             header = tuple(next(csv.reader([first])))
+            if not row["multi_line"] and row["widest"] > len(header):
+                result.rejected[name] = f"Could not parse CSV structure in {name}"
+                continue
             layout = Layout(header, charset, bool(row["multi_line"]))
             result.layouts.setdefault(layout, []).append(path)
     return result

@@ -104,11 +104,13 @@ def test_rejects_and_report(spark, tmp_path):
         novalue="Country,Year,Word\nLaos,2000,abc\n",
         two="Country,Year,A b,C d\nLaos,2000,1,2\n",
         foreign="Country,2000\nFrance,1\n",
+        ragged="Country,2000\nLaos,1\nLaos,2,3\n",
+        quoted='Country,Indicators,2000\nLaos,"a, b",3\n',
     )
     report = {r["file_name"]: r for r in etl.load_report(spark, got).collect()}
     assert report["good.csv"]["status"] == "processed" and report["good.csv"]["rows"] == 1
     assert {n for n, r in report.items() if r["status"] == "skipped"} == {
-        f"{n}.csv" for n in ("empty", "header", "nocountry", "noyear", "novalue", "two", "foreign")
+        f"{n}.csv" for n in ("empty", "header", "nocountry", "noyear", "novalue", "two", "foreign", "ragged")
     }
     assert "Multiple possible value columns" in report["two.csv"]["reason"]
 
