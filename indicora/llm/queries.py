@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicora.llm import exact_dedup, line_dedup, packing, substring_dedup
-from indicora.llm.common import table
+from indicora.llm import exact_dedup, license_scan, line_dedup, packing, secret_scan, substring_dedup, toxicity
+from indicora.llm.common import in_fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,3 +41,24 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     cut = substring_dedup.without_repeated_passages(docs)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(~in_fold("doc_id", 3, 1)).select("doc_id", "toxic")
+    scores = toxicity.scored(docs, toxicity.trained(docs, labels), 0.7)
+    return scores.select("doc_id", in_fold("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan.scanned(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.scanned(docs, secret_scan.trained(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
