@@ -61,51 +61,60 @@ def _emitted(parts, hashes, ids, runs, places, docs, flat, offsets) -> pa.Record
     ], ["part", "hashes", "ids", "runs", "places", "doc", "starts"])
 
 
-def _windows(width: int, parts: int):
+def _windows(width: int, parts: int, most: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             gathered: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            n = 0
             for slice_, data, offsets in blocks(batch):
                 ids = slice_.column("_doc").to_numpy()
                 start, end, doc = word_spans(data, offsets)
-                whole = inside_text(doc, width)
-                if not whole.any():
-                    continue
-                hashes = window_hashes(span_hashes(data, start, end), width)[whole]
-                number = np.flatnonzero(whole)
-                own = doc[number]
-                place = (number - np.searchsorted(doc, own)).astype(np.int32)
-                gathered.append((hashes, ids[own], place))
-            if not gathered:
-                continue
-            hashes, ids, place = (np.concatenate(x) for x in zip(*gathered))
-            del gathered
-            order = np.argsort(hashes, kind="stable")
-            sorted_ = hashes[order]
-            same = np.r_[False, sorted_[1:] == sorted_[:-1]]
-            twins = np.flatnonzero(same | np.r_[same[1:], False])
-            gone = _later(sorted_[twins], ids[order[twins]], place[order[twins]])
-            later = order[twins[gone]]
-            docs, flat, ends = _by_document(ids[later], place[later])
-            stay = np.ones(len(hashes), bool)
-            stay[later] = False
-            hashes, ids, place = hashes[stay], ids[stay], place[stay]
-            # a stable order by range keeps each range's ids and places in the order of the text
-            part = ((hashes >> U64(32)) * U64(parts) >> U64(32)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            hashes, ids, place, part = hashes[order], ids[order], place[order], part[order]
-            cuts = np.searchsorted(part, np.arange(parts + 1))
-            used = np.flatnonzero(np.diff(cuts))
-            rows = []
-            for a, b in zip(cuts[used], cuts[used + 1]):
-                i = ids[a:b]
-                first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
-                rows.append((hashes[a:b].tobytes(), planes(i[first]), planes(np.diff(np.r_[first, b - a]).astype(np.int32)), planes(place[a:b])))
-            yield _emitted([*used.tolist(), *(docs % parts).tolist()], *zip(*rows), docs, flat, ends)
+                whole = np.flatnonzero(inside_text(doc, width))
+                if len(whole):
+                    own = doc[whole]
+                    place = (whole - np.searchsorted(doc, own)).astype(np.int32)
+                    gathered.append((window_hashes(span_hashes(data, start, end), width)[whole], ids[own], place))
+                    n += len(whole)
+                if n >= most:
+                    yield _combined(*(np.concatenate(x) for x in zip(*gathered)), parts)
+                    gathered, n = [], 0
+            if gathered:
+                yield _combined(*(np.concatenate(x) for x in zip(*gathered)), parts)
 
     return run
 
 
+def _combined(hashes: np.ndarray, ids: np.ndarray, place: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Some windows: the starts of those with an earlier twin among them, and the others, packed."""
+    later = _with_earlier_twin(hashes, lambda at: (ids[at], place[at]))
+    docs, flat, ends = _by_document(ids[later], place[later])
+    stay = np.ones(len(hashes), bool)
+    stay[later] = False
+    hashes, ids, place = hashes[stay], ids[stay], place[stay]
+    # a stable order by range keeps each range's ids and places in the order of the text
+    part = ((hashes >> U64(32)) * U64(parts) >> U64(32)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    used = np.flatnonzero(np.diff(cuts))
+    rows = []
+    for a, b in zip(cuts[used], cuts[used + 1]):
+        at = order[a:b]
+        i = ids[at]
+        first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+        rows.append((hashes[at].tobytes(), planes(i[first]), planes(np.diff(np.r_[first, b - a]).astype(np.int32)), planes(place[at])))
+    return _emitted([*used.tolist(), *(docs % parts).tolist()], *zip(*rows), docs, flat, ends)
+
+
+def _with_earlier_twin(hashes: np.ndarray, located) -> np.ndarray:
+    """Numbers of the windows that have a twin of smaller (id, place)."""
+    order = np.argsort(hashes, kind="stable")
+    same = np.diff(hashes[order]) == 0
+    twins = order[np.r_[False, same] | np.r_[same, False]] if len(hashes) else order
+    if not len(twins):
+        return twins
+    return twins[_later(hashes[twins], *located(twins))]
+
+
 def _later(hashes: np.ndarray, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Which of some windows have a twin of smaller (id, place)."""
     order = np.lexsort((place, ids, hashes))
@@ -129,15 +138,9 @@ def _earlier_twins(batches: Batches) -> Batches:
     while packs:
         _, rows = packs.popitem()
         hashes = np.concatenate([np.frombuffer(h, U64) for h, *_ in rows])
-        order = np.argsort(hashes, kind="stable")
-        sorted_ = hashes[order]
-        same = np.r_[False, sorted_[1:] == sorted_[:-1]]
-        twins = np.flatnonzero(same | np.r_[same[1:], False])
-        if not len(twins):
-            continue
-        ids = np.concatenate([np.repeat(unplaned(i, np.int64), unplaned(r, np.int32)) for _, i, r, _ in rows])[order[twins]]
-        place = np.concatenate([unplaned(p, np.int32) for *_, p in rows])[order[twins]]
-        gone = _later(sorted_[twins], ids, place)
+        ids = np.concatenate([np.repeat(unplaned(i, np.int64), unplaned(r, np.int32)) for _, i, r, _ in rows])
+        place = np.concatenate([unplaned(p, np.int32) for *_, p in rows])
+        gone = _with_earlier_twin(hashes, lambda at: (ids[at], place[at]))
         docs, flat, ends = _by_document(ids[gone], place[gone])
         for a in range(0, len(docs), 20_000):
             b = min(len(docs), a + 20_000)
@@ -169,18 +172,18 @@ def _cut(width: int):
     return run
 
 
-def without_repeated_passages(docs: DataFrame, width: int = 20, parts: int | None = None) -> DataFrame:
+def without_repeated_passages(docs: DataFrame, width: int = 20, parts: int | None = None, most: int = 1 << 20) -> DataFrame:
     """The rows of ``docs`` with their texts cut, and ``n_words`` (before), ``n_removed``.
 
-    ``parts``: ranges of hashes, each of which one task holds in memory at a time; unless given, as
-    many as the session has shuffle partitions.
+    ``parts``: ranges of hashes, each of which one task holds in memory at a time; unless given,
+    twice as many as the session has shuffle partitions. ``most``: windows a task combines at a time.
     """
     spark = docs.sparkSession
-    parts = parts or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.drop("_doc", "_starts")
     keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_doc"), "text")
     found = (
-        keyed.mapInArrow(_windows(width, parts), PACKED)
+        keyed.mapInArrow(_windows(width, parts, most), PACKED)
         .repartition(parts, "part")
         .mapInArrow(_earlier_twins, "doc long, starts array<int>")
         .groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("starts").alias("_starts"))
