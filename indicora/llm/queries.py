@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicora.llm import exact_dedup, license_scan, line_dedup, packing, secret_scan, substring_dedup, toxicity
+from indicora.llm import decontamination, exact_dedup, license_scan, line_dedup, packing, secret_scan, substring_dedup, toxicity
 from indicora.llm.common import in_fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secret_scan.scanned(docs, secret_scan.trained(docs))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
