@@ -43,3 +43,20 @@ SELECT c.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS
        sha256(coalesce(k.body, '')) AS kept_sha256
 FROM cut c LEFT JOIN kept k USING (doc_id)
 """
+
+ORACLES["op8_ngram_jaccard_join"] = f"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOW}), '{_WORD}') AS words FROM documents),
+sets AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+         ELSE [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)] END)) AS shingles FROM cut),
+classes AS (SELECT shingles, min(doc_id) AS class_id, count(*) AS n_copies, len(shingles) AS n FROM sets GROUP BY shingles),
+flat AS (SELECT class_id, n, unnest(shingles) AS shingle FROM classes),
+links AS (SELECT a.class_id AS a, b.class_id AS b FROM flat a JOIN flat b USING (shingle) WHERE a.class_id <> b.class_id
+          GROUP BY a.class_id, b.class_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+degree AS (SELECT a AS class_id, count(*) AS n_links FROM links GROUP BY a),
+reach(class_id, root) AS (SELECT class_id, class_id FROM classes
+                          UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.class_id),
+groups AS (SELECT class_id, min(root) AS group_id FROM reach GROUP BY class_id)
+SELECT s.doc_id, c.class_id, g.group_id, c.n_copies, coalesce(d.n_links, 0) AS n_links, s.doc_id = g.group_id AS kept
+FROM sets s JOIN classes c USING (shingles) JOIN groups g USING (class_id) LEFT JOIN degree d USING (class_id)
+"""

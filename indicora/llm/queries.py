@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicora.llm import decontamination, exact_dedup, license_scan, line_dedup, packing, secret_scan, substring_dedup, toxicity
+from indicora.llm import decontamination, exact_dedup, license_scan, line_dedup, ngram_join, packing, secret_scan, substring_dedup, toxicity
 from indicora.llm.common import in_fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.joined(table(spark, folder, "documents"))
