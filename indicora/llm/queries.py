@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicora.llm import decontamination, exact_dedup, license_scan, line_dedup, ngram_join, packing, secret_scan, substring_dedup, toxicity
+from indicora.llm import decontamination, exact_dedup, language_model, license_scan, line_dedup, ngram_join, packing, secret_scan, substring_dedup, toxicity
 from indicora.llm.common import in_fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,9 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.joined(table(spark, folder, "documents"))
+
+
+@query
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return language_model.scored(docs, in_fold("doc_id", 7, 2))
