@@ -7,5 +7,6 @@ Nothing outside this folder imports it. Rules shared by all operators:
   sorts before every other.
 * Columns an operator does not know are carried along or left out, never interpreted. Where an
   operator adds a column whose name the input already bears, the operator's column replaces it.
+  Names that begin with two underscores are the operators' own.
 * An empty table gives an empty result of the same shape.
 """

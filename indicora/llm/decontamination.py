@@ -210,7 +210,7 @@ def _matches(shared):
                 owner = np.searchsorted(begins, np.arange(len(doc)), "right") - 1
                 whole = place + Q <= begins[owner[place] + 1]
                 starts = _stretches(place[whole], which[whole], owner, items)
-                ids = slice_.column("_doc").to_pylist()
+                ids = slice_.column("__doc").to_pylist()
                 rows = []
                 for d, t, edits, lo, hi, share in _verified(doc, begins, starts, items):
                     text = data[offsets[d] : offsets[d + 1]]
@@ -240,7 +240,7 @@ def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list[i
 def matches(docs: DataFrame, benchmark: DataFrame, min_chars: int = 60, max_edits: float = 0.09, block_bytes: int = 1 << 21) -> DataFrame:
     """One row per document and item that it holds a stretch of."""
     spark = docs.sparkSession
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_doc"), "text")
+    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
     out = None
     for ids, texts in item_blocks(benchmark, block_bytes):
         shared = spark.sparkContext.broadcast(indexed(ids, texts, min_chars, max_edits))
@@ -255,5 +255,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_chars: int = 60, max_edit
 
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` without documents that hold a stretch of an item."""
-    held = matches(docs, benchmark, **how).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_held")).distinct()
-    return docs.join(held, F.coalesce(docs["doc_id"], F.lit(NULL_ID)) == F.col("_held"), "left_anti")
+    held = matches(docs, benchmark, **how).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__held")).distinct()
+    return docs.join(held, F.coalesce(docs["doc_id"], F.lit(NULL_ID)) == F.col("__held"), "left_anti")

@@ -59,7 +59,7 @@ def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
 def _packed_hashes(segments: int, min_chars: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            ids = batch.column("_doc").to_pylist()
+            ids = batch.column("__doc").to_pylist()
             seen: dict[int, set[int]] = {}
             for doc, text in zip(ids, _texts(batch)):
                 seen.setdefault(doc, set()).update(xxhash.xxh3_64_intdigest(k) for k in line_keys(text, min_chars) if k is not None)
@@ -119,7 +119,7 @@ def _suspects(shared, segments: int, min_chars: int):
         filters = {k: np.unpackbits(np.frombuffer(v, np.uint8)).view(bool) for k, v in shared.value.items()}
         for batch in batches:
             docs, keys, places = [], [], []
-            for doc, text in zip(batch.column("_doc").to_pylist(), _texts(batch)):
+            for doc, text in zip(batch.column("__doc").to_pylist(), _texts(batch)):
                 at: dict[bytes, list[int]] = {}
                 for i, k in enumerate(line_keys(text, min_chars)):
                     if k is not None:
@@ -141,37 +141,42 @@ def _suspects(shared, segments: int, min_chars: int):
                 pa.array([docs[i] for i in found], pa.int64()),
                 pa.array([keys[i] for i in found], pa.binary()),
                 lists([p for i in found for p in places[i]], ends, pa.int32()),
-            ], ["_doc", "line_key", "at"])
+            ], ["__doc", "line_key", "at"])
 
     return run
 
 
-def _cut(batches: Batches) -> Batches:
-    for batch in batches:
-        texts, lines, dropped = [], [], []
-        for text, at in zip(_texts(batch), batch.column("_at").to_pylist()):
-            parts = (text or b"").split(b"\n")
-            gone = set(at or ())
-            texts.append(b"\n".join(p for i, p in enumerate(parts) if i not in gone) if gone else text or b"")
-            lines.append(len(parts))
-            dropped.append(len(gone))
-        out = extended(batch.drop_columns(["_at", "_doc"]), text=pa.array(texts, pa.binary()).cast(pa.string()), n_lines=pa.array(lines, pa.int64()), n_dropped=pa.array(dropped, pa.int64()))
-        yield out
+def _cut(counts: bool):
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            texts, lines, dropped = [], [], []
+            for text, at in zip(_texts(batch), batch.column("__at").to_pylist()):
+                parts = (text or b"").split(b"\n")
+                gone = set(at or ())
+                texts.append(b"\n".join(p for i, p in enumerate(parts) if i not in gone) if gone else text or b"")
+                lines.append(len(parts))
+                dropped.append(len(gone))
+            added = {"text": pa.array(texts, pa.binary()).cast(pa.string())}
+            if counts:
+                added |= {"n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())}
+            yield extended(batch.drop_columns(["__at", "__doc"]), **added)
+
+    return run
 
 
-def without_repeated_lines(docs: DataFrame, min_chars: int = 10, twice_bytes: int = 32 << 20) -> DataFrame:
-    """The rows of ``docs`` with their texts cut, and ``n_lines`` (before), ``n_dropped``."""
+def without_repeated_lines(docs: DataFrame, min_chars: int = 10, twice_bytes: int = 32 << 20, counts: bool = True) -> DataFrame:
+    """The rows of ``docs`` with their texts cut, and with ``counts`` ``n_lines`` (before), ``n_dropped``."""
     spark = docs.sparkSession
-    docs = docs.drop("_doc", "_at")
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_doc"), "text")
+    docs = docs.drop("__doc", "__at")
+    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
     segments, filters = repeated_line_filter(keyed, min_chars, twice_bytes)
     shared = spark.sparkContext.broadcast(filters)
-    suspects = stored(keyed.mapInArrow(_suspects(shared, segments, min_chars), "_doc long, line_key binary, at array<int>"), "line-suspects")
-    repeats = suspects.groupBy("line_key").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).where("_first < _last")
+    suspects = stored(keyed.mapInArrow(_suspects(shared, segments, min_chars), "__doc long, line_key binary, at array<int>"), "line-suspects")
+    repeats = suspects.groupBy("line_key").agg(F.min("__doc").alias("_first"), F.max("__doc").alias("_last")).where("_first < _last")
     drops = (
-        suspects.join(repeats, "line_key").where("_doc > _first")
-        .groupBy("_doc").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("_at"))
+        suspects.join(repeats, "line_key").where("__doc > _first")
+        .groupBy("__doc").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("__at"))
     )
-    rows = docs.withColumn("_doc", F.coalesce("doc_id", F.lit(NULL_ID))).join(drops, "_doc", "left")
-    schema = with_columns(docs.drop("text").schema, text="string", n_lines="bigint", n_dropped="bigint")
-    return rows.mapInArrow(_cut, schema)
+    rows = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(NULL_ID))).join(drops, "__doc", "left")
+    added = {"n_lines": "bigint", "n_dropped": "bigint"} if counts else {}
+    return rows.mapInArrow(_cut(counts), with_columns(docs.drop("text").schema, text="string", **added))

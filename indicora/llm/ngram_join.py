@@ -83,7 +83,7 @@ def _described(batches: Batches) -> Batches:
             sig = signatures(flat, ends)
             digests = [hashlib.blake2b(flat[a:b].tobytes(), digest_size=16).digest() for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays([
-                slice_.column("_doc"), pa.array(digests, pa.binary()), pa.array(np.diff(ends), pa.int64()), pa.array([s.tobytes() for s in sig], pa.binary()),
+                slice_.column("__doc"), pa.array(digests, pa.binary()), pa.array(np.diff(ends), pa.int64()), pa.array([s.tobytes() for s in sig], pa.binary()),
             ], ["doc", "digest", "n", "sig"])
 
 
@@ -312,7 +312,7 @@ def joined(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, par
     """Per row: doc_id, class_id, group_id, n_copies, n_links, kept."""
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_doc"), "text")
+    texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
     rows = stored(texts.mapInArrow(_described, "doc long, digest binary, n long, sig binary"), "shingle-rows")
     classes = stored(rows.groupBy("digest").agg(F.min("doc").alias("rep"), F.count("*").alias("n_copies"), F.min("n").alias("n"), F.any_value("sig").alias("sig")), "shingle-classes")
     ties = (
@@ -323,7 +323,7 @@ def joined(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, par
     clusters = components(ties)
     members = clusters.withColumnRenamed("node", "rep").join(classes.select("rep", "n", "sig"), "rep")
     placed = _placed(members, threshold)
-    full = placed.join(texts, placed["rep"] == texts["_doc"]).drop("_doc")
+    full = placed.join(texts, placed["rep"] == texts["__doc"]).drop("__doc")
     sets = full.mapInArrow(_sets, ", ".join(f"{n} {t}" for n, t in placed.dtypes) + ", shingles binary")
     solved = stored(
         _in_cells(sets).repartition(parts, *CELL).sortWithinPartitions(*CELL, "side", "rep")
@@ -342,5 +342,5 @@ def joined(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, par
 
 def one_per_group(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` whose document stands for its group."""
-    kept = joined(docs, **how).where("kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_kept")).distinct()
-    return docs.join(kept, F.coalesce(docs["doc_id"], F.lit(NULL_ID)) == F.col("_kept"), "left_semi")
+    kept = joined(docs, **how).where("kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__kept")).distinct()
+    return docs.join(kept, F.coalesce(docs["doc_id"], F.lit(NULL_ID)) == F.col("__kept"), "left_semi")

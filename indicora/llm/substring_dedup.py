@@ -67,7 +67,7 @@ def _windows(width: int, parts: int, most: int):
             gathered: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             n = 0
             for slice_, data, offsets in blocks(batch):
-                ids = slice_.column("_doc").to_numpy()
+                ids = slice_.column("__doc").to_numpy()
                 start, end, doc = word_spans(data, offsets)
                 whole = np.flatnonzero(inside_text(doc, width))
                 if len(whole):
@@ -150,7 +150,7 @@ def _earlier_twins(batches: Batches) -> Batches:
 def _cut(width: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            starts = batch.column("_starts")
+            starts = batch.column("__starts")
             texts, words, removed = [], [], []
             for row, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
                 parts = (text or b"").split()
@@ -167,7 +167,7 @@ def _cut(width: int):
                 keep = np.cumsum(steps)[: len(parts)] <= 0
                 texts.append(b" ".join([parts[i] for i in np.flatnonzero(keep).tolist()]))
                 removed.append(int(len(parts) - keep.sum()))
-            yield extended(batch.drop_columns(["_starts", "_doc"]), text=pa.array(texts, pa.binary()).cast(pa.string()), n_words=pa.array(words, pa.int64()), n_removed=pa.array(removed, pa.int64()))
+            yield extended(batch.drop_columns(["__starts", "__doc"]), text=pa.array(texts, pa.binary()).cast(pa.string()), n_words=pa.array(words, pa.int64()), n_removed=pa.array(removed, pa.int64()))
 
     return run
 
@@ -180,13 +180,13 @@ def without_repeated_passages(docs: DataFrame, width: int = 20, parts: int | Non
     """
     spark = docs.sparkSession
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.drop("_doc", "_starts")
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_doc"), "text")
+    docs = docs.drop("__doc", "__starts")
+    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
     found = (
         keyed.mapInArrow(_windows(width, parts, most), PACKED)
         .repartition(parts, "part")
         .mapInArrow(_earlier_twins, "doc long, starts array<int>")
-        .groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("starts").alias("_starts"))
+        .groupBy(F.col("doc").alias("__doc")).agg(F.collect_list("starts").alias("__starts"))
     )
-    rows = docs.withColumn("_doc", F.coalesce("doc_id", F.lit(NULL_ID))).join(found, "_doc", "left")
+    rows = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(NULL_ID))).join(found, "__doc", "left")
     return rows.mapInArrow(_cut(width), with_columns(docs.drop("text").schema, text="string", n_words="bigint", n_removed="bigint"))

@@ -138,25 +138,56 @@ def trained(docs: DataFrame, labels: DataFrame, per_class: int = 5000) -> Machin
     return fit([np.frombuffer(r.terms, np.uint32).astype(np.int64) for r in rows], np.array([r.toxic for r in rows], float), weight / weight.mean())
 
 
-def scored(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` with ``score`` and ``predicted``."""
-    used = np.flatnonzero(machine.weights.astype(bool) | machine.vectors.any(axis=1))
-    shared = docs.sparkSession.sparkContext.broadcast((machine.bias, used, machine.weights[used], machine.vectors[used]))
+def _scores(shared):
+    """Scores of the texts of a batch, in a task."""
 
-    def run(batches: Batches) -> Batches:
+    def start():
         bias, used, weights, vectors = shared.value
-        place = np.full(1 << PLACE_BITS, -1, np.int32)
+        place = np.full(1 << PLACE_BITS, -1, np.int64)
         place[used] = np.arange(len(used))
-        own = Machine(bias, weights, vectors)
-        for batch in batches:
+        machine = Machine(bias, weights, vectors)
+
+        def score(batch: pa.RecordBatch) -> np.ndarray:
             flat, offsets = hashed_terms(batch)
             at = place[flat]
-            kept = np.r_[0, np.cumsum(at >= 0)][offsets]
-            scores = np.concatenate([np.zeros(0)] + [own.scores(at[offsets[a] : offsets[b]][at[offsets[a] : offsets[b]] >= 0], kept[a : b + 1] - kept[a]) for a, b in _groups(len(batch))])
+            kept, at = np.r_[0, np.cumsum(at >= 0)][offsets], at[at >= 0]
+            return np.concatenate([np.zeros(0), *(machine.scores(at[kept[a] : kept[b]], kept[a : b + 1] - kept[a]) for a, b in _groups(len(batch)))])
+
+        return score
+
+    return start
+
+
+def _sent(docs: DataFrame, machine: Machine):
+    """What a task needs: the terms learned, at most as many as there are places."""
+    used = np.flatnonzero(machine.weights.astype(bool) | machine.vectors.any(axis=1))
+    return docs.sparkSession.sparkContext.broadcast((machine.bias, used, machine.weights[used], machine.vectors[used]))
+
+
+def scored(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` with ``score`` and ``predicted``."""
+    start = _scores(_sent(docs, machine))
+
+    def run(batches: Batches) -> Batches:
+        score = start()
+        for batch in batches:
+            scores = score(batch)
             yield extended(batch, score=pa.array(scores, pa.float64()), predicted=pa.array((scores >= threshold).astype(np.int32), pa.int32()))
 
     return docs.mapInArrow(run, with_columns(docs.schema, score="double", predicted="int"))
 
 
+def accepted(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold."""
+    start = _scores(_sent(docs, machine))
+
+    def run(batches: Batches) -> Batches:
+        score = start()
+        for batch in batches:
+            yield batch.filter(pa.array(score(batch) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _groups(n: int, size: int = 500):
     return [(a, min(n, a + size)) for a in range(0, n, size)]
