@@ -4,8 +4,8 @@ Every window of ``width`` consecutive words gets a 64-bit Rabin-Karp hash. Tasks
 of some megabytes of text first: of equal ones only the earliest goes on, so a passage that a third
 of all documents hold arrives once per block of text and not once per document. The survivors are
 packed column by column (hashes, runs of ids, places), dealt by ranges of the hash, and each range
-tells which windows have an earlier twin. The starts found meet at their document, overlapping
-windows merge into maximal intervals, and those are cut.
+tells which windows have an earlier twin. The starts found are dealt by document, packed as well;
+overlapping or adjoining windows merge into maximal intervals, and those are cut.
 
 Contract of the results:
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,9 @@ from indicora.llm.common import Batches, extended, lists, with_columns
 from indicora.llm.textbytes import U64, blocks, inside_text, span_hashes, window_hashes, word_spans
 
 NULL_ID = -(1 << 63)
-PACKED = "part int, hashes binary, ids binary, runs binary, places binary, doc long, starts array<int>"
+#: Windows of one range of hashes, or, without hashes, starts to remove for one share of the ids:
+#: ids, how many of the places belong to each, places.
+PACKED = "part int, hashes binary, ids binary, runs binary, places binary"
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -42,23 +45,33 @@ def unplaned(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-def _by_document(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list, np.ndarray]:
-    """Starts gathered for each document: ids, flat starts, offsets."""
-    order = np.lexsort((at, doc))
-    doc, at = doc[order], at[order]
-    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-    return doc[first], at, np.r_[first, len(doc)]
+def _packs(part: np.ndarray, ids: np.ndarray, place: np.ndarray, parts: int, hashes: np.ndarray | None = None) -> list[tuple]:
+    """Windows packed by part; within each, rows keep their order."""
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    rows = []
+    for p in np.flatnonzero(np.diff(cuts)).tolist():
+        at = order[cuts[p] : cuts[p + 1]]
+        own = ids[at]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        runs = np.diff(np.r_[first, len(at)]).astype(np.int32)
+        rows.append((p, hashes[at].tobytes() if hashes is not None else None, planes(own[first]), planes(runs), planes(place[at])))
+    return rows
+
+
+def _unpacked(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.concatenate([np.repeat(unplaned(i, np.int64), unplaned(r, np.int32)) for *_, i, r, _ in rows])
+    return ids, np.concatenate([unplaned(p, np.int32) for *_, p in rows])
+
 
+def _removals(ids: np.ndarray, place: np.ndarray, parts: int) -> list[tuple]:
+    order = np.lexsort((place, ids))
+    return _packs(ids[order] % parts, ids[order], place[order], parts)
 
-def _emitted(parts, hashes, ids, runs, places, docs, flat, offsets) -> pa.RecordBatch:
-    n, m = len(hashes), len(docs)
-    none = [None] * m
-    return pa.RecordBatch.from_arrays([
-        pa.array(parts, pa.int32()), pa.array([*hashes, *none], pa.binary()), pa.array([*ids, *none], pa.binary()),
-        pa.array([*runs, *none], pa.binary()), pa.array([*places, *none], pa.binary()),
-        pa.array([*[None] * n, *docs.tolist()], pa.int64()),
-        lists(flat.astype(np.int32), np.r_[np.zeros(n, np.int64), offsets]),
-    ], ["part", "hashes", "ids", "runs", "places", "doc", "starts"])
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["part", "hashes", "ids", "runs", "places"])
 
 
 def _windows(width: int, parts: int, most: int):
@@ -86,33 +99,24 @@ def _windows(width: int, parts: int, most: int):
 
 def _combined(hashes: np.ndarray, ids: np.ndarray, place: np.ndarray, parts: int) -> pa.RecordBatch:
     """Some windows: the starts of those with an earlier twin among them, and the others, packed."""
-    later = _with_earlier_twin(hashes, lambda at: (ids[at], place[at]))
-    docs, flat, ends = _by_document(ids[later], place[later])
+    later = _with_earlier_twin(hashes, ids, place)
+    gone = _removals(ids[later], place[later], parts)
     stay = np.ones(len(hashes), bool)
     stay[later] = False
     hashes, ids, place = hashes[stay], ids[stay], place[stay]
-    # a stable order by range keeps each range's ids and places in the order of the text
-    part = ((hashes >> U64(32)) * U64(parts) >> U64(32)).astype(np.int32)
-    order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    used = np.flatnonzero(np.diff(cuts))
-    rows = []
-    for a, b in zip(cuts[used], cuts[used + 1]):
-        at = order[a:b]
-        i = ids[at]
-        first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
-        rows.append((hashes[at].tobytes(), planes(i[first]), planes(np.diff(np.r_[first, b - a]).astype(np.int32)), planes(place[at])))
-    return _emitted([*used.tolist(), *(docs % parts).tolist()], *zip(*rows), docs, flat, ends)
+    # ranges of the hash; each keeps its ids and places in the order of the text
+    part = ((hashes >> U64(32)) * U64(parts) >> U64(32)).astype(np.int64)
+    return _batch([*_packs(part, ids, place, parts, hashes), *gone])
 
 
-def _with_earlier_twin(hashes: np.ndarray, located) -> np.ndarray:
+def _with_earlier_twin(hashes: np.ndarray, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Numbers of the windows that have a twin of smaller (id, place)."""
     order = np.argsort(hashes, kind="stable")
     same = np.diff(hashes[order]) == 0
     twins = order[np.r_[False, same] | np.r_[same, False]] if len(hashes) else order
     if not len(twins):
         return twins
-    return twins[_later(hashes[twins], *located(twins))]
+    return twins[_later(hashes[twins], ids[twins], place[twins])]
 
 
 def _later(hashes: np.ndarray, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -125,53 +129,65 @@ def _later(hashes: np.ndarray, ids: np.ndarray, place: np.ndarray) -> np.ndarray
     return out
 
 
-def _earlier_twins(batches: Batches) -> Batches:
-    """Of one partition of ranges: the starts of windows that have an earlier twin, by document."""
-    packs: dict[int, list] = {}
-    for batch in batches:
-        starts = batch.filter(batch.column("hashes").is_null())
-        if len(starts):
-            yield starts.select(["doc", "starts"])
-        rows = batch.filter(batch.column("hashes").is_valid())
-        for part, h, i, r, p in zip(*(rows.column(c).to_pylist() for c in ("part", "hashes", "ids", "runs", "places"))):
-            packs.setdefault(part, []).append((h, i, r, p))
-    while packs:
-        _, rows = packs.popitem()
-        hashes = np.concatenate([np.frombuffer(h, U64) for h, *_ in rows])
-        ids = np.concatenate([np.repeat(unplaned(i, np.int64), unplaned(r, np.int32)) for _, i, r, _ in rows])
-        place = np.concatenate([unplaned(p, np.int32) for *_, p in rows])
-        gone = _with_earlier_twin(hashes, lambda at: (ids[at], place[at]))
-        docs, flat, ends = _by_document(ids[gone], place[gone])
-        for a in range(0, len(docs), 20_000):
-            b = min(len(docs), a + 20_000)
-            yield pa.RecordBatch.from_arrays([pa.array(docs[a:b], pa.int64()), lists(flat[ends[a] : ends[b]], ends[a : b + 1] - ends[a], pa.int32())], ["doc", "starts"])
-
-
-def _cut(width: int):
+def _earlier_twins(parts: int):
+    """Of one partition of ranges: the starts of windows that have an earlier twin."""
+
     def run(batches: Batches) -> Batches:
+        held: dict[int, list[tuple]] = {}
         for batch in batches:
-            starts = batch.column("__starts")
-            texts, words, removed = [], [], []
-            for row, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
-                parts = (text or b"").split()
-                words.append(len(parts))
-                lists_ = starts[row].values
-                if lists_ is None or not len(parts):
-                    texts.append(b" ".join(parts))
-                    removed.append(0)
-                    continue
-                at = np.concatenate([x.values.to_numpy() for x in lists_])
-                steps = np.zeros(len(parts) + width + 1, np.int32)
-                np.add.at(steps, at, 1)
-                np.add.at(steps, at + width, -1)
-                keep = np.cumsum(steps)[: len(parts)] <= 0
-                texts.append(b" ".join([parts[i] for i in np.flatnonzero(keep).tolist()]))
-                removed.append(int(len(parts) - keep.sum()))
-            yield extended(batch.drop_columns(["__starts", "__doc"]), text=pa.array(texts, pa.binary()).cast(pa.string()), n_words=pa.array(words, pa.int64()), n_removed=pa.array(removed, pa.int64()))
+            known = batch.column("hashes").is_null()
+            yield batch.filter(known)
+            for row in zip(*(c.to_pylist() for c in batch.filter(pc.invert(known)).columns)):
+                held.setdefault(row[0], []).append(row)
+        while held:
+            _, rows = held.popitem()
+            ids, place = _unpacked(rows)
+            gone = _with_earlier_twin(np.concatenate([np.frombuffer(h, U64) for _, h, *_ in rows]), ids, place)
+            yield _batch(_removals(ids[gone], place[gone], parts))
 
     return run
 
 
+def _intervals(width: int):
+    """Of one partition of ids: maximal intervals of words to remove, by document."""
+
+    def run(batches: Batches) -> Batches:
+        held: dict[int, list[tuple]] = {}
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(row[0], []).append(row)
+        while held:
+            _, rows = held.popitem()
+            ids, place = _unpacked(rows)
+            order = np.lexsort((place, ids))
+            ids, place = ids[order], place[order]
+            fresh = np.r_[True, (ids[1:] != ids[:-1]) | (place[1:] > place[:-1] + width)]
+            begin = np.flatnonzero(fresh)
+            end = place[np.r_[begin[1:], len(place)] - 1] + width
+            own = ids[begin]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            bounds = np.r_[first, len(own)]
+            yield pa.RecordBatch.from_arrays([pa.array(own[first]), lists(place[begin], bounds), lists(end.astype(np.int32), bounds)], ["__doc", "__begins", "__ends"])
+
+    return run
+
+
+def _cut(batches: Batches) -> Batches:
+    for batch in batches:
+        texts, words, removed = [], [], []
+        for text, begins, ends in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("__begins").to_pylist(), batch.column("__ends").to_pylist()):
+            parts = (text or b"").split()
+            kept, at = [], 0
+            for a, b in zip(begins or (), ends or ()):
+                kept += parts[at:a]
+                at = b
+            kept += parts[at:]
+            texts.append(b" ".join(kept))
+            words.append(len(parts))
+            removed.append(len(parts) - len(kept))
+        yield extended(batch.drop_columns(["__begins", "__ends", "__doc"]), text=pa.array(texts, pa.binary()).cast(pa.string()), n_words=pa.array(words, pa.int64()), n_removed=pa.array(removed, pa.int64()))
+
+
 def without_repeated_passages(docs: DataFrame, width: int = 20, parts: int | None = None, most: int = 1 << 20) -> DataFrame:
     """The rows of ``docs`` with their texts cut, and ``n_words`` (before), ``n_removed``.
 
@@ -180,13 +196,11 @@ def without_repeated_passages(docs: DataFrame, width: int = 20, parts: int | Non
     """
     spark = docs.sparkSession
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.drop("__doc", "__starts")
     keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
     found = (
         keyed.mapInArrow(_windows(width, parts, most), PACKED)
-        .repartition(parts, "part")
-        .mapInArrow(_earlier_twins, "doc long, starts array<int>")
-        .groupBy(F.col("doc").alias("__doc")).agg(F.collect_list("starts").alias("__starts"))
+        .repartition(parts, "part").mapInArrow(_earlier_twins(parts), PACKED).drop("hashes")
+        .repartition(parts, "part").mapInArrow(_intervals(width), "__doc long, __begins array<int>, __ends array<int>")
     )
     rows = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(NULL_ID))).join(found, "__doc", "left")
-    return rows.mapInArrow(_cut(width), with_columns(docs.drop("text").schema, text="string", n_words="bigint", n_removed="bigint"))
+    return rows.mapInArrow(_cut, with_columns(docs.drop("text").schema, text="string", n_words="bigint", n_removed="bigint"))
