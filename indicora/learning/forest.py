@@ -48,7 +48,7 @@ def regressor(trees: int = TREES) -> RandomForestRegressor:
         minInstancesPerNode=LEAF_ROWS,
         featureSubsetStrategy="all",
         maxBins=BINS,
-        maxMemoryInMB=48,  # per task
+        maxMemoryInMB=512,  # per task: few passes, and bounded
         cacheNodeIds=False,
         seed=SEED,
     )

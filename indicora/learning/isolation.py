@@ -19,7 +19,6 @@ from indicora.learning.features import ANOMALY_FEATURES, calibrated, review_leve
 
 TREES, SAMPLE, CONTAMINATION, SEED = 260, 256, 0.03, 42
 _TREE = "tree int, split array<int>, cut array<double>, low array<int>, high array<int>, length array<double>"
-_RANGE = 2**31
 
 
 def expected_length(rows: np.ndarray | float) -> np.ndarray:
@@ -56,33 +55,53 @@ def _grow(points: np.ndarray, rng: np.random.Generator, limit: int) -> dict[str,
     return nodes
 
 
-def _samples(frame: DataFrame, key: list[str], features: list[str], rows: int, trees: int) -> DataFrame:
-    """(tree, features...): per tree the ``SAMPLE`` rows with the smallest row-and-tree hash.
-
-    Hashes make the draw the same on every retry. Large inputs are first thinned to a pool by
-    one hash per row, and a row is only multiplied for the trees whose draw it may enter.
+def _smallest(features: list[str], trees: int):
+    """Of a partition, for each tree the ``SAMPLE`` rows whose draw is smallest."""
+    def run(frames):
+        best = [np.zeros((0, len(features)))] * trees
+        hashes = [np.zeros(0, np.uint64)] * trees
+        for frame in frames:
+            h = frame["_h"].to_numpy().view(np.uint64)
+            rows = frame[features].to_numpy(dtype=float)
+            for tree in range(trees):
+                draw = _draw(h, tree)
+                near = np.argpartition(draw, SAMPLE)[:SAMPLE] if len(draw) > SAMPLE else np.arange(len(draw))
+                draw = np.r_[_draw(hashes[tree], tree), draw[near]]
+                order = np.argsort(draw, kind="stable")[:SAMPLE]
+                hashes[tree] = np.r_[hashes[tree], h[near]][order]
+                best[tree] = np.concatenate([best[tree], rows[near]])[order]
+        for tree in range(trees):
+            if len(hashes[tree]):
+                out = pd.DataFrame(best[tree], columns=features)
+                out.insert(0, "_draw", (_draw(hashes[tree], tree) >> np.uint64(1)).astype(np.int64))
+                out.insert(0, "tree", tree)
+                yield out
+
+    return run
+
+
+def _draw(h: np.ndarray, tree: int) -> np.ndarray:
+    """A tree's own order of the rows, from their hashes."""
+    x = (h ^ np.uint64(tree + 1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def _samples(frame: DataFrame, key: list[str], features: list[str], trees: int) -> DataFrame:
+    """(tree, _draw, features...): per tree the ``SAMPLE`` rows with the smallest draw.
+
+    The subsample per tree is the method's own setting. Every partition first keeps its own
+    smallest, whatever the size of the input, so at most ``SAMPLE`` rows per tree and partition
+    are shuffled; draws follow from the key, so a retry repeats them.
     """
-    pool_target = trees * SAMPLE
-    pool = frame
-    pool_rows = rows
-    if rows > 2 * pool_target:
-        share = int(_RANGE * (2 * pool_target / rows))
-        pool = frame.where(F.pmod(F.xxhash64(*key, F.lit(SEED)), F.lit(_RANGE)) < share)
-        pool_rows = 2 * pool_target
-    reach = min(_RANGE, int(_RANGE * 3 * SAMPLE / max(pool_rows, 1)) + 1)
-
-    def draw(tree: Column) -> Column:
-        return F.pmod(F.xxhash64(*key, F.lit(SEED), tree), F.lit(_RANGE))
-
-    entered = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < reach)
-    drawn = pool.select(*key, *features, F.explode(entered).alias("tree")).withColumn(
-        "_draw", draw(F.col("tree"))
-    )
+    hashed = frame.select(F.xxhash64(*key, F.lit(SEED)).alias("_h"), *[F.col(c).cast("double") for c in features])
+    shape = ", ".join(["tree int", "_draw long", *[f"`{c}` double" for c in features]])
+    own = hashed.mapInPandas(_smallest(features, trees), shape)
     # a stated number of tasks keeps adaptive execution from folding all trees into one
     tasks = min(trees, frame.sparkSession.sparkContext.defaultParallelism * 2)
-    ranked = Window.partitionBy("tree").orderBy("_draw", *key)
+    ranked = Window.partitionBy("tree").orderBy("_draw", *features)
     return (
-        drawn.repartition(tasks, "tree")
+        own.repartition(tasks, "tree")
         .withColumn("_rank", F.row_number().over(ranked))
         .where(F.col("_rank") <= SAMPLE)
         .select("tree", "_rank", *features)
@@ -157,7 +176,7 @@ def fit(
         nodes = _grow(ordered, np.random.default_rng([SEED, tree]), limit)
         return pd.DataFrame([{"tree": tree, **nodes}])
 
-    grown = _samples(frame, key, features, rows, trees).groupBy("tree").applyInPandas(grow, _TREE)
+    grown = _samples(frame, key, features, trees).groupBy("tree").applyInPandas(grow, _TREE)
     # at most `trees` rows of at most 2 * SAMPLE nodes each
     forest = [
         {

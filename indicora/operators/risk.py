@@ -9,7 +9,7 @@ from indicora import vocab
 from indicora.functions import scoring
 from indicora.functions.numbers import rounded
 from indicora.operators.series import DIMENSIONS, SERIES, latest, tie_break
-from indicora.scaling import broadcast_within, constant_table
+from indicora.scaling import constant_table
 
 
 def direction_table(spark, profile: str) -> DataFrame:
@@ -85,11 +85,11 @@ def comparative_scores(df: DataFrame, directions: DataFrame) -> DataFrame:
     )
 
 
-def disease_risk(scenarios: DataFrame, baselines: DataFrame, countries: DataFrame) -> DataFrame:
+def disease_risk(scenarios: DataFrame, baselines: DataFrame) -> DataFrame:
     """Weather suitability blended with the country's baseline score.
 
-    ``baselines`` has at most one row per row of ``countries``; it is broadcast only while that
-    table is small, so the (large) scenario side is normally not shuffled at all.
+    ``baselines`` has at most one row per country; adaptive execution decides by its measured size
+    whether the (large) scenario side has to be shuffled.
     """
     parts = scoring.suitability_parts(
         F.col("disease"), F.col("temperature_c"), F.col("rainfall_mm"), F.col("humidity_pct")
@@ -98,7 +98,7 @@ def disease_risk(scenarios: DataFrame, baselines: DataFrame, countries: DataFram
     history = F.col("risk_score") / 100
     base = baselines.select("country", "risk_score")
     names = F.create_map(*[F.lit(x) for kv in vocab.DISEASES.items() for x in kv])
-    joined = scenarios.join(broadcast_within(base, countries), "country").withColumn(
+    joined = scenarios.join(base, "country").withColumn(
         "_p", scoring.clamp(F.lit(0.7) * climate + F.lit(0.3) * history, 0.0, 1.0)
     )
     level = scoring.band(F.col("_p"), 0.34, 0.67)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from indicora.functions.numbers import rounded
 from indicora.functions.scoring import percent_change, trend_word
-from indicora.scaling import broadcast_within, keep_extreme, nulls_last_key
+from indicora.scaling import keep_extreme, nulls_last_key
 
 SERIES = ["country", "indicator"]
 DIMENSIONS = ["country", "indicator", "sub_indicator", "sex"]
@@ -198,7 +198,7 @@ def with_names_of(requests: DataFrame, names: DataFrame, column: str) -> tuple[D
     """Resolve user spellings of ``column``; returns (resolved, unknown)."""
     known = names.select(F.col(column).alias("_canonical")).distinct()
     match = F.lower(F.trim(F.col(column))) == F.lower(F.col("_canonical"))
-    joined = requests.join(broadcast_within(known, names), match, "left")
+    joined = requests.join(known, match, "left")
     resolved = joined.where(F.col("_canonical").isNotNull()).withColumn(column, F.col("_canonical"))
     unknown = joined.where(F.col("_canonical").isNull())
     return resolved.drop("_canonical"), unknown.drop("_canonical")

@@ -26,7 +26,10 @@ def request_rollup(requests: DataFrame) -> DataFrame:
 
 
 def objective_report(measures: DataFrame) -> DataFrame:
-    """(name, value, target, ok) from a table (name, value)."""
+    """(name, value, target, ok) for every objective, from a table (name, value).
+
+    An objective that nothing measures is reported with a null value and is not met.
+    """
     targets = vocab.SLO_TARGETS
     limits = constant_table(
         measures.sparkSession,
@@ -41,7 +44,7 @@ def objective_report(measures: DataFrame) -> DataFrame:
         .when(F.col("comparison") == "<=", F.col("value") <= F.col("target"))
         .otherwise(F.col("value") < F.col("target"))
     )
-    return measures.join(F.broadcast(limits), "name").select(
+    return limits.join(measures, "name", "left").select(
         "name", "value", "target", F.coalesce(ok, F.lit(False)).alias("ok")
     )
 
@@ -70,6 +73,17 @@ def run_measures(runs: DataFrame, now: Column) -> DataFrame:
     return row.select(F.inline(cells))
 
 
+def review_measures(letters: DataFrame, now: Column) -> DataFrame:
+    """Longest time a dead letter waited for its review, in hours, as (name, value).
+
+    ``letters``: failed_at, resolved_at; one without a review has been waiting until ``now``.
+    """
+    waited = F.unix_micros(F.coalesce("resolved_at", now)) - F.unix_micros("failed_at")
+    return letters.agg(F.max(waited / F.lit(3.6e9)).alias("value")).select(
+        F.lit("dlq_review_hours").alias("name"), "value"
+    )
+
+
 def window_health(
     events: DataFrame, failed: Column, width: str = "5 minutes", limit: float = 0.01
 ) -> DataFrame:

@@ -178,7 +178,7 @@ def disease_risk(spark, folder):
     )
     fine, _ = contracts.split(scenarios, contracts.scenario(strict=False))
     nations = views.table(spark, folder, "nation")
-    scored = risk.disease_risk(fine, risk_score(spark, folder), nations)
+    scored = risk.disease_risk(fine, risk_score(spark, folder))
     return scored.select(
         "event_id",
         "country",
@@ -824,11 +824,12 @@ def _runs(spark, folder):
         .agg(
             F.count(F.lit(1)).alias("record_count_in"),
             F.count_if(~pending).alias("record_count_valid"),
-            F.count_if(pending).alias("record_count_rejected"),
+            F.count_if(pending & (F.col("o_orderkey") % 64 > 0)).alias("record_count_rejected"),
+            F.max(F.col("o_custkey") % 90).alias("seconds"),
         )
         .select(
             "started_at",
-            (F.col("started_at") + F.expr("INTERVAL 30 SECONDS")).alias("completed_at"),
+            (F.col("started_at") + F.make_dt_interval(secs="seconds")).alias("completed_at"),
             F.when(F.col("record_count_rejected") > F.col("record_count_valid"), "failed")
             .otherwise("completed")
             .alias("status"),
@@ -848,7 +849,15 @@ def slo_report(spark, folder):
         F.lit("duplicate_rate_pct").alias("name"),
         (F.col("duplicate") * 100.0 / F.nullif(F.col("input"), F.lit(0))).alias("value"),
     )
-    report = service.objective_report(measures.unionByName(copies))
+    letters = views.table(spark, folder, "lineitem").where("l_returnflag = 'R'").select(
+        F.col("l_shipdate").cast("timestamp").alias("failed_at"),
+        F.when(
+            F.col("l_linestatus") == "F",
+            F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(hours=F.col("l_linenumber")),
+        ).alias("resolved_at"),
+    )
+    waits = service.review_measures(letters, now)
+    report = service.objective_report(measures.unionByName(copies).unionByName(waits))
     return report.withColumn("value", rounded("value", 4))
 
 
@@ -876,7 +885,7 @@ def retention_keep(spark, folder):
 def forest_metrics(spark, folder):
     frame = features.forecast_frame(views.indicator_series(spark, folder))
     training, testing = features.holdout(frame)
-    model = forest.train(training, 40)
+    model = forest.train(training)
     return features.error_metrics(model.predicted(testing), ["indicator"])
 
 
@@ -884,7 +893,7 @@ def forest_metrics(spark, folder):
 def forest_forecast(spark, folder):
     annual = views.indicator_series(spark, folder)
     training, testing = features.holdout(features.forecast_frame(annual))
-    model = forest.train(training, 40)
+    model = forest.train(training)
     residuals = features.error_metrics(model.predicted(testing), ["indicator"])
     statistics = features.indicator_statistics(features.with_changes(annual))
     return forest.forecasts(model, series.recent_history(annual), statistics, residuals, 3)

@@ -6,29 +6,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT_BYTES = 10 * 1024 * 1024
-
 
 def constant_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
     """A fixed lookup as a local relation: its size is known to the optimizer."""
     return spark.createDataFrame(pa.table(columns))
 
 
-def plan_size_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_within(df: DataFrame, bounded_by: DataFrame) -> DataFrame:
-    """Broadcast ``df`` only while the table that bounds its row count is measurably small.
-
-    ``df`` holds at most one small row per row of ``bounded_by``. Beyond the limit the hint is
-    left out and the join runs as a shuffle join, with adaptive skew splitting.
-    """
-    if plan_size_bytes(bounded_by) <= BROADCAST_LIMIT_BYTES:
-        return F.broadcast(df)
-    return df
-
-
 def nulls_last_key(*columns: str | Column) -> Column:
     """Ordering struct in which a null ranks after every value."""
     parts: list[Column] = []

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +22,6 @@ _UNDEFINED_1252 = "81|8D|8F|90|9D"
 _LATIN_CONTROLS = "".join(chr(b) for b in range(0x80, 0xA0) if f"{b:02X}" not in _UNDEFINED_1252)
 _WINDOWS_SIGNS = _LATIN_CONTROLS.encode("latin-1").decode("cp1252")
 
-_EXACT_CHECKSUM_LIMIT = 256 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -150,22 +148,37 @@ def read_layout(spark: SparkSession, layout: Layout, paths: list[str]) -> tuple[
 
 
 def checksums(spark: SparkSession, folder: str) -> DataFrame:
-    """(file_name, checksum). Exact SHA-256 of the bytes up to a size limit; beyond it, an
-    order-free digest of the lines, so no file has to fit into one task's memory."""
-    binary = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    small = binary.where(F.col("length") <= _EXACT_CHECKSUM_LIMIT).select(
-        "path", F.sha2("content", 256).alias("checksum")
+    """(file_name, checksum): one rule for files of every size.
+
+    Sums of two hashes of every line with its number in the file, and the number of lines. A line's
+    number is the number of lines of the file's earlier blocks and its place in the block, so the
+    checksum depends on the order of lines but not on where the file happens to be split.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    files = found.select(F.col("_metadata.file_path").alias("uri"), "path")  # the content is pruned
+    lines = spark.read.option("pathGlobFilter", "*.csv").option("lineSep", "\n").text(folder).select(
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.xxhash64("value").alias("h"),
     )
-    large = binary.where(F.col("length") > _EXACT_CHECKSUM_LIMIT).select(
-        "path", F.col("_metadata.file_path").alias("uri")
-    )  # the content column is pruned here
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder).select(
-        F.xxhash64("value").cast("decimal(38,0)").alias("h"), F.col("_metadata.file_path").alias("uri")
+    block = Window.partitionBy("uri", "block").orderBy("row")
+    placed = lines.select("uri", "block", "h", F.row_number().over(block).alias("place"))
+    # a line's share is linear in the block's offset, so one sum per block is enough
+    h, place = F.col("h").cast("decimal(38,0)"), F.col("place").cast("decimal(38,0)")
+    small = F.pmod(F.col("h"), F.lit(1 << 31)).cast("decimal(38,0)")
+    sums = placed.groupBy("uri", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(h).alias("plain"), F.sum(small).alias("small"),
+        F.sum(small * place).alias("numbered"),
+    )
+    earlier = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("decimal(18,0)")
+    folded = (
+        sums.withColumn("offset", offset)
+        .groupBy("uri")
+        .agg(F.sum("n").alias("n"), F.sum("plain").alias("plain"), F.sum(F.col("numbered") + F.col("small") * F.col("offset")).alias("numbered"))
     )
-    folded = lines.groupBy("uri").agg(
-        F.sha2(F.concat_ws("|", F.count(F.lit(1)).cast("string"), F.sum("h").cast("string")), 256).alias(
-            "checksum"
-        )
+    text = F.concat_ws("|", F.coalesce("n", F.lit(0)), F.col("plain").cast("string"), F.col("numbered").cast("string"))
+    return files.join(folded, "uri", "left").select(
+        F.substring_index("path", "/", -1).alias("file_name"), F.sha2(text, 256).alias("checksum")
     )
-    both = small.unionByName(large.join(folded, "uri").select("path", "checksum"))
-    return both.select(F.substring_index("path", "/", -1).alias("file_name"), "checksum")

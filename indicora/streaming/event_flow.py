@@ -30,7 +30,6 @@ _DEAD = (
     "original_payload string, error_type string, error_message string, retry_count int, "
     "failed_at timestamp, source_topic string, batch_id long"
 )
-_DAYS_LISTED = 400  # beyond it the touched days are given to the scan as a range
 _SCHEMAS = {"accepted": _ACCEPTED, "duplicate": _ACCEPTED, "retry": _RETRY, "dlq": _DEAD}
 
 
@@ -41,17 +40,14 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).option("basePath", path).parquet(path)
 
 
-def _ledger(spark: SparkSession, root: str, batch_id: int, days: list[str]) -> DataFrame:
+def _ledger(spark: SparkSession, root: str, batch_id: int, days: DataFrame) -> DataFrame:
     """Fingerprints accepted by other batches on the days this batch touches.
 
     The fingerprint covers the event time, so equal fingerprints share their day and only those
     partitions can matter. Rows of the same batch come from an earlier attempt and are ignored.
     """
-    day = F.col("event_day")
-    listed = len(days) <= _DAYS_LISTED
-    touched = day.isin(days) if listed else day.between(days[0], days[-1])
-    known = table(spark, root, "accepted").where((F.col("batch_id") != batch_id) & touched)
-    return known.select("fingerprint")
+    known = table(spark, root, "accepted").where(F.col("batch_id") != batch_id)
+    return known.join(days, "event_day", "left_semi").select("fingerprint")
 
 
 def route_batch(
@@ -61,9 +57,11 @@ def route_batch(
     spark = lines.sparkSession
     failed_at = F.current_timestamp() if failed_at is None else failed_at
     parsed = json_lines.parsed(lines).withColumn("event_day", events.event_day(F.col("timestamp")))
-    days = sorted(r[0] for r in parsed.select("event_day").distinct().collect())
-    if not days:
+    parsed = parsed.persist()
+    if parsed.isEmpty():
+        parsed.unpersist()
         return
+    days = parsed.select("event_day").distinct()
     marked = events.routed(
         parsed,
         rules,
@@ -89,6 +87,7 @@ def route_batch(
         write(events.dead_letters(marked, rules, failed_at), "dlq")
     finally:
         marked.unpersist()
+        parsed.unpersist()
 
 
 def start(

@@ -98,8 +98,8 @@ def test_wetter_is_riskier(spark):
         [("Laos", "dengue", 29.0, 10.0, 55.0), ("Laos", "dengue", 29.0, 180.0, 85.0), ("Laos", "mosquito_borne", 28.0, 120.0, 80.0)],
         "country string, disease string, temperature_c double, rainfall_mm double, humidity_pct double",
     )
-    dry, wet, other = risk.disease_risk(scenarios, base, base).orderBy("rainfall_mm").collect()[0], None, None
-    got = {r["rainfall_mm"]: r for r in risk.disease_risk(scenarios, base, base).collect()}
+    dry, wet, other = risk.disease_risk(scenarios, base).orderBy("rainfall_mm").collect()[0], None, None
+    got = {r["rainfall_mm"]: r for r in risk.disease_risk(scenarios, base).collect()}
     assert got[180.0]["risk_score"] > got[10.0]["risk_score"] == dry["risk_score"]
     assert got[120.0]["disease"] == "Mosquito-borne disease"
     assert len(got[180.0]["weather_evidence"]) == 3 and len(got[10.0]["weather_evidence"]) == 1
