@@ -429,6 +429,25 @@ ORACLES: dict[str, str] = {
           CASE WHEN NOT humidity_pct BETWEEN 0 AND 100 THEN 'humidity_pct must be in 0..100' END) AS error_message,
         retry_count, strftime(seen_at, {_FULL}) AS failed_at, 'weather-events' AS source_topic FROM routed WHERE outcome = 'dlq'""",
     "routing_counts": f"WITH {ROUTED} SELECT {_OUTCOMES} FROM routed",
+    "tolerant_lines": f"""WITH {SENSOR} SELECT country, count(*) AS n, round(sum(temperature_c), 2) AS temperature_total
+        FROM sensor WHERE seq % 10 <> 3 GROUP BY 1""",
+    "file_checksums": """SELECT variant, CAST(files AS BIGINT) AS files, CAST(CASE variant WHEN 'reversed' THEN 0 WHEN 'changed'
+          THEN files - (SELECT count(*) FROM orders WHERE o_orderkey = 1) ELSE files END AS BIGINT) AS same
+        FROM (VALUES ('first', 4), ('again', 4), ('reversed', 4), ('changed', 4)) v(variant, files)""",
+    "versioned_read": """SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
+        WHERE o_orderstatus <> 'P' GROUP BY 1""",
+    "append_new": """SELECT count(*) AS n, count(*) AS orders, CAST(sum(first_line) AS BIGINT) AS line_numbers
+        FROM (SELECT l_orderkey, min(l_linenumber) AS first_line FROM lineitem GROUP BY 1)""",
+    "routing_with_ledger": f"""WITH {ROUTED}, early AS (SELECT DISTINCT fp FROM replay WHERE fine AND copy = 0 AND seq % 2 = 0),
+        late AS (SELECT r.*, CASE WHEN fine AND e.fp IS NULL AND row_number() OVER (PARTITION BY r.fp, fine ORDER BY copy, seq) = 1 THEN 'accepted'
+            WHEN fine THEN 'duplicate' WHEN retry_count < 5 THEN 'retry' ELSE 'dlq' END AS result
+          FROM replay r LEFT JOIN early e ON r.fp = e.fp WHERE NOT (copy = 0 AND seq % 2 = 0))
+        SELECT {_OUTCOMES} FROM (SELECT result AS outcome FROM late)""",
+    "forecast_facts": f"""WITH {SERIES}, last AS (SELECT country, indicator, max(year) AS y FROM ser GROUP BY 1, 2 HAVING count(*) >= 2)
+        SELECT indicator, 3 * count(*) AS n, count(*) AS series, CAST(min(y) + 1 AS INTEGER) AS first_year,
+          CAST(max(y) + 3 AS INTEGER) AS last_year, 3 * count(*) AS ordered, 3 * count(*) AS inside FROM last GROUP BY 1""",
+    "isolation_facts": f"""WITH {SERIES} SELECT count(*) AS n, count(*) - 1 - CAST(floor((count(*) - 1) * 0.97) AS BIGINT) AS flagged,
+        count(*) AS within, CAST(0 AS BIGINT) AS contradictory FROM ser""",
     "replay_due": f"""WITH {ROUTED} SELECT retry_count + 1 AS retry_count, count(*) AS n FROM routed
         WHERE outcome = 'retry' AND seen_at + to_seconds({_DELAY}) <= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1""",
     "dlq_resolution": f"""WITH {ROUTED} SELECT retry_count, retry_count = 6 AS is_resolved, count(*) AS n

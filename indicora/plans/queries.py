@@ -17,7 +17,7 @@ from indicora.operators import warehouse
 from indicora.plans import etl, monitor, views
 from indicora.scaling import constant_table, keep_extreme
 from indicora.session import scratch_path
-from indicora.sources import json_lines
+from indicora.sources import csv_folder, json_lines, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -565,6 +565,68 @@ def json_lines_parse(spark, folder):
     return contracts.violation_counts(parsed, rules)
 
 
+@query
+def tolerant_lines(spark, folder):
+    """The same lines, unreadable ones skipped."""
+    line = F.to_json(F.struct(*events.EVENT_COLUMNS))
+    raw = F.when(F.col("seq") % 10 == 3, F.substring(line, 1, 20)).otherwise(line)
+    kept = json_lines.tolerant(views.sensor_events(spark, folder).select(raw.alias("raw")))
+    return kept.groupBy("country").agg(
+        F.count(F.lit(1)).alias("n"), rounded(F.sum("temperature_c"), 2).alias("temperature_total")
+    )
+
+
+@query
+def file_checksums(spark, folder):
+    """Orders as text files: written again, with rows in another order, and with one cell changed."""
+    orders = views.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    dealt = orders.repartition(4, "o_orderkey")
+    swapped = F.when(F.col("o_orderkey") == F.lit(1), -1).otherwise(F.col("o_custkey"))
+    variants = {
+        "first": dealt.sortWithinPartitions("o_orderkey"),
+        "again": dealt.sortWithinPartitions("o_orderkey"),
+        "reversed": dealt.sortWithinPartitions(F.desc("o_orderkey")),
+        "changed": dealt.sortWithinPartitions("o_orderkey").withColumn("o_custkey", swapped),
+    }
+    sums = None
+    for name, rows in variants.items():
+        path = scratch_path(spark, f"checksums-{name}")
+        rows.write.csv(path, header=True)
+        part = F.regexp_extract("file_name", r"^part-(\d+)", 1).alias("part")
+        own = csv_folder.checksums(spark, path).select(F.lit(name).alias("variant"), part, "checksum")
+        sums = own if sums is None else sums.unionByName(own)
+    first = sums.where("variant = 'first'").select("part", F.col("checksum").alias("known"))
+    return sums.join(first, "part").groupBy("variant").agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("checksum") == F.col("known")).alias("same")
+    )
+
+
+@query
+def versioned_read(spark, folder):
+    """A table published twice; readers see the second version only."""
+    orders = views.table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path = scratch_path(spark, "versioned")
+    tables.replace_table(orders.where("o_orderstatus = 'O'"), path)
+    tables.replace_table(orders.where("o_orderstatus <> 'P'"), path, ["o_orderstatus"])
+    current = spark.read.parquet(tables.current_version(spark, path))
+    return current.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), rounded(F.sum("o_totalprice"), 2).alias("total")
+    )
+
+
+@query
+def append_new(spark, folder):
+    """Line items appended by order twice, in overlapping loads: one row per order stays."""
+    lines = views.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    path = scratch_path(spark, "appended")
+    tables.append_new(lines.where("l_orderkey % 3 < 2"), path, "l_orderkey")
+    tables.append_new(lines.where("l_orderkey % 3 > 0"), path, "l_orderkey")
+    return spark.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("l_orderkey").alias("orders"),
+        F.sum("l_linenumber").alias("line_numbers"),
+    )
+
+
 # --- event routing -----------------------------------------------------------------------------------------
 @query
 def event_routing(spark, folder):
@@ -602,6 +664,16 @@ def routing_counts(spark, folder):
     return events.outcome_counts(_routed(spark, folder))
 
 
+@query
+def routing_with_ledger(spark, folder):
+    """A second batch, routed against what the first one accepted."""
+    both = views.sensor_replay(spark, folder)
+    early = (F.col("copy") == 0) & (F.col("seq") % 2 == 0)
+    first = events.accepted(events.routed(both.where(early), _rules(), ARRIVAL))
+    second = events.routed(both.where(~early), _rules(), ARRIVAL, accepted_before=first)
+    return events.outcome_counts(second)
+
+
 @query
 def replay_due(spark, folder):
     again = events.retries(_routed(spark, folder), _stamp())
@@ -899,6 +971,37 @@ def forest_forecast(spark, folder):
     return forest.forecasts(model, series.recent_history(annual), statistics, residuals, 3)
 
 
+@query
+def forecast_facts(spark, folder):
+    """What every forecast must hold: its years, the order of its bounds, the plausible range."""
+    annual = views.indicator_series(spark, folder)
+    statistics = features.indicator_statistics(features.with_changes(annual))
+    reach = F.col("reference_std") * forest.PLAUSIBLE_SPREADS
+    ranges = statistics.select(
+        "indicator", F.greatest(F.lit(0.0), F.col("minimum") - reach).alias("low"),
+        (F.col("maximum") + reach).alias("high"),
+    )
+    made = forest_forecast(spark, folder).join(ranges, "indicator")
+    ordered = (F.col("lower") <= F.col("predicted_value") + 1e-3) & (F.col("lower") <= F.col("upper"))
+    inside = F.col("predicted_value").between(F.col("low") - 1e-3, F.col("high") + 1e-3)
+    return made.groupBy("indicator").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("country").alias("series"),
+        F.min("year").alias("first_year"), F.max("year").alias("last_year"),
+        F.count_if(ordered).alias("ordered"), F.count_if(inside).alias("inside"),
+    )
+
+
+@query
+def isolation_facts(spark, folder):
+    """What every scoring must hold: all rows, flags above the 97 % mark, scores within 0..100."""
+    made = iforest_scores(spark, folder)
+    return made.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("is_anomaly").alias("flagged"),
+        F.count_if(F.col("anomaly_score").between(0, 100)).alias("within"),
+        F.count_if(F.col("is_anomaly") & (F.col("decision_function") > 0)).alias("contradictory"),
+    )
+
+
 @query
 def iforest_scores(spark, folder):
     frame = _anomaly_frame(spark, folder)

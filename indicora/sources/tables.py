@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from indicora import schemas
 from indicora.functions.text import stripped
 from indicora.operators.profile import REQUIRED
+from indicora.operators.warehouse import new_rows
+from indicora.scaling import nulls_last_key
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -89,15 +91,19 @@ def current_version(spark: SparkSession, path: str) -> str | None:
 
 
 def append_new(df: DataFrame, path: str, key: str) -> None:
-    """Append rows whose key the table does not hold; calling twice changes nothing."""
+    """Append one row for every key that the table does not hold; calling twice changes nothing.
+
+    Of rows that share a key the smallest stays, by all columns in their order; rows without a key
+    share the empty one.
+    """
     spark = df.sparkSession
-    if exists(spark, path):
-        df = df.join(spark.read.schema(df.schema).parquet(path).select(key), key, "left_anti")
-    df.write.mode("append").parquet(path)
+    held = spark.read.schema(df.schema).parquet(path) if exists(spark, path) else None
+    fresh = new_rows(df, held, [F.col(key)], nulls_last_key(*df.columns))
+    fresh.write.mode("append").parquet(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
-    """The same rows to a relational table (new rows only; see ``append_new``)."""
+    """Append rows to a relational table as they are; choose them with ``warehouse.new_rows``."""
     df.write.format("jdbc").option("url", url).option("dbtable", table).options(**options).mode(
         "append"
     ).save()
