@@ -173,6 +173,8 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = 10, twice_bytes: in
     shared = spark.sparkContext.broadcast(filters)
     suspects = stored(keyed.mapInArrow(_suspects(shared, segments, min_chars), "__doc long, line_key binary, at array<int>"), "line-suspects")
     repeats = suspects.groupBy("line_key").agg(F.min("__doc").alias("_first"), F.max("__doc").alias("_last")).where("_first < _last")
+    # stored, so that both sides of the join are shuffled for it and a hot line's rows can be split
+    repeats = stored(repeats.select("line_key", "_first"), "line-repeats")
     drops = (
         suspects.join(repeats, "line_key").where("__doc > _first")
         .groupBy("__doc").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("__at"))
