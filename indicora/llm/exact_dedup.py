@@ -108,6 +108,8 @@ def equal_texts(docs: DataFrame, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
         raise ValueError("chunk identifiers of all widths stand for several contents")
     rows = stored(docs.select("doc_id", "text").mapInArrow(_recipes(width), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, recipe binary, text_sha256 string"), "recipes")
     groups = rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # stored, so that both sides of the join are shuffled for it and a large group's rows can be split
+    groups = stored(groups, "recipe-groups")
     return rows.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256", (F.octet_length("recipe") / width).cast("int").alias("n_chunks"),
