@@ -295,7 +295,9 @@ def _placed(members: DataFrame, threshold: float) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("of") == F.col("c") - 1, F.col("blocks"))), F.lit(0)).alias("below"),
         F.coalesce(F.sum(F.when(F.col("of") == F.col("c") + 1, F.col("blocks"))), F.lit(0)).alias("above"),
     )
-    return members.join(around.where("own > 0"), ["root", "c"]).withColumn("s", F.pmod(F.xxhash64("rep"), F.col("own")).cast("int"))
+    # stored, so that both sides of the join are shuffled for it and a large cluster's rows can be split
+    around = stored(around.where("own > 0"), "cluster-blocks")
+    return members.join(around, ["root", "c"]).withColumn("s", F.pmod(F.xxhash64("rep"), F.col("own")).cast("int"))
 
 
 def _in_cells(placed: DataFrame) -> DataFrame:
@@ -331,7 +333,7 @@ def joined(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, par
     )
     degree = solved.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("n_links"))
     groups = components(solved.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "rep")
-    known = classes.select("digest", "rep", "n_copies").join(degree, "rep", "left").join(groups, "rep", "left")
+    known = stored(classes.select("digest", "rep", "n_copies").join(degree, "rep", "left").join(groups, "rep", "left"), "classes-known")
     shown = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     out = rows.select("doc", "digest").join(known, "digest").withColumn("root", F.coalesce("root", "rep"))
     return out.select(
