@@ -201,7 +201,3 @@ def root_causes(events: DataFrame) -> DataFrame:
     typed = events.withColumn("rule_type", F.coalesce(known, F.lit(vocab.DEFAULT_EVENT_TYPE)))
     rules = F.broadcast(rule_table(events.sparkSession))
     return typed.withColumn("evidence", evidence()).join(rules, "rule_type").drop("rule_type")
-
-
-def ranked_causes(reports: DataFrame, key: str) -> DataFrame:
-    return reports.select(key, F.inline("probable_causes"))

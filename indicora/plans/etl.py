@@ -150,10 +150,12 @@ def cleaned(rows: DataFrame) -> DataFrame:
 
 @dataclass
 class Loaded:
-    """Lazy results: the long table, usable rows with their origin, and rejected files."""
+    """Lazy results: the long table, usable rows with their origin, cells with a value as they were
+    read, and rejected files."""
 
     table: DataFrame
     usable: DataFrame
+    raw: DataFrame
     files: list[str]
     rejected: dict[str, str]
 
@@ -162,6 +164,12 @@ def load_folder(spark: SparkSession, folder: str, exclude: frozenset[str] = froz
     found = csv_folder.manifest(spark, folder, exclude)
     rejected = dict(found.rejected)
     parts: list[DataFrame] = []
+    cells_read: list[DataFrame] = []
+
+    def add(cells: DataFrame) -> None:
+        cells_read.append(cells.where("raw_value IS NOT NULL").select("file_name"))
+        parts.append(cleaned(cells))
+
     for layout, paths in found.layouts.items():
         rows, names = csv_folder.read_layout(spark, layout, paths)
         members = [csv_folder.file_name_of(p) for p in paths]
@@ -171,7 +179,7 @@ def load_folder(spark: SparkSession, folder: str, exclude: frozenset[str] = froz
             rejected.update({m: str(problem) for m in members})
             continue
         if roles.years:
-            parts.append(cleaned(melted(rows, roles)))
+            add(melted(rows, roles))
             continue
         by_cell: dict[str, list[str]] = {}
         for name, cells in value_cells(rows, names).items():
@@ -185,12 +193,13 @@ def load_folder(spark: SparkSession, folder: str, exclude: frozenset[str] = froz
         for cell, owners in by_cell.items():
             mine = [p for p in paths if csv_folder.file_name_of(p) in set(owners)]
             part_rows, _ = csv_folder.read_layout(spark, layout, mine)
-            parts.append(cleaned(already_long(part_rows, roles, cell)))
+            add(already_long(part_rows, roles, cell))
     if not parts:
         raise RuntimeError("ETL failed: no datasets produced usable records.")
     usable = reduce(DataFrame.unionByName, parts)
     first = keep_extreme(usable, KEY, F.struct(*PLACE))
-    return Loaded(first.select(*LONG), usable, found.files, rejected)
+    raw = reduce(DataFrame.unionByName, cells_read)
+    return Loaded(first.select(*LONG), usable, raw, found.files, rejected)
 
 
 def output_order() -> list[Column]:

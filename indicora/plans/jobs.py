@@ -40,39 +40,56 @@ def load_indicators(
     if not new_files:
         return None
     started = spark.sql("SELECT current_timestamp()").first()[0]
+    try:
+        version = _load(spark, folder, root, exclude, run, started)
+    except Exception:
+        _run_record(spark, folder, root, run, started, "failed", {})
+        raise
+    # the ledger comes last: a crash before it makes the next run load the files again
+    noted = spark.createDataFrame(new_files, fresh.schema).withColumns(
+        {"ingestion_timestamp": F.current_timestamp(), "pipeline_run_id": F.lit(run)}
+    )
+    noted.write.mode("append").parquet(f"{root}/processed_files")
+    return version
+
+
+def _load(spark: SparkSession, folder: str, root: str, exclude: frozenset[str], run: str, started) -> str:
     loaded = etl.load_folder(spark, folder, exclude)
     version = tables.replace_table(
         loaded.table.sortWithinPartitions(*etl.output_order()), f"{root}/long", ["indicator"]
     )
     _noted(etl.load_report(spark, loaded), root, "file_report", run)
+    read, kept = loaded.raw.count(), spark.read.parquet(version).count()
+    # records are cells with a value; unusable and repeated ones don't reach the table
+    _run_record(spark, folder, root, run, started, "completed", {"in": read, "valid": kept, "rejected": read - kept})
+    return version
 
-    report = spark.read.parquet(f"{root}/file_report/run={run}")
-    counted = report.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("record_count_in"),
-        F.count_if(F.col("status") == "skipped").alias("record_count_rejected"),
-    )
-    kept = spark.read.parquet(version).agg(F.count(F.lit(1)).alias("record_count_valid"))
-    record = counted.withColumns(
-        {
-            "record_count_valid": kept.scalar(),
-            "pipeline_run_id": F.lit(run),
-            "pipeline_name": F.lit("indicator_load"),
-            "source_name": F.lit(folder),
-            "file_name": F.lit(None).cast("string"),
-            "record_count_dlq": F.lit(0).cast("long"),
-            "started_at": F.lit(started),
-            "completed_at": F.current_timestamp(),
-            "status": F.lit("completed"),
-            "checksum": F.lit(None).cast("string"),
-        }
+
+def _run_record(
+    spark: SparkSession, folder: str, root: str, run: str, started, status: str, counted: dict[str, int]
+) -> None:
+    """The run in the ledger, and its measures in the metrics ledger."""
+    record = spark.range(1).select(
+        F.lit(run).alias("pipeline_run_id"),
+        F.lit("indicator_load").alias("pipeline_name"),
+        F.lit(folder).alias("source_name"),
+        F.lit(None).cast("string").alias("file_name"),
+        *[F.lit(counted.get(k, 0)).cast("long").alias(f"record_count_{k}") for k in ("in", "valid", "rejected", "dlq")],
+        F.lit(started).alias("started_at"),
+        F.current_timestamp().alias("completed_at"),
+        F.lit(status).alias("status"),
+        F.lit(None).cast("string").alias("checksum"),
     )
     _noted(record.select(*schemas.RUN_LEDGER.fieldNames()), root, "pipeline_runs", run)
-    # the ledger comes last: a crash before it makes the next run load the files again
-    noted = spark.createDataFrame(new_files, fresh.schema).withColumns(
-        {"ingestion_timestamp": F.current_timestamp(), "pipeline_run_id": F.lit(run)}
-    )
-    noted.write.mode("append").parquet(f"{root}/processed_files")
-    return version
+    seconds = (F.unix_micros("completed_at") - F.unix_micros("started_at")) / F.lit(1e6)
+    values = {"records_read": ("record_count_in", "records"), "records_kept": ("record_count_valid", "records")}
+    cells = [
+        F.struct(F.lit(name).alias("metric_name"), F.col(c).cast("double").alias("metric_value"), F.lit(unit).alias("metric_unit"))
+        for name, (c, unit) in values.items()
+    ]
+    took = F.struct(F.lit("duration").alias("metric_name"), seconds.alias("metric_value"), F.lit("seconds").alias("metric_unit"))
+    metrics = record.select("pipeline_name", F.inline(F.array(*cells, took)), F.col("completed_at").alias("recorded_at"))
+    _noted(metrics.select(*schemas.METRIC_LEDGER.fieldNames()), root, "metrics", run)
 
 
 def current_long_table(spark: SparkSession, root: str) -> DataFrame:

@@ -1012,18 +1012,20 @@ def iforest_scores(spark, folder):
     )
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    shape = views.table(spark, folder, "events").schema
-    return spark.readStream.schema(shape).option("pathGlobFilter", "events.parquet").parquet(folder)
-
-
 @query
 def alert_stream(spark, folder):
     from indicora.streaming import alert_flow
 
     root = scratch_path(spark, "alert-stream")
-    flow = alert_flow.start(views.as_ops_events(_event_stream(spark, folder)), root, f"{root}/progress")
-    flow.awaitTermination()
+    signals = views.table(spark, folder, "events")
+    first, last = signals.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("t")).agg(F.min("t"), F.max("t")).first()
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    quarter = F.floor((at - F.lit(first)) * 4 / (F.lit(last) - F.lit(first) + 1))
+    for batch in range(4):  # the signals arrive in four parts, each a micro-batch
+        signals.where(quarter == batch).write.mode("append").parquet(f"{root}/incoming")
+        incoming = spark.readStream.schema(signals.schema).parquet(f"{root}/incoming")
+        flow = alert_flow.start(views.as_ops_events(incoming), root, f"{root}/progress")
+        flow.awaitTermination()
     return _episode_columns(alert_flow.alert_table(spark, root))
 
 
@@ -1036,9 +1038,11 @@ def event_stream(spark, folder):
     known = views.table(spark, folder, "nation").select(F.col("n_name").alias("country"))
     names = [r["country"] for r in known.collect()]
     line = F.to_json(F.struct(*events.EVENT_COLUMNS, "retry_count"))
-    views.sensor_replay(spark, folder).select(line).write.text(f"{root}/incoming")
+    # copies lie in other files than their originals, and so mostly in other micro-batches
+    dealt = views.sensor_replay(spark, folder).repartition(8, "arrival")
+    dealt.select(line).write.text(f"{root}/incoming")
     flow = event_flow.start(
-        spark, f"{root}/incoming", f"{root}/out", f"{root}/progress", countries=names
+        spark, f"{root}/incoming", f"{root}/out", f"{root}/progress", countries=names, files_per_batch=2
     )
     flow.awaitTermination()
     return event_flow.counts(spark, f"{root}/out")

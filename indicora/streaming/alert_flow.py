@@ -32,7 +32,9 @@ def fold_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     spark = batch.sparkSession
     fresh = alerts.segments(alerts.keyed(batch))
     before = f"{root}/open/batch_id={batch_id - 1}"
-    if batch_id > 0 and exists(spark, before):
+    if batch_id > 0:
+        if not exists(spark, before):
+            raise FileNotFoundError(f"open alerts of the batch before are missing: {before}")
         # an open alert continues in the first segment of its key
         carried = spark.read.schema(fresh.schema).parquet(before)
         fresh = fresh.unionByName(carried.withColumn("segment", F.lit(0).cast("long")))
@@ -40,10 +42,17 @@ def fold_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     try:
         for name, rows in (("closed", F.col("resolved")), ("open", ~F.col("resolved"))):
             merged.where(rows).write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+        # a retry of this batch reads the table before; older open alerts are superseded
+        _drop(spark, f"{root}/open/batch_id={batch_id - 2}")
     finally:
         merged.unpersist()
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def start(
     events: DataFrame, root: str, checkpoint: str, *, available_now: bool = True
 ) -> StreamingQuery:

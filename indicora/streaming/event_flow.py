@@ -7,6 +7,8 @@ The accepted table is the ledger too: accepting and remembering an event is one
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -136,9 +138,11 @@ def replay_due(spark: SparkSession, root: str, incoming: str, now: Column) -> Da
     """Put due retries back into the incoming folder, each attempt once.
 
     Attempts are remembered by the place they came from in ``replayed``; the new lines carry the
-    raised retry count. Returns the attempts replayed by this call.
+    raised retry count. Returns the attempts replayed by this call. If it breaks off between lines
+    and log, the lines come in once more; the ledger of fingerprints makes them duplicates.
     """
     log = f"{root}/replayed"
+    own = f"{log}/replay={uuid.uuid4().hex}"
     waiting = events.due(table(spark, root, "retry"), now).withColumn(
         "attempt", F.concat_ws("#", F.col("batch_id").cast("string"), "place")
     )
@@ -153,8 +157,8 @@ def replay_due(spark: SparkSession, root: str, incoming: str, now: Column) -> Da
     chosen = waiting.select("attempt", line.alias("value")).persist()
     try:
         chosen.select("value").write.mode("append").text(incoming)
-        chosen.select("attempt", now.alias("replayed_at")).write.mode("append").parquet(log)
+        chosen.select("attempt", now.alias("replayed_at")).write.parquet(own)
     finally:
         chosen.unpersist()
-    return spark.read.schema("attempt string, replayed_at timestamp").parquet(log)
+    return spark.read.schema("attempt string, replayed_at timestamp").parquet(own)
 

@@ -81,7 +81,6 @@ NON_VALUE_HEADERS = [
     "reference_year_s",
 ]
 FIRST_YEAR, LAST_YEAR = 1900, 2100
-CHARSETS = ["UTF-8", "windows-1252", "ISO-8859-1"]
 
 # --- fixed values: indicator names ------------------------------------------------------------
 INDICATOR_FILE_NAMES = {"goverment_expence_in_health": "government_expenditure_in_health"}

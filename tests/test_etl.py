@@ -192,6 +192,8 @@ def test_batch_job(spark, tmp_path):
     runs = spark.read.parquet(f"{root}/pipeline_runs")
     assert runs.count() == 2 and {r["status"] for r in runs.collect()} == {"completed"}
     assert sorted(r["record_count_valid"] for r in runs.collect()) == [3, 4]
+    assert all(r["record_count_in"] == r["record_count_valid"] + r["record_count_rejected"] for r in runs.collect())
+    assert spark.read.parquet(f"{root}/metrics").count() == 6
     with pytest.raises(FileNotFoundError):
         jobs.current_long_table(spark, str(tmp_path / "none"))
 
