@@ -11,9 +11,9 @@ true tokens from noise drawn by frequency, and sends its parameters, a fixed amo
 of them form the model. Scoring multiplies in batches: each distinct pair of preceding tokens is
 normalised once per worker, over the whole vocabulary, so the log probabilities are exact.
 
-Words outside the ``hot`` most frequent go to Spark as (word, document) with their number in the
+Words that aren't among the most frequent (``hot`` at most) go to Spark as (word, document) with their number in the
 document and are joined with the counts; hot words are looked up in the task, which keeps frequent
-words out of the shuffle. Both tables sent to all tasks have a fixed number of rows.
+words out of the shuffle. Both tables sent to all tasks have a bounded number of rows.
 
 Contract of the results:
 
@@ -121,7 +121,15 @@ def counted(train: DataFrame, vocabulary: int = VOCABULARY, hot: int = HOT) -> t
     counts = stored(train.select("text").mapInArrow(_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     docs = train.count()
     words, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(hot).collect()
+    # counts fall into some thousand steps of magnitude; the upper ones that hold ``hot`` words at most
+    step = F.floor(F.log2("n") * 64)
+    upper, held = None, 0
+    for row in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("k")).collect(), reverse=True):
+        if held + row.k > hot:
+            break
+        upper, held = row.step, held + row.k
+    top = counts.where(step >= upper).collect() if held else []
+    top = sorted(top, key=lambda r: (-r.n, bytes(r.word)))
     hashes = word_hashes([bytes(r.word) for r in top]) if top else np.zeros(0, U64)
     return counts, Vocabulary(hashes, np.array([r.n for r in top], np.int64), min(vocabulary, len(top)), words + docs, types + (docs > 0), docs)
 
