@@ -1,7 +1,7 @@
 """Jaccard self-join on word shingles, with Bayesian pruning of candidates.
 
-1. Every document gives a digest of its shingle set, the set's size and a MinHash signature. Equal
-   sets form a class; only its smallest document, the representative, goes on.
+1. Every document gives a digest of its shingle set, the set's size and a MinHash signature. Of equal
+   sets only the smallest document, the representative, goes on.
 2. Bands of the signatures form buckets. Nothing is paired there: members of a bucket are tied to
    its smallest, first within a task's batch, so a bucket that holds a third of all rows sends on one
    member per batch. Ties join into candidate clusters (connected components).
@@ -11,15 +11,16 @@
    probability that its similarity reaches the threshold, given the matches so far, is below
    ``tolerance``; the rest is verified on the whole sets. A cell sends on counts of links and a
    spanning forest of them, never its pairs.
-4. Links join into groups; every document gets its class, its group and its class's links.
+4. Links join into groups; every document gets its group, its set and the set's links.
 
 Contract of the results:
 
 * Words are runs without blanks, A-Z lowered; a shingle is five words, or all words of a text of one
   to four. A link is a Jaccard similarity of ``threshold`` or more between two different sets.
-* ``class_id``: smallest document with the same set, ``group_id``: smallest of the connected group,
-  ``n_copies``: rows in the class, ``n_links``: linked classes, ``kept``: whether it stands for its group.
-* Texts without words (null, empty, blank) form one class without links. A null ``doc_id`` sorts
+* ``class_id``: smallest document of the connected group, ``set_id``: smallest with the same set,
+  ``n_copies``: rows with that set, ``n_links``: other sets it is linked to, ``kept``: whether the
+  document stands for its group.
+* Texts without words (null, empty, blank) share one set without links. A null ``doc_id`` sorts
   before all others; repeats of a ``doc_id`` get a row each.
 * Sets are compared by 64-bit shingle hashes. A pair at the threshold exactly is missed by the bands
   with a probability of some 5e-8, and dropped by pruning with one below ``tolerance`` per comparison.
@@ -311,7 +312,7 @@ def _in_cells(placed: DataFrame) -> DataFrame:
 
 
 def joined(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, parts: int | None = None) -> DataFrame:
-    """Per row: doc_id, class_id, group_id, n_copies, n_links, kept."""
+    """Per row: doc_id, class_id, set_id, n_copies, n_links, kept."""
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
@@ -337,7 +338,7 @@ def joined(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, par
     shown = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     out = rows.select("doc", "digest").join(known, "digest").withColumn("root", F.coalesce("root", "rep"))
     return out.select(
-        shown("doc").alias("doc_id"), shown("rep").alias("class_id"), shown("root").alias("group_id"), "n_copies",
+        shown("doc").alias("doc_id"), shown("root").alias("class_id"), shown("rep").alias("set_id"), "n_copies",
         F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("doc") == F.col("root")).alias("kept"),
     )
 

@@ -57,6 +57,6 @@ degree AS (SELECT a AS class_id, count(*) AS n_links FROM links GROUP BY a),
 reach(class_id, root) AS (SELECT class_id, class_id FROM classes
                           UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.class_id),
 groups AS (SELECT class_id, min(root) AS group_id FROM reach GROUP BY class_id)
-SELECT s.doc_id, c.class_id, g.group_id, c.n_copies, coalesce(d.n_links, 0) AS n_links, s.doc_id = g.group_id AS kept
+SELECT s.doc_id, g.group_id AS class_id, c.class_id AS set_id, c.n_copies, coalesce(d.n_links, 0) AS n_links, s.doc_id = g.group_id AS kept
 FROM sets s JOIN classes c USING (shingles) JOIN groups g USING (class_id) LEFT JOIN degree d USING (class_id)
 """

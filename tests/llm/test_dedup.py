@@ -144,7 +144,7 @@ def near_by_hand(docs, threshold):
     return sorted(((i, rep[sets[i]], group[rep[sets[i]]], len(copies[sets[i]]), len(links[rep[sets[i]]]), i == group[rep[sets[i]]]) for i, _ in docs), key=repr)
 
 
-NEAR = ("doc_id", "class_id", "group_id", "n_copies", "n_links", "kept")
+NEAR = ("doc_id", "set_id", "class_id", "n_copies", "n_links", "kept")
 
 
 def varied(seed, n, edits):
@@ -156,7 +156,7 @@ def varied(seed, n, edits):
 
 def test_near_copies(spark):
     docs = odd(spark)
-    got = ngram_join.joined(docs).fillna(NONE, ["doc_id", "class_id", "group_id"])
+    got = ngram_join.joined(docs).fillna(NONE, ["doc_id", "class_id", "set_id"])
     assert listed(got, *NEAR) == near_by_hand(documents(docs), 0.8)
 
 
