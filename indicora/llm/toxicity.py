@@ -77,11 +77,20 @@ def hashed_terms(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(flat), np.cumsum(np.concatenate(sizes))
 
 
-def fit(terms: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, *, rank: int = 6, epochs: int = 6, batch: int = 64, rate: float = 0.3, decay: float = 1e-4, least: float = 0.0025, seed: int = 7) -> Machine:
-    """Adagrad over shuffled rows. Terms in less than a share ``least`` of the rows (two at least) are not learned."""
+def _telling(terms: list[np.ndarray], toxic: np.ndarray, size: int, least: float, telling: float) -> np.ndarray:
+    flat = np.concatenate(terms)
+    n = np.bincount(flat, minlength=size).astype(float)
+    bad = np.bincount(flat, np.repeat(toxic, [len(t) for t in terms]), minlength=size)
+    p = toxic.mean()
+    return (n >= least) & (np.abs(bad - n * p) >= telling * np.sqrt(n * p * (1 - p)) - 1e-9)
+
+
+def fit(terms: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, *, rank: int = 6, epochs: int = 12, batch: int = 64, rate: float = 0.7, decay: float = 1e-5, least: float = 0.0005, telling: float = 3.5, seed: int = 7) -> Machine:
+    """Adagrad over shuffled rows. Learned are terms in a share ``least`` of the rows (two
+    at least) whose share of toxic rows is ``telling`` standard errors off the overall one."""
     random = np.random.default_rng(seed)
     size = 1 << PLACE_BITS
-    known = np.bincount(np.concatenate(terms), minlength=size) >= max(2, least * len(terms))
+    known = _telling(terms, toxic, size, max(2, least * len(terms)), telling)
     rows = [t[known[t]] for t in terms]
     share = float(np.clip(np.average(toxic, weights=weight), 1e-6, 1 - 1e-6))
     machine = Machine(np.log(share / (1 - share)), np.zeros(size), np.where(known[:, None], random.normal(0, 0.02, (size, rank)), 0))
