@@ -17,6 +17,7 @@ Contract of the results:
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from functools import lru_cache
@@ -34,10 +35,14 @@ BINS = "filled int, doc_ids array<bigint>, pieces array<int>, lengths array<int>
 END_ID = 1
 
 
+def little_endian(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds(dict):
     """Token ids, as bytes, of the words met so far; bounded."""
 
-    limit = 300_000
+    limit = 800_000
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
@@ -49,7 +54,7 @@ class WordIds(dict):
             self.clear()
             fresh = list(words)
         for word, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self[word] = np.array(e.ids, "<u4").tobytes()
+            self[word] = little_endian(e.ids)
 
 
 def _classes() -> tuple[str, str]:
@@ -77,7 +82,7 @@ def token_ids(texts: list[str | None], path: str, group: int = 1 << 20) -> list[
     all other texts go through the tokenizer whole.
     """
     known = word_ids(path)
-    end = np.array([END_ID], "<u4").tobytes()
+    end = little_endian([END_ID])
     out: list[bytes] = []
     at = 0
     while at < len(texts):
@@ -89,7 +94,7 @@ def token_ids(texts: list[str | None], path: str, group: int = 1 << 20) -> list[
         known.learn({w for s in split if s for w in s})
         for text, words in zip(texts[at:to], split):
             if words is None:
-                out.append(np.array(known.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + end)
+                out.append(little_endian(known.tokenizer.encode(text, add_special_tokens=False).ids) + end)
             else:
                 out.append(b"".join(map(known.__getitem__, words)) + end)
         at = to
