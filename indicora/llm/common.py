@@ -24,6 +24,17 @@ def in_fold(doc_id: str, parts: int, part: int) -> Column:
     return F.crc32(text.cast("binary")) % parts == part
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Let tasks hand Python at most some megabytes of rows at a time, however long the texts are.
+
+    Sets two settings of the session; they hold until it ends or sets others.
+    """
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return df
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the folder all executors share and read it back: cuts lineage, survives losses."""
     spark = df.sparkSession

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicora.llm.common import Batches, stored
+from indicora.llm.common import Batches, bounded_batches, stored
 from indicora.llm.textbytes import LOWER, NOT_WORD, U64, blocks
 
 NULL_ID = -(1 << 63)
@@ -224,7 +224,7 @@ def _matches(shared):
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list[int], list[str]]]:
-    """The items, by id, in blocks of bounded size; one item at a time reaches the driver."""
+    """The items in blocks of bounded size; they reach the driver a partition at a time."""
     ids, texts, size = [], [], 0
     for row in benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").toLocalIterator():
         if ids and size + len(row.text) > block_bytes:
@@ -239,7 +239,7 @@ def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list[i
 
 def matches(docs: DataFrame, benchmark: DataFrame, min_chars: int = 60, max_edits: float = 0.09, block_bytes: int = 1 << 21) -> DataFrame:
     """One row per document and item that it holds a stretch of."""
-    spark = docs.sparkSession
+    spark = bounded_batches(docs).sparkSession
     keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
     out = None
     for ids, texts in item_blocks(benchmark, block_bytes):

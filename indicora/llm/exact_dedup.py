@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicora.llm.common import Batches, stored
+from indicora.llm.common import Batches, bounded_batches, stored
 from indicora.llm.textbytes import BYTE_BASE, LOWER, blocks, mixed, powers
 
 #: Bytes that decide about a cut, and the mean, least and largest length of a chunk.
@@ -101,6 +101,7 @@ def verified(docs: DataFrame, width: int) -> bool:
 
 def equal_texts(docs: DataFrame, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256, n_chunks."""
+    bounded_batches(docs)
     for width in widths:
         if verified(docs, width):
             break

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicora.llm.common import Batches, lists, stored
+from indicora.llm.common import Batches, bounded_batches, lists, stored
 from indicora.llm.textbytes import LOWER, U64, blocks, span_hashes, word_spans
 
 VOCABULARY, HOT = 1024, 50_000
@@ -333,7 +333,7 @@ def scored(docs: DataFrame, held_out, vocabulary: int = VOCABULARY, hot: int = H
 
     ``held_out``: a condition on the rows of ``docs``; the others are learned from.
     """
-    rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    rows = bounded_batches(docs).select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     train = rows.where("NOT held_out")
     counts, vocab = counted(train, vocabulary, hot)
     model = trained(train, vocab)

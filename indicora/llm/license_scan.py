@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from indicora.llm.common import Batches, extended, with_columns
+from indicora.llm.common import Batches, bounded_batches, extended, with_columns
 from indicora.llm.license_rules import BASE, Rule, rules
 from indicora.llm.textbytes import LOWER, NOT_WORD, blocks, word_spans
 
@@ -100,4 +100,4 @@ def scanned(docs: DataFrame) -> DataFrame:
         base_labels="string", labels="string", score="double",
         detections="array<struct<first: bigint, last: bigint, label: string, score: double>>",
     )
-    return docs.mapInArrow(_scan, schema)
+    return bounded_batches(docs).mapInArrow(_scan, schema)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicora.llm.common import Batches, extended, lists, stored, with_columns
+from indicora.llm.common import Batches, bounded_batches, extended, lists, stored, with_columns
 
 NULL_ID = -(1 << 63)
 #: Bits of a segment's filters, and the bytes of text that a segment stands for.
@@ -168,7 +168,7 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = 10, twice_bytes: in
     """The rows of ``docs`` with their texts cut, and with ``counts`` ``n_lines`` (before), ``n_dropped``."""
     spark = docs.sparkSession
     docs = docs.drop("__doc", "__at")
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
+    keyed = bounded_batches(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
     segments, filters = repeated_line_filter(keyed, min_chars, twice_bytes)
     shared = spark.sparkContext.broadcast(filters)
     suspects = stored(keyed.mapInArrow(_suspects(shared, segments, min_chars), "__doc long, line_key binary, at array<int>"), "line-suspects")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicora.llm.common import Batches, stored
+from indicora.llm.common import Batches, bounded_batches, stored
 from indicora.llm.substring_dedup import planes, unplaned
 from indicora.llm.textbytes import LOWER, U64, blocks, mixed, span_hashes, window_hashes, word_spans
 
@@ -313,7 +313,7 @@ def _in_cells(placed: DataFrame) -> DataFrame:
 
 def joined(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, parts: int | None = None) -> DataFrame:
     """Per row: doc_id, class_id, set_id, n_copies, n_links, kept."""
-    spark = docs.sparkSession
+    spark = bounded_batches(docs).sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
     rows = stored(texts.mapInArrow(_described, "doc long, digest binary, n long, sig binary"), "shingle-rows")

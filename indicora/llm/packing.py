@@ -24,15 +24,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from indicora.llm.common import Batches, lists, stored
+from indicora.llm.common import Batches, bounded_batches, lists, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+SEQUENCES = PIECES + ", sequence_id long, offset long"
 BINS = "filled int, doc_ids array<bigint>, pieces array<int>, lengths array<int>, crcs array<bigint>"
 END_ID = 1
+NULL_ID = -(1 << 63)
 
 
 def little_endian(ids: list[int]) -> bytes:
@@ -176,8 +179,8 @@ def _packed(capacity: int, items_per_task: int):
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFrame:
-    """Token pieces of every row: doc_id, piece, start, length, ids_crc32."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """Token pieces of every row: doc_id (``NULL_ID`` for null), piece, start, length, ids_crc32."""
+    rows = bounded_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text")
     return rows.mapInArrow(_pieces(tokenizer_path, capacity), PIECES)
 
 
@@ -206,14 +209,28 @@ def bins(parts: DataFrame, capacity: int = 4096, slack: float = 0.01, items_per_
         left, before = underfull.repartition(tasks), n
 
 
+def _members(capacity: int):
+    """One row per member of a bin, with its place there."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            ends = batch.column("lengths").offsets.to_numpy()
+            ends = ends - ends[0]
+            flat = {c: batch.column(c).flatten() for c in ("doc_ids", "pieces", "lengths", "crcs")}
+            length = flat["lengths"].to_numpy().astype(np.int64)
+            before = np.r_[0, np.cumsum(length)]
+            n = np.diff(ends)
+            ids = pc.if_else(pc.equal(flat["doc_ids"], NULL_ID), None, flat["doc_ids"])
+            yield pa.RecordBatch.from_arrays([
+                ids, flat["pieces"], pa.array(flat["pieces"].to_numpy().astype(np.int64) * capacity), pa.array(length), flat["crcs"],
+                pa.array(np.repeat(batch.column("sequence_id").to_numpy(), n)), pa.array(before[:-1] - np.repeat(before[ends[:-1]], n)),
+            ], [c.split()[0] for c in SEQUENCES.split(", ")])
+
+    return run
+
+
 def sequences(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     parts = stored(pieces(docs, tokenizer_path, capacity), "pieces")
     packed = stored(bins(parts, capacity).withColumn("sequence_id", F.monotonically_increasing_id()), "sequences")
-    member = F.arrays_zip("doc_ids", "pieces", "lengths", "crcs")
-    before = F.expr("transform(sequence(1, size(lengths)), i -> aggregate(slice(lengths, 1, i - 1), 0L, (a, x) -> a + x))")
-    return packed.select("sequence_id", F.explode(F.arrays_zip(member.alias("m"), before.alias("offset"))).alias("p")).select(
-        F.col("p.m.doc_ids").alias("doc_id"), F.col("p.m.pieces").alias("piece"),
-        (F.col("p.m.pieces").cast("long") * capacity).alias("start"), F.col("p.m.lengths").cast("long").alias("length"),
-        F.col("p.m.crcs").alias("ids_crc32"), "sequence_id", F.col("p.offset").alias("offset"),
-    )
+    return packed.mapInArrow(_members(capacity), SEQUENCES)

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicora.llm.common import Batches, extended, lists, with_columns
+from indicora.llm.common import Batches, bounded_batches, extended, lists, with_columns
 from indicora.llm.textbytes import U64, blocks, inside_text, span_hashes, window_hashes, word_spans
 
 NULL_ID = -(1 << 63)
@@ -194,7 +194,7 @@ def without_repeated_passages(docs: DataFrame, width: int = 20, parts: int | Non
     ``parts``: ranges of hashes, each of which one task holds in memory at a time; unless given,
     twice as many as the session has shuffle partitions. ``most``: windows a task combines at a time.
     """
-    spark = docs.sparkSession
+    spark = bounded_batches(docs).sparkSession
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
     found = (

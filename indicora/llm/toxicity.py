@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicora.llm.common import Batches, extended, with_columns
+from indicora.llm.common import Batches, bounded_batches, extended, with_columns
 from indicora.llm.textbytes import LOWER, NOT_WORD, U64, blocks, span_hashes, word_spans
 
 PLACE_BITS = 18
@@ -139,7 +139,7 @@ def trained(docs: DataFrame, labels: DataFrame, per_class: int = 5000) -> Machin
         part = truth.where(F.col("_toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).withColumn("_weight", F.lit(n / min(n, per_class)))
         picks = part if picks is None else picks.unionByName(part)
     # at most 2 * per_class rows of three numbers
-    rows = docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id").mapInArrow(_terms, "toxic int, weight double, terms binary").collect()
+    rows = bounded_batches(docs).select("doc_id", "text").join(F.broadcast(picks), "doc_id").mapInArrow(_terms, "toxic int, weight double, terms binary").collect()
     if not rows:
         return Machine(-20.0, np.zeros(1 << PLACE_BITS), np.zeros((1 << PLACE_BITS, 1)))
     rows = sorted(rows, key=lambda r: (r.toxic, bytes(r.terms)))
@@ -157,10 +157,13 @@ def _scores(shared):
         machine = Machine(bias, weights, vectors)
 
         def score(batch: pa.RecordBatch) -> np.ndarray:
-            flat, offsets = hashed_terms(batch)
-            at = place[flat]
-            kept, at = np.r_[0, np.cumsum(at >= 0)][offsets], at[at >= 0]
-            return np.concatenate([np.zeros(0), *(machine.scores(at[kept[a] : kept[b]], kept[a : b + 1] - kept[a]) for a, b in _groups(len(batch)))])
+            out = [np.zeros(0)]
+            for part, _, _ in blocks(batch):
+                flat, offsets = hashed_terms(part)
+                at = place[flat]
+                kept, at = np.r_[0, np.cumsum(at >= 0)][offsets], at[at >= 0]
+                out.append(machine.scores(at, kept))
+            return np.concatenate(out)
 
         return score
 
@@ -170,7 +173,7 @@ def _scores(shared):
 def _sent(docs: DataFrame, machine: Machine):
     """What a task needs: the terms learned, at most as many as there are places."""
     used = np.flatnonzero(machine.weights.astype(bool) | machine.vectors.any(axis=1))
-    return docs.sparkSession.sparkContext.broadcast((machine.bias, used, machine.weights[used], machine.vectors[used]))
+    return bounded_batches(docs).sparkSession.sparkContext.broadcast((machine.bias, used, machine.weights[used], machine.vectors[used]))
 
 
 def scored(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
@@ -196,7 +199,3 @@ def accepted(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataF
             yield batch.filter(pa.array(score(batch) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
-
-
-def _groups(n: int, size: int = 500):
-    return [(a, min(n, a + size)) for a in range(0, n, size)]
