@@ -44,6 +44,11 @@ HEADLINE = [
     "error_rate_5min",
     "latency_p95",
     "retention_keep",
+    # trainings and streams
+    "forest_metrics",
+    "iforest_scores",
+    "alert_stream",
+    "event_stream",
 ]
 
 
