@@ -116,7 +116,7 @@ def repeated_line_filter(docs: DataFrame, min_chars: int, twice_bytes: int) -> t
 
 def _suspects(shared, segments: int, min_chars: int):
     def run(batches: Batches) -> Batches:
-        filters = {k: np.unpackbits(np.frombuffer(v, np.uint8)).view(bool) for k, v in shared.value.items()}
+        filters = {k: np.frombuffer(v, np.uint8) for k, v in shared.value.items()}
         for batch in batches:
             docs, keys, places = [], [], []
             for doc, text in zip(batch.column("__doc").to_pylist(), _texts(batch)):
@@ -134,7 +134,8 @@ def _suspects(shared, segments: int, min_chars: int):
                 bits = filters.get(int(segment))
                 if bits is not None:
                     mine = np.flatnonzero(part == segment)
-                    held[mine] = bits[_slots(hashes[mine], len(bits))].all(axis=1)
+                    at = _slots(hashes[mine], 8 * len(bits))
+                    held[mine] = (bits[at >> 3] & (128 >> (at & 7))).all(axis=1)
             found = np.flatnonzero(held)
             ends = np.cumsum([0, *(len(places[i]) for i in found)])
             yield pa.RecordBatch.from_arrays([
