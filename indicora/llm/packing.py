@@ -45,7 +45,7 @@ def little_endian(ids: list[int]) -> bytes:
 class WordIds(dict):
     """Token ids, as bytes, of the words met so far; bounded."""
 
-    limit = 800_000
+    limit = 250_000
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
@@ -77,7 +77,7 @@ def word_ids(path: str) -> WordIds:
     return WordIds(Tokenizer.from_file(path))
 
 
-def token_ids(texts: list[str | None], path: str, group: int = 1 << 20) -> list[bytes]:
+def token_ids(texts: list[str | None], path: str, group: int = 1 << 21) -> list[bytes]:
     """Ids of each text and the end id, as little-endian 32-bit numbers.
 
     The tokenizer splits words before it merges pairs, so a word's ids don't depend on its

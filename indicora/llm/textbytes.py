@@ -29,12 +29,12 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i below n; kept per process for the usual block size."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, (1 << 20) + 1)
         up = np.full(size, base, U64)
         down = np.full(size, pow(base, -1, 1 << 64), U64)
         up[0] = down[0] = 1
         have = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)
-        if size <= 1 << 22:
+        if size <= 1 << 21:
             _powers[base] = have
     return have[0][:n], have[1][:n]
 
@@ -59,7 +59,7 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a batch whose texts hold about ``limit`` bytes (one text at least), with their bytes."""
     data, offsets = buffers(batch.column(column))
     at, n = 0, len(batch)
