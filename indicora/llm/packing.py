@@ -50,6 +50,13 @@ class WordIds(dict):
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        #: Added tokens stand for one id wherever they occur, whatever words they hold.
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else re.compile("(?!)")
+
+    def simple(self, text: str) -> bool:
+        """Whether a text's ids are those of its words."""
+        return bool(SIMPLE.fullmatch(text)) and not self.added.search(text)
 
     def learn(self, words: set[str]) -> None:
         fresh = [w for w in words if w not in self]
@@ -82,7 +89,7 @@ def token_ids(texts: list[str | None], path: str, group: int = 1 << 21) -> list[
 
     The tokenizer splits words before it merges pairs, so a word's ids don't depend on its
     neighbours. Texts of simple characters are split here and their distinct words encoded once;
-    all other texts go through the tokenizer whole.
+    all other texts, also those that quote an added token, go through the tokenizer whole.
     """
     known = word_ids(path)
     end = little_endian([END_ID])
@@ -93,7 +100,7 @@ def token_ids(texts: list[str | None], path: str, group: int = 1 << 21) -> list[
         while to < len(texts) and (to == at or size < group):
             size += len(texts[to] or "")
             to += 1
-        split = [WORDS.findall(t.lower()) if SIMPLE.fullmatch(t) else None for t in (x or "" for x in texts[at:to])]
+        split = [WORDS.findall(t.lower()) if known.simple(t) else None for t in (x or "" for x in texts[at:to])]
         known.learn({w for s in split if s for w in s})
         for text, words in zip(texts[at:to], split):
             if words is None:

@@ -27,6 +27,19 @@ def test_ids_of_any_text(text):
     assert packing.token_ids([text], PATH) == [by_tokenizer(text)]
 
 
+MARKERS = ["<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "<|", "|>", "endoftext"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([*MARKERS, " ", "a", "B", "é", "1", "'s", "\n"]), max_size=12))
+def test_ids_of_texts_with_added_tokens(parts):
+    assert packing.token_ids(["".join(parts)], PATH) == [by_tokenizer("".join(parts))]
+
+
+def test_added_tokens_are_one_id():
+    assert packing.token_ids(["a <|endoftext|> b", "<|startoftext|>"], PATH) == [np.array(i, "<u4").tobytes() for i in ([320, 49407, 321, 1], [49406, 1])]
+
+
 def test_ids_with_a_small_memory(monkeypatch):
     monkeypatch.setattr(packing.WordIds, "limit", 50)
     assert packing.token_ids(odd_texts(), PATH, group=500) == [by_tokenizer(t) for t in odd_texts()]
