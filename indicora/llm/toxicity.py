@@ -77,46 +77,53 @@ def hashed_terms(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(flat), np.cumsum(np.concatenate(sizes))
 
 
-def _telling(terms: list[np.ndarray], toxic: np.ndarray, size: int, least: float, telling: float) -> np.ndarray:
-    flat = np.concatenate(terms)
-    n = np.bincount(flat, minlength=size).astype(float)
-    bad = np.bincount(flat, np.repeat(toxic, [len(t) for t in terms]), minlength=size)
-    p = toxic.mean()
-    return (n >= least) & (np.abs(bad - n * p) >= telling * np.sqrt(n * p * (1 - p)) - 1e-9)
-
-
-def fit(terms: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, *, rank: int = 6, epochs: int = 12, batch: int = 64, rate: float = 0.7, decay: float = 1e-5, least: float = 0.0005, telling: float = 3.5, seed: int = 7) -> Machine:
-    """Adagrad over shuffled rows. Learned are terms in a share ``least`` of the rows (two
-    at least) whose share of toxic rows is ``telling`` standard errors off the overall one."""
+def fit(terms: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, *, rank: int = 6, epochs: int = 12, batch: int = 64, rate: float = 0.7, decay: float = 1e-5, sparse: float = 3e-4, least: int = 2, seed: int = 7) -> Machine:
+    """Adagrad over shuffled rows. Learned are all terms in ``least`` rows or more, also those that
+    tell nothing alone: they may in pairs. ``sparse`` draws weights to zero (an L1 penalty, taken as
+    a proximal step where a term occurs), which keeps chance finds of rare terms small."""
     random = np.random.default_rng(seed)
     size = 1 << PLACE_BITS
-    known = _telling(terms, toxic, size, max(2, least * len(terms)), telling)
-    rows = [t[known[t]] for t in terms]
+    known = np.flatnonzero(np.bincount(np.concatenate(terms), minlength=size) >= least)
+    place = np.full(size, -1, np.int64)
+    place[known] = np.arange(len(known))
+    rows = [(at := place[t])[at >= 0] for t in terms]
     share = float(np.clip(np.average(toxic, weights=weight), 1e-6, 1 - 1e-6))
-    machine = Machine(np.log(share / (1 - share)), np.zeros(size), np.where(known[:, None], random.normal(0, 0.02, (size, rank)), 0))
-    sq_w, sq_v, sq_b = np.full(size, 1e-3), np.full((size, rank), 1e-3), 1e-3
+    bias, weights, vectors = np.log(share / (1 - share)), np.zeros(len(known)), random.normal(0, 0.02, (rank, len(known)))
+    sq_w, sq_v, sq_b = np.full(len(known), 1e-3), np.full((rank, len(known)), 1e-3), 1e-3
+    number = np.zeros(len(known), np.int64)
     for _ in range(epochs):
         order = random.permutation(len(rows))
         for a in range(0, len(order), batch):
             pick = order[a : a + batch]
-            offsets = np.cumsum([0, *(len(rows[i]) for i in pick)])
+            n = np.array([len(rows[i]) for i in pick])
+            offsets = np.r_[0, np.cumsum(n)]
             flat = np.concatenate([rows[i] for i in pick])
-            error = (machine.scores(flat, offsets) - toxic[pick]) * weight[pick] / batch
-            machine.bias -= rate * error.sum() / np.sqrt(sq_b := sq_b + error.sum() ** 2)
+            here = np.zeros(len(known), bool)
+            here[flat] = True
+            used = np.flatnonzero(here)
+            number[used] = np.arange(len(used))
+            at, doc = number[flat], np.repeat(np.arange(len(pick)), n)
+            own, v = weights[used], vectors[:, used]
+            total = [_sums(x[at], offsets) for x in v]
+            pairs = 0.5 * (sum(t * t for t in total) - _sums((v * v).sum(axis=0)[at], offsets)) / np.maximum(n, 1)
+            score = 1 / (1 + np.exp(-np.clip(bias + _sums(own[at], offsets) + pairs, -30, 30)))
+            error = (score - toxic[pick]) * weight[pick] / batch
+            bias -= rate * error.sum() / np.sqrt(sq_b := sq_b + error.sum() ** 2)
             if not len(flat):
                 continue
-            n = np.diff(offsets)
-            each = np.repeat(error, n)
-            v = machine.vectors[flat]
-            slope = (np.repeat(_sums(v, offsets), n, axis=0) - v) * (each / np.repeat(np.maximum(n, 1), n))[:, None]
-            used, at = np.unique(flat, return_inverse=True)
-            g = np.bincount(at, each, len(used)) + decay * machine.weights[used]
+            g = np.bincount(at, error[doc], len(used)) + decay * own
             sq_w[used] += g * g
-            machine.weights[used] -= rate * g / np.sqrt(sq_w[used])
+            step = rate / np.sqrt(sq_w[used])
+            moved = own - step * g
+            weights[used] = np.sign(moved) * np.maximum(np.abs(moved) - step * sparse, 0)
+            each = error / np.maximum(n, 1)
+            every = np.bincount(at, each[doc], len(used))
             for f in range(rank):
-                g = np.bincount(at, slope[:, f], len(used)) + decay * machine.vectors[used, f]
-                sq_v[used, f] += g * g
-                machine.vectors[used, f] -= rate * g / np.sqrt(sq_v[used, f])
+                g = np.bincount(at, (total[f] * each)[doc], len(used)) - v[f] * every + decay * v[f]
+                sq_v[f, used] += g * g
+                vectors[f, used] -= rate * g / np.sqrt(sq_v[f, used])
+    machine = Machine(bias, np.zeros(size), np.zeros((size, rank)))
+    machine.weights[known], machine.vectors[known] = weights, vectors.T
     return machine
 
 

@@ -159,6 +159,27 @@ def test_pairs_are_learned_on_held_out_rows(spark):
     assert rows(toxicity.scored(odd(spark), machine)).score.between(0, 1).all()
 
 
+def test_terms_that_tell_only_in_pairs_are_learned():
+    def drawn(n, seed):
+        random_ = np.random.default_rng(seed)
+        one, two = random_.random(n) < 0.5, random_.random(n) < 0.5
+        return [np.unique(np.r_[random_.integers(100, 700, 40), 1 if a else 2, 3 if b else 4]) for a, b in zip(one, two)], (one != two).astype(float)
+
+    terms, toxic = drawn(1500, 1)
+    machine = toxicity.fit(terms, toxic, np.ones(len(terms)))
+    unseen, y = drawn(600, 2)
+    s = machine.scores(np.concatenate(unseen), np.cumsum([0, *map(len, unseen)]))
+    assert ((s >= 0.5) == y).mean() > 0.95
+
+
+def test_a_term_is_learned_whatever_the_number_of_rows():
+    random_ = np.random.default_rng(0)
+    for n in (100, 10_000):
+        terms = [np.unique(np.r_[random_.integers(100, 700, 5), 7 if k < 4 else 100]) for k in range(n)]
+        machine = toxicity.fit(terms, (np.arange(n) % 2 == 0).astype(float), np.ones(n), epochs=1)
+        assert machine.vectors[7].any() and not machine.vectors[8].any()
+
+
 def test_pair_sum_equals_all_pairs():
     random_ = np.random.default_rng(0)
     m = toxicity.Machine(0.3, random_.normal(size=50), random_.normal(size=(50, 4)))
