@@ -120,6 +120,23 @@ def test_network_tells_keys_from_words(spark):
     assert hits >= 54 and wrong <= 6
 
 
+def test_windows_cover_candidates():
+    for n in (8, 39, 40, 41, 56, 57, 200, 1001):
+        own = secret_scan.parts(5, 5 + n)
+        assert own[0][0] == 5 and own[-1][1] == 5 + n and len(set(own)) == len(own)
+        assert all(b - a == min(n, secret_scan.BODY) for a, b in own) and all(0 < k[0] - j[0] <= secret_scan.STRIDE for j, k in zip(own, own[1:]))
+
+
+def test_secrets_far_along_and_short_ones(spark):
+    far = f"see //hooks.example.org/services/alpha/bravo/charlie/delta/echo/{'Z' * 24} end"
+    docs = frame(spark, [far, "value ZZZZZZZZ end", "value aaaaaaaa end", "value ZZZZZZZ end"])
+    one = np.zeros((secret_scan.FILTER, secret_scan.CLASSES, 1), np.float32)
+    one[:, secret_scan.CLASS[ord("Z")]] = 1  # tells five Z in a row
+    net = secret_scan.Network(one, np.full(1, -4.5, np.float32), np.full(1, 20, np.float32), -5.0, 0.5)
+    got = rows(secret_scan.scanned(docs.select("doc_id", "text"), net)).sort_values("doc_id")
+    assert got.spans.tolist() == [f"model:4:{len(far) - 4}", "model:6:14", "", ""]
+
+
 def test_no_findings(spark):
     docs = frame(spark, ["nothing here", None])
     assert rows(secret_scan.scanned(docs.select("doc_id", "text"), secret_scan.trained(docs))).spans.tolist() == ["", ""]
