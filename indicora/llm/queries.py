@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicora.llm import decontamination, exact_dedup, language_model, license_scan, line_dedup, ngram_join, packing, secret_scan, substring_dedup, toxicity
+from indicora.llm import (
+    decontamination, exact_dedup, fill_in_middle, importance_resampling, language_model, license_scan, line_dedup,
+    ngram_join, packing, secret_scan, substring_dedup, topk_search, toxicity,
+)
 from indicora.llm.common import in_fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +81,21 @@ def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return language_model.scored(docs, in_fold("doc_id", 7, 2))
+
+
+@query
+def op11_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_in_middle.transformed(table(spark, folder, "documents").select("doc_id", "text"))
+    shas = F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *shas)
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance_resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
