@@ -109,3 +109,43 @@ def window_latency(
     placed = events.withColumn("window_start", F.window("observed_at", width).start)
     p95 = exact_quantiles(placed, ["window_start"], latency, {"p95": 0.95})
     return p95.withColumn("alerting", F.col("p95") > limit)
+
+
+def window_latency_sketch(
+    events: DataFrame, latency: str, width: str = "5 minutes", limit: float = 2.0, accuracy: int = 1000
+) -> DataFrame:
+    """95th percentile per window from a mergeable quantile sketch (also valid on a stream).
+
+    The value returned is one of the window's own; its rank is off by at most n / ``accuracy``. A
+    window's state is the sketch, of a size that follows ``accuracy`` and not the number of events.
+    """
+    return (
+        events.groupBy(F.window("observed_at", width).alias("w"))
+        .agg(F.count(F.lit(1)).alias("events"), F.percentile_approx(latency, 0.95, accuracy).alias("p95"))
+        .select(F.col("w.start").alias("window_start"), "events", "p95", (F.col("p95") > limit).alias("alerting"))
+    )
+
+
+def window_growth(
+    letters: DataFrame, at: str, minutes: int = 5, look_back: int = 3, factor: float = 2.0, least: int = 10, lateness: str | None = None
+) -> DataFrame:
+    """Windows whose number of dead letters jumped: at least ``least``, and over ``factor`` times the
+    mean of the ``look_back`` windows before, of which empty ones count as zero.
+
+    Every letter counts for its own window and, as "before", for those that follow, so one mergeable
+    aggregate decides and no ordering of windows is needed. ``lateness`` is for streams.
+    """
+    step = F.make_dt_interval(mins=F.lit(minutes))
+    counted = letters.withColumn("_ahead", F.explode(F.sequence(F.lit(0), F.lit(look_back))))
+    counted = counted.withColumn("_at", F.col(at) + step * F.col("_ahead"))
+    if lateness is not None:
+        # copies lie up to look_back windows ahead of their letter
+        ahead = f"{minutes * look_back} minutes"
+        counted = counted.withWatermark("_at", f"{lateness} {ahead}")
+    sums = counted.groupBy(F.window("_at", f"{minutes} minutes").alias("w")).agg(
+        F.count_if(F.col("_ahead") == 0).alias("letters"), F.count_if(F.col("_ahead") > 0).alias("before")
+    )
+    grown = (F.col("letters") >= least) & (F.col("letters") * look_back > F.col("before") * factor)
+    return sums.where(F.col("letters") > 0).select(
+        F.col("w.start").alias("window_start"), "letters", "before", grown.alias("alerting")
+    )

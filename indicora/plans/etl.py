@@ -202,8 +202,11 @@ def load_folder(spark: SparkSession, folder: str, exclude: frozenset[str] = froz
     return Loaded(first.select(*LONG), usable, raw, found.files, rejected)
 
 
+OUTPUT_ORDER = ["indicator", "country", "year", "sub_indicator", "sex"]
+
+
 def output_order() -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in ("indicator", "country", "year", "sub_indicator", "sex")]
+    return [F.col(c).asc_nulls_last() for c in OUTPUT_ORDER]
 
 
 def load_report(spark: SparkSession, loaded: Loaded) -> DataFrame:

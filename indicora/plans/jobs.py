@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicora import schemas
+from indicora.operators import ordered
 from indicora.plans import etl
 from indicora.sources import csv_folder, tables
 
@@ -97,3 +98,9 @@ def current_long_table(spark: SparkSession, root: str) -> DataFrame:
     if version is None:
         raise FileNotFoundError(f"no long table has been published below {root}")
     return spark.read.schema(schemas.LONG_TABLE).parquet(version)
+
+
+def publish_ordered(spark: SparkSession, root: str, rows_per_range: int = 1_000_000) -> str:
+    """Write the current long table in its output order over the whole table, ready for deep pages."""
+    rows = current_long_table(spark, root)
+    return ordered.write_ordered(rows, etl.OUTPUT_ORDER, f"{root}/ordered", rows_per_range)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from indicora import vocab
+from indicora.plans.table_oracles import answers
 
 _BASE = """orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey"""
@@ -531,4 +532,5 @@ ORACLES: dict[str, str] = {
     "event_stream": f"WITH {ROUTED} SELECT {_OUTCOMES} FROM routed",
 }
 
+ORACLES |= answers(SENSOR, CHECKED, ROUTED, OPS, OBS, _FULL)
 ORACLES = {name: _snapped(sql) for name, sql in ORACLES.items()}

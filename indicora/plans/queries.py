@@ -1046,3 +1046,6 @@ def event_stream(spark, folder):
     )
     flow.awaitTermination()
     return event_flow.counts(spark, f"{root}/out")
+
+
+from indicora.plans import table_queries  # noqa: E402,F401  registers its queries

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicora.operators import warehouse
 from indicora.operators.events import observed_at
-from indicora.sources.tables import current_version, exists, replace_table
+from indicora.scaling import constant_table, keep_extreme
+from indicora.sources.key_index import KeyIndex, zone_of_key
+from indicora.sources.tables import current_version, replace_table
+
+#: Folders of keys that a load may have to look into; more are merged.
+LOAD_FOLDERS = 16
 
 
 def _store_dimension(spark: SparkSession, rows: DataFrame, root: str, name: str, key: str) -> None:
@@ -19,12 +24,52 @@ def _store_dimension(spark: SparkSession, rows: DataFrame, root: str, name: str,
     replace_table(rows, path)
 
 
-def _facts(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    path = f"{root}/{name}"
-    return spark.read.parquet(path) if exists(spark, path) else None
+def fact_index(spark: SparkSession, root: str, name: str) -> KeyIndex:
+    """Keys of a fact table's rows and the folders of its loads, published together."""
+    return KeyIndex(spark, f"{root}/_index/{name}")
+
+
+def facts(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """All rows of complete loads; None before the first."""
+    folders = fact_index(spark, root, name).row_folders()
+    return spark.read.option("basePath", f"{root}/{name}").parquet(*folders) if folders else None
+
+
+def _load(rows: DataFrame, key: list[Column], order: Column, root: str, name: str, partition: str, load_id: int | None, shape) -> DataFrame:
+    """Write one row for every key the table lacks. Returns (input, inserted, duplicates).
+
+    Keys are looked up in the index, so a load reads key files where one of its keys may be held and
+    no fact rows at all. Rows and keys become visible by one commit: a load that breaks off leaves
+    nothing that ``facts`` reads, and one that runs again under its ``load_id`` replaces its own rows.
+    A fact table is loaded by one job at a time.
+    """
+    spark = rows.sparkSession
+    index = fact_index(spark, root, name)
+    if load_id is None:
+        load_id = max((b for e in index.log.entries() for _, b in e["batches"]), default=-1) + 1
+    text = F.concat_ws("|", *[F.to_json(F.struct(F.coalesce(c.cast("string"), F.lit("")).alias("k"))) for c in key])
+    keyed = rows.withColumn("_key", F.sha2(text, 256)).persist()
+    try:
+        groups = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+        known = index.known(groups.select(zone_of_key(F.col("_key")).alias("zone"), F.col("_key").alias("key")), load_id)
+        new = groups.join(known.select(F.col("key").alias("_key")), "_key", "left_anti").select("_key")
+        first = keep_extreme(keyed.join(new, "_key", "left_semi"), ["_key"], order).persist()
+        try:
+            total, inserted = keyed.count(), first.count()
+            folder = f"{root}/{name}/load_id={load_id}"
+            if inserted:
+                shape(first.drop("_key")).write.mode("overwrite").partitionBy(partition).parquet(folder)
+            keys = first.select(zone_of_key(F.col("_key")).alias("zone"), F.col("_key").alias("key"))
+            index.add(keys, load_id, folder if inserted else None)
+        finally:
+            first.unpersist()
+    finally:
+        keyed.unpersist()
+    index.compact(LOAD_FOLDERS)
+    return constant_table(spark, {"input": [total], "inserted": [inserted], "duplicates": [total - inserted]})
 
 
-def load_weather(spark: SparkSession, accepted: DataFrame, root: str, arrival: list[str]) -> DataFrame:
+def load_weather(spark: SparkSession, accepted: DataFrame, root: str, arrival: list[str], load_id: int | None = None) -> DataFrame:
     """Load accepted events. Returns the (input, inserted, duplicates) row of this load."""
     stamped = accepted.withColumn("_stamp", observed_at(F.col("timestamp")))
     dimensions = {
@@ -36,15 +81,11 @@ def load_weather(spark: SparkSession, accepted: DataFrame, root: str, arrival: l
     }
     for name, (rows, key) in dimensions.items():
         _store_dimension(spark, rows, root, name, key)
-    existing = _facts(spark, root, "fact_weather")
-    counted = warehouse.load_counts(accepted, existing, "event_id").first()
-    first = warehouse.new_rows(accepted, existing, [F.col("event_id")], F.struct(*arrival))
-    facts = warehouse.with_weather_keys(first)
-    facts.write.mode("append").partitionBy("date_key").parquet(f"{root}/fact_weather")
-    return spark.createDataFrame([tuple(counted)], "input long, inserted long, duplicates long")
+    order = F.struct(*arrival)
+    return _load(accepted, [F.col("event_id")], order, root, "fact_weather", "date_key", load_id, warehouse.with_weather_keys)
 
 
-def load_health(spark: SparkSession, rows: DataFrame, metadata: DataFrame, root: str) -> None:
+def load_health(spark: SparkSession, rows: DataFrame, metadata: DataFrame, root: str, load_id: int | None = None) -> DataFrame:
     """Load long-table rows; a missing sub-indicator or sex counts as empty in the key."""
     _store_dimension(spark, warehouse.dim_country(rows), root, "dim_country", "country_key")
     _store_dimension(
@@ -52,6 +93,4 @@ def load_health(spark: SparkSession, rows: DataFrame, metadata: DataFrame, root:
     )
     keyed = warehouse.with_health_keys(rows)
     key = [F.col(c) for c in ("country_key", "indicator_key", "year", "sub_indicator", "sex")]
-    existing = _facts(spark, root, "fact_health")
-    new = warehouse.new_rows(keyed, existing, key, F.col("value"))
-    new.write.mode("append").partitionBy("indicator_key").parquet(f"{root}/fact_health")
+    return _load(keyed, key, F.col("value"), root, "fact_health", "indicator_key", load_id, lambda new: new)

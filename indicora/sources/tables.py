@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from indicora.functions.text import stripped
 from indicora.operators.profile import REQUIRED
 from indicora.operators.warehouse import new_rows
 from indicora.scaling import nulls_last_key
+from indicora.sources.commits import Commits
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -61,33 +64,24 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Write a new version and then point readers at it.
+    """Write a new version and then publish it under the next number.
 
-    The version folder appears only when the job has committed; a failed job leaves the
-    previous version in place. Returns the folder written.
+    The version appears only when the job has committed; a failed job leaves the previous one in
+    place. Two writers at a time both publish, one after the other. Returns the folder written.
     """
-    import uuid
-
-    spark = df.sparkSession
     version = f"{path}/v-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(version)
-    pointer = spark.range(1).select(
-        F.lit(version).alias("folder"), F.current_timestamp().alias("published_at")
-    )
-    pointer.coalesce(1).write.mode("append").parquet(f"{path}/_versions_log")
+    Commits(df.sparkSession, path).commit(lambda _: [{"folder": version}])
     return version
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    log = f"{path}/_versions_log"
-    if not exists(spark, log):
-        return None
-    newest = spark.read.schema("folder string, published_at timestamp").parquet(log)
-    row = newest.orderBy(F.col("published_at").desc()).first()
-    return row["folder"] if row else None
+def current_version(spark: SparkSession, path: str, number: int | None = None) -> str | None:
+    """Folder of the newest version, or of an older one by its number; None before the first."""
+    entries = Commits(spark, path).entries(number)
+    return entries[-1]["folder"] if entries else None
 
 
 def append_new(df: DataFrame, path: str, key: str) -> None:

@@ -1,20 +1,22 @@
 """Continuous alert lifecycle.
 
-Every micro-batch is folded into alert segments by the batch operators (which spread a noisy key
-over time slices) and merged with the open segments left by the batch before. Folders below
-``root``: closed/batch_id=<n>, open/batch_id=<n>; a batch that runs again reads the same open
-table and overwrites its own output.
+Every micro-batch is folded into alert segments by the batch operators, which spread a noisy key
+over time slices; a state function per key would gather all its signals in one task. The open
+segments of the keys it touches are looked up in a keyed state, and only changed keys are written
+back. Folders below ``root``: closed/batch_id=<n> and open (the state); a batch that runs again
+reads the state before it and replaces its own output.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from indicora.operators import alerts
-from indicora.operators.service import window_health
-from indicora.sources.tables import exists
+from indicora.operators.service import window_growth, window_health, window_latency_sketch
+from indicora.streaming.keyed_state import KeyedState
 
 
 def _merged(rows: DataFrame) -> DataFrame:
@@ -28,29 +30,32 @@ def _merged(rows: DataFrame) -> DataFrame:
     )
 
 
+def open_alerts(spark: SparkSession, root: str, schema: T.StructType) -> KeyedState:
+    """Open segments by alert key."""
+    return KeyedState(spark, f"{root}/open", "dedup_key", schema)
+
+
 def fold_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     spark = batch.sparkSession
-    fresh = alerts.segments(alerts.keyed(batch))
-    before = f"{root}/open/batch_id={batch_id - 1}"
-    if batch_id > 0:
-        if not exists(spark, before):
-            raise FileNotFoundError(f"open alerts of the batch before are missing: {before}")
-        # an open alert continues in the first segment of its key
-        carried = spark.read.schema(fresh.schema).parquet(before)
-        fresh = fresh.unionByName(carried.withColumn("segment", F.lit(0).cast("long")))
-    merged = _merged(fresh).persist()
+    fresh = alerts.segments(alerts.keyed(batch)).persist()
+    state = open_alerts(spark, root, fresh.schema)
     try:
-        for name, rows in (("closed", F.col("resolved")), ("open", ~F.col("resolved"))):
-            merged.where(rows).write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
-        # a retry of this batch reads the table before; older open alerts are superseded
-        _drop(spark, f"{root}/open/batch_id={batch_id - 2}")
+        if batch_id > 0 and batch_id - 1 not in state.batches():
+            raise FileNotFoundError(f"open alerts of the batch before are missing: {root}/open, batch {batch_id - 1}")
+        keys = fresh.select("dedup_key").distinct()
+        # an open alert continues in the first segment of its key
+        carried = state.get(keys, batch_id).withColumn("segment", F.lit(0).cast("long"))
+        merged = _merged(fresh.unionByName(carried)).persist()
+        try:
+            closed, still = merged.where("resolved"), merged.where("NOT resolved")
+            closed.write.mode("overwrite").parquet(f"{root}/closed/batch_id={batch_id}")
+            ended = closed.select("dedup_key").distinct().join(still, "dedup_key", "left_anti")
+            state.put(still, ended, batch_id)
+        finally:
+            merged.unpersist()
     finally:
-        merged.unpersist()
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        fresh.unpersist()
+    state.compact(batch_id)  # this batch may run again from the state before it
 
 
 def start(
@@ -68,20 +73,10 @@ def start(
 def alert_table(
     spark: SparkSession, root: str, acknowledgements: DataFrame | None = None
 ) -> DataFrame:
-    """All alerts: closed ones of every batch and the open ones of the newest batch."""
-    open_rows = spark.read.option("basePath", f"{root}/open").parquet(f"{root}/open")
-    last = _last_batch(spark, root)
-    current = open_rows.where(F.col("batch_id") == last) if last is not None else open_rows.limit(0)
-    closed = spark.read.option("basePath", f"{root}/closed").parquet(f"{root}/closed")
-    return alerts.alerts_of(closed.unionByName(current).drop("batch_id"), acknowledgements)
-
-
-def _last_batch(spark: SparkSession, root: str) -> int | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/open")
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in store.listStatus(path)]
-    numbers = [int(n.split("=")[1]) for n in names if n.startswith("batch_id=")]
-    return max(numbers, default=None)
+    """All alerts: closed ones of every batch and those still open."""
+    closed = spark.read.parquet(f"{root}/closed").drop("batch_id")
+    still = open_alerts(spark, root, closed.schema).all()
+    return alerts.alerts_of(closed.unionByName(still), acknowledgements)
 
 
 def windowed_errors(
@@ -89,3 +84,15 @@ def windowed_errors(
 ) -> DataFrame:
     """Error rate per event-time window of a stream; the watermark bounds the open windows."""
     return window_health(events.withWatermark("observed_at", lateness), failed, width)
+
+
+def windowed_latency(
+    events: DataFrame, latency: str, lateness: str = "10 minutes", width: str = "5 minutes", limit: float = 2.0, accuracy: int = 1000
+) -> DataFrame:
+    """95th percentile per event-time window of a stream, within a rank error of 1 / ``accuracy``."""
+    return window_latency_sketch(events.withWatermark("observed_at", lateness), latency, width, limit, accuracy)
+
+
+def windowed_growth(letters: DataFrame, lateness: str = "10 minutes", **rule) -> DataFrame:
+    """Jumps in the number of dead letters of a stream with ``failed_at``."""
+    return window_growth(letters, "failed_at", lateness=lateness, **rule)

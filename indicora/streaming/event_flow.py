@@ -2,7 +2,9 @@
 
 Folders below ``root``: accepted, duplicate, retry, dlq. Each micro-batch owns
 ``<folder>/batch_id=<n>`` and overwrites it, so running a batch again replaces its own output.
-The accepted table is the ledger too: accepting and remembering an event is one write.
+Fingerprints of accepted events are remembered in ``ledger``, an index by event day: a batch reads
+the filters of its own days and opens key files only where an event may be known. A batch that
+breaks off between its output and the ledger runs again and replaces both.
 """
 
 from __future__ import annotations
@@ -14,10 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from indicora import vocab
+from indicora.functions.keys import event_fingerprint
 from indicora.operators import events
-from indicora.operators.contracts import Rule
+from indicora.operators.contracts import Rule, passes
 from indicora.sources import json_lines
+from indicora.sources.key_index import KeyIndex
 from indicora.sources.tables import exists
+from indicora.streaming.outbox import Outbox
+
+#: Folders of fingerprints that a batch may have to look into; more are merged.
+LEDGER_FOLDERS = 16
 
 _ACCEPTED = (
     "fingerprint string, event_id string, station_id string, country string, timestamp string, "
@@ -42,14 +50,9 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).option("basePath", path).parquet(path)
 
 
-def _ledger(spark: SparkSession, root: str, batch_id: int, days: DataFrame) -> DataFrame:
-    """Fingerprints accepted by other batches on the days this batch touches.
-
-    The fingerprint covers the event time, so equal fingerprints share their day and only those
-    partitions can matter. Rows of the same batch come from an earlier attempt and are ignored.
-    """
-    known = table(spark, root, "accepted").where(F.col("batch_id") != batch_id)
-    return known.join(days, "event_day", "left_semi").select("fingerprint")
+def ledger(spark: SparkSession, root: str) -> KeyIndex:
+    """Fingerprints of accepted events. They cover the event time, so equal ones share their day."""
+    return KeyIndex(spark, f"{root}/ledger")
 
 
 def route_batch(
@@ -63,12 +66,14 @@ def route_batch(
     if parsed.isEmpty():
         parsed.unpersist()
         return
-    days = parsed.select("event_day").distinct()
+    book = ledger(spark, root)
+    valid = parsed.where(passes(rules)).select(F.col("event_day").alias("zone"), event_fingerprint().alias("key"))
+    known = book.known(valid, batch_id)
     marked = events.routed(
         parsed,
         rules,
         json_lines.ARRIVAL,
-        accepted_before=_ledger(spark, root, batch_id, days),
+        accepted_before=known.select(F.col("key").alias("fingerprint")),
         hopeless=F.col("malformed"),
     ).persist()
     try:
@@ -87,6 +92,9 @@ def route_batch(
         )
         write(again, "retry")
         write(events.dead_letters(marked, rules, failed_at), "dlq")
+        first = marked.where("outcome = 'accepted'")
+        book.add(first.select(F.col("event_day").alias("zone"), F.col("fingerprint").alias("key")), batch_id)
+        book.compact(LEDGER_FOLDERS)
     finally:
         marked.unpersist()
         parsed.unpersist()
@@ -107,7 +115,8 @@ def start(
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = reader.text(incoming).select(
+    # an outbox delivers whole folders below the one that is watched
+    lines = reader.option("recursiveFileLookup", True).text(incoming).select(
         F.col("value").alias("raw"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -162,3 +171,43 @@ def replay_due(spark: SparkSession, root: str, incoming: str, now: Column) -> Da
         chosen.unpersist()
     return spark.read.schema("attempt string, replayed_at timestamp").parquet(own)
 
+
+
+_RESOLVED = "original_payload string, resolved_at timestamp, resolution_notes string"
+
+
+def resolutions(spark: SparkSession, root: str) -> DataFrame:
+    path = f"{root}/resolved"
+    return spark.read.schema(_RESOLVED).parquet(path) if exists(spark, path) else spark.createDataFrame([], _RESOLVED)
+
+
+def dead_letters(spark: SparkSession, root: str) -> DataFrame:
+    """The dead-letter table with ``resolved_at`` and ``resolution_notes``; letters are never removed."""
+    first = resolutions(spark, root).groupBy("original_payload").agg(
+        F.min_by(F.struct("resolved_at", "resolution_notes"), "resolved_at").alias("_r")
+    )
+    letters = table(spark, root, "dlq").join(first, "original_payload", "left")
+    return letters.select(*[f.split()[0] for f in _DEAD.split(", ")], "_r.resolved_at", "_r.resolution_notes")
+
+
+def replay_corrected(spark: SparkSession, root: str, outbox: Outbox, fixes: DataFrame, now: Column, note: str) -> int:
+    """Send corrected dead letters back into the flow and mark them as resolved.
+
+    ``fixes``: (original_payload, new_payload). Only unresolved letters are taken, each payload once.
+    Lines go through ``outbox`` into the flow's incoming folder. A call that broke off is finished by
+    the next one: its lines are under way already, and the letters it did not mark are sent again and
+    found to be duplicates by the ledger. Returns the number of payloads replayed.
+    """
+    still = dead_letters(spark, root).where("resolved_at IS NULL").select("original_payload").distinct()
+    chosen = fixes.groupBy("original_payload").agg(F.min("new_payload").alias("new_payload"))
+    chosen = chosen.join(still, "original_payload", "left_semi").persist()
+    try:
+        n = chosen.count()
+        if n:
+            outbox.store(chosen.select(F.col("new_payload").alias("value")))
+            outbox.synchronise()
+            marks = chosen.select("original_payload", now.alias("resolved_at"), F.lit(note).alias("resolution_notes"))
+            marks.write.mode("append").parquet(f"{root}/resolved")
+    finally:
+        chosen.unpersist()
+    return n
