@@ -17,7 +17,6 @@ Contract of the results:
 from __future__ import annotations
 
 import re
-import struct
 import unicodedata
 import zlib
 from functools import lru_cache
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from indicora.llm.common import Batches, bounded_batches, lists, stored
+from indicora.llm.textbytes import blocks, span_hashes
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SEQUENCES = PIECES + ", sequence_id long, offset long"
@@ -38,45 +38,159 @@ END_ID = 1
 NULL_ID = -(1 << 63)
 
 
-def little_endian(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+#: Classes of characters by which the tokenizer splits words.
+SPACE, LETTER, NUMBER, OTHER, STRANGE = range(5)
+#: Latin characters end here; those below need two bytes at most.
+LATIN_END = 0x250
+_KINDS = {"L": LETTER, "N": NUMBER}
 
 
-class WordIds(dict):
-    """Token ids, as bytes, of the words met so far; bounded."""
+def _latin() -> tuple[np.ndarray, np.ndarray]:
+    """Class and lower case of every code point below ``LATIN_END``.
 
-    limit = 250_000
+    Strange are control characters, blanks beyond the plain ones, and characters whose lower case
+    is not one character of the same length in bytes: texts that hold them go to the tokenizer.
+    """
+    kinds, lower = np.full(LATIN_END, STRANGE, np.uint8), np.arange(LATIN_END)
+    for code in range(LATIN_END):
+        low = chr(code).lower()
+        if chr(code) in " \t\n\r":
+            kinds[code] = SPACE
+        elif unicodedata.category(chr(code))[0] in "LNPS" and len(low) == 1 and ord(low) < LATIN_END and len(low.encode()) == len(chr(code).encode()):
+            kinds[code] = _KINDS.get(unicodedata.category(low)[0], OTHER)
+            lower[code] = ord(low)
+    return kinds, lower
 
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
-        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        #: Added tokens stand for one id wherever they occur, whatever words they hold.
-        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else re.compile("(?!)")
 
-    def simple(self, text: str) -> bool:
-        """Whether a text's ids are those of its words."""
-        return bool(SIMPLE.fullmatch(text)) and not self.added.search(text)
+_KIND, _LOW = _latin()
+#: Longer words are not remembered.
+LONG_WORD = 256
+APOSTROPHE = 0x27
 
-    def learn(self, words: set[str]) -> None:
-        fresh = [w for w in words if w not in self]
-        if len(self) + len(fresh) > self.limit:
-            self.clear()
-            fresh = list(words)
-        for word, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self[word] = little_endian(e.ids)
 
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lowered bytes, starts, ends and texts of all words, and which texts are strange.
 
-def _classes() -> tuple[str, str]:
-    latin = [chr(c) for c in range(0x21, 0x250)]
-    pick = lambda kind: "".join(re.escape(c) for c in latin if unicodedata.category(c)[0] == kind)
-    return pick("L"), pick("N")
+    A word is a run of letters, one number character, or a run of others; an apostrophe that stands
+    alone before certain letters takes them along (the tokenizer's own rule).
+    """
+    n = len(data)
+    low = data.copy()
+    kind = np.full(n, STRANGE, np.uint8)
+    plain = data < 0x80
+    kind[plain] = _KIND[data[plain]]
+    low[plain] = _LOW[data[plain]]
+    lead = np.flatnonzero((data >= 0xC2) & (data <= 0xC9))
+    lead = lead[lead + 1 < n]
+    code = ((data[lead].astype(np.int64) & 0x1F) << 6) | (data[lead + 1] & 0x3F)
+    inside = code < LATIN_END
+    lead, code = lead[inside], code[inside]
+    for at in (lead, lead + 1):
+        kind[at] = _KIND[code]
+    low[lead], low[lead + 1] = 0xC0 | (_LOW[code] >> 6), 0x80 | (_LOW[code] & 0x3F)
+    follows = np.zeros(n, bool)
+    follows[lead + 1] = True
+
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    before = np.r_[np.uint8(SPACE), kind[:-1]] if n else kind
+    begins = (kind != SPACE) & ~follows & (edge[:-1] | (before != kind) | (kind == NUMBER))
+    _with_apostrophes(low, kind, edge, begins)
+    used = kind != SPACE
+    ends = used.copy()
+    ends[:-1] &= ~used[1:] | begins[1:] | edge[1:n]
+    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    text = np.searchsorted(offsets, start, "right") - 1
+    strange = np.zeros(len(offsets) - 1, bool)
+    strange[np.searchsorted(offsets, np.flatnonzero(kind == STRANGE), "right") - 1] = True
+    return low, start, end, text, strange
+
+
+def _with_apostrophes(low: np.ndarray, kind: np.ndarray, edge: np.ndarray, begins: np.ndarray) -> None:
+    """Let a word that is an apostrophe take the letters that belong to it."""
+    n = len(low)
+    at = np.flatnonzero((low == APOSTROPHE) & begins)
+    for letters in _AFTER_APOSTROPHE:
+        size = len(letters)
+        own = at[at + size < n]
+        hit = np.ones(len(own), bool)
+        for k, letter in enumerate(letters, 1):
+            hit &= (low[own + k] == ord(letter)) & ~edge[own + k]
+        own = own[hit]
+        begins[own + 1] = False
+        next_ = own + size + 1
+        next_ = next_[next_ < n]
+        begins[next_[kind[next_] == LETTER]] = True
+
+
+#: What an apostrophe takes along.
+_AFTER_APOSTROPHE = ("s", "t", "re", "ve", "m", "ll", "d")
+
+
+class WordIds:
+    """Token ids of the words met so far, by a 64-bit hash of the word; those met lately are kept.
+
+    Arrays sorted by hash: where a word's ids begin in ``pool``, how many they are, when it was met.
+    """
 
+    limit = 1_000_000
 
-_LETTERS, _NUMBERS = _classes()
-#: Texts of plain blanks and Latin characters, which need no Unicode normalisation.
-SIMPLE = re.compile("[\t\n\r\x20-\x7e\xa1-ɏ]*")
-WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer = tokenizer
+        self.keys, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.first, self.count, self.met = (np.zeros(0, np.int64) for _ in range(3))
+        self.now = 0
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        #: Added tokens stand for one id wherever they occur, whatever words they hold.
+        self.added = re.compile("|".join(map(re.escape, added)).encode(), re.IGNORECASE) if added else None
+        self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        for piece, n in tokenizer.get_vocab().items():
+            self.ends[n] = piece.endswith(WORD_END)
+
+    def encoded(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one after the other, and how many each has."""
+        size = end - start + 1
+        line = np.full(int(size.sum()), 0x20, np.uint8)
+        to = np.cumsum(size) - size
+        line[np.repeat(to, size - 1) + _within(size - 1)] = data[np.repeat(start, size - 1) + _within(size - 1)]
+        raw, at = line.tobytes(), [*to[::256].tolist(), len(line)]
+        lines = [raw[a:b].decode() for a, b in zip(at[:-1], at[1:])]
+        flat = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
+        cuts = np.r_[0, np.flatnonzero(self.ends[flat]) + 1]
+        if len(cuts) == len(start) + 1 and cuts[-1] == len(flat):
+            return flat, np.diff(cuts)
+        own = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([raw[a : a + n - 1].decode() for a, n in zip(to.tolist(), size.tolist())], add_special_tokens=False)]
+        return np.concatenate(own), np.array([len(i) for i in own])
+
+    def places(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of distinct words (in order of hash) begin in ``pool``, and how many they are."""
+        self.now += 1
+        at = np.minimum(np.searchsorted(self.keys, hashes), max(0, len(self.keys) - 1))
+        new = self.keys[at] != hashes if len(self.keys) else np.ones(len(hashes), bool)
+        if new.any():
+            flat, count = self.encoded(data, start[new], end[new])
+            if len(self.keys) + len(count) > self.limit:
+                self._forget(hashes)
+            where = np.searchsorted(self.keys, hashes[new])
+            self.first = np.insert(self.first, where, len(self.pool) + np.cumsum(count) - count)
+            self.count = np.insert(self.count, where, count)
+            self.met = np.insert(self.met, where, self.now)
+            self.keys = np.insert(self.keys, where, hashes[new])
+            self.pool = np.concatenate([self.pool, flat])
+            at = np.searchsorted(self.keys, hashes)
+        self.met[at] = self.now
+        return self.first[at], self.count[at]
+
+    def _forget(self, needed: np.ndarray) -> None:
+        """Keep the half met last, and those needed now."""
+        kept = (self.met > np.median(self.met)) | np.isin(self.keys, needed)
+        self.pool = self.pool[np.repeat(self.first[kept], self.count[kept]) + _within(self.count[kept])]
+        self.keys, self.count, self.met = self.keys[kept], self.count[kept], self.met[kept]
+        self.first = np.cumsum(self.count) - self.count
+
+
+#: What the tokenizer's last piece of every word ends with.
+WORD_END = "</w>"
 
 
 @lru_cache(2)
@@ -84,41 +198,68 @@ def word_ids(path: str) -> WordIds:
     return WordIds(Tokenizer.from_file(path))
 
 
-def token_ids(texts: list[str | None], path: str, group: int = 1 << 21) -> list[bytes]:
-    """Ids of each text and the end id, as little-endian 32-bit numbers.
+def ids_of(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts that lie end to end, each followed by the end id, and where each text's begin.
 
     The tokenizer splits words before it merges pairs, so a word's ids don't depend on its
-    neighbours. Texts of simple characters are split here and their distinct words encoded once;
-    all other texts, also those that quote an added token, go through the tokenizer whole.
+    neighbours. Words of Latin texts are split here and distinct ones encoded once; texts with other
+    characters or very long words, and those that quote an added token, go through the tokenizer whole.
     """
     known = word_ids(path)
-    end = little_endian([END_ID])
-    out: list[bytes] = []
-    at = 0
-    while at < len(texts):
-        to, size = at, 0
-        while to < len(texts) and (to == at or size < group):
-            size += len(texts[to] or "")
-            to += 1
-        split = [WORDS.findall(t.lower()) if known.simple(t) else None for t in (x or "" for x in texts[at:to])]
-        known.learn({w for s in split if s for w in s})
-        for text, words in zip(texts[at:to], split):
-            if words is None:
-                out.append(little_endian(known.tokenizer.encode(text, add_special_tokens=False).ids) + end)
-            else:
-                out.append(b"".join(map(known.__getitem__, words)) + end)
-        at = to
+    low, start, end, text, strange = words_of(data, offsets)
+    strange[text[end - start > LONG_WORD]] = True
+    raw = data.tobytes()
+    for found in known.added.finditer(raw) if known.added and b"<|" in raw else ():
+        strange[np.searchsorted(offsets, [found.start(), found.end() - 1], "right") - 1] = True
+    plain = ~strange[text]
+    start, end, text = start[plain], end[plain], text[plain]
+
+    hashes, first, place = np.unique(span_hashes(low, start, end), return_index=True, return_inverse=True)
+    begins, lengths = known.places(hashes, low, start[first], end[first])
+    size = lengths[place]
+    per_text = np.bincount(text, weights=size, minlength=len(strange)).astype(np.int64)
+    whole = {t: np.array(known.tokenizer.encode(raw[offsets[t] : offsets[t + 1]].decode(), add_special_tokens=False).ids, "<u4") for t in np.flatnonzero(strange).tolist()}
+    for t, own in whole.items():
+        per_text[t] = len(own)
+    where = np.cumsum(per_text + 1) - per_text - 1
+    out = np.full(int((per_text + 1).sum()), END_ID, "<u4")
+    # each word's ids go to its text's place, after those of the words before it
+    ahead = np.cumsum(size) - size
+    texts, firsts = np.unique(text, return_index=True)
+    base = np.zeros(len(strange), np.int64)
+    base[texts] = ahead[firsts]
+    to = np.repeat(where[text] + ahead - base[text], size) + _within(size)
+    out[to] = known.pool[np.repeat(begins[place], size) + _within(size)]
+    for t, own in whole.items():
+        out[where[t] : where[t] + len(own)] = own
+    return out, np.r_[where, len(out)]
+
+
+def token_ids(texts: list[str | None], path: str, group: int = 1 << 20) -> list[bytes]:
+    """Ids of each text (null: empty) and the end id, as little-endian 32-bit numbers."""
+    out = []
+    for _, data, offsets in blocks(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), limit=group):
+        ids, at = ids_of(data, offsets, path)
+        out += [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
     return out
 
 
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... within each of the runs of these sizes."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 def _pieces(path: str, capacity: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             rows = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), token_ids(batch.column("text").to_pylist(), path)):
-                for k, a in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[a : a + 4 * capacity]
-                    rows.append((doc, k, a // 4, len(part) // 4, zlib.crc32(part)))
+            for part, data, offsets in blocks(batch):
+                ids, at = ids_of(data, offsets, path)
+                raw = memoryview(ids.tobytes())
+                for doc, a, b in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                    for k, c in enumerate(range(a, b, capacity)):
+                        d = min(b, c + capacity)
+                        rows.append((doc, k, c - a, d - c, zlib.crc32(raw[4 * c : 4 * d])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return run

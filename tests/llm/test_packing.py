@@ -27,6 +27,19 @@ def test_ids_of_any_text(text):
     assert packing.token_ids([text], PATH) == [by_tokenizer(text)]
 
 
+def test_ids_of_every_latin_character():
+    """Alone, inside a word, doubled, and after an apostrophe, a digit and a sign."""
+    for code in range(1, 0x260):
+        c = chr(code)
+        texts = [c, f"ab{c}cd", f"{c}{c}", f"x {c}y'{c} 1{c}2 .{c}!", f"'{c}s'll{c}"]
+        assert packing.token_ids(texts, PATH) == [by_tokenizer(t) for t in texts], hex(code)
+
+
+def test_ids_of_long_words():
+    texts = ["a" * 3000 + " b", "é" * 200, "'" * 300, "1" * 500, "x'" * 400]
+    assert packing.token_ids(texts, PATH) == [by_tokenizer(t) for t in texts]
+
+
 MARKERS = ["<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "<|", "|>", "endoftext"]
 
 
