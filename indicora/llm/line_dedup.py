@@ -13,8 +13,9 @@ Contract of the results:
 * A key of at least ``min_chars`` code points in at least two documents keeps its lines only in the
   document with the smallest id; within that document all of them stay, also repeated ones.
 * Null or empty text: one empty line. A document may lose all lines; its text is then empty.
-* Rows with one ``doc_id`` are one document (repeats of one row lose no lines to each other); a null
-  id sorts before all others. Text comes back as a string, never null.
+* Rows with one ``doc_id`` are one document and lose no lines to each other, whether they repeat one
+  text or hold several; each loses its own lines (texts of one id are told apart by a 64-bit hash). A
+  null id sorts before all others. Text comes back as a string, never null.
 """
 
 from __future__ import annotations
@@ -118,13 +119,14 @@ def _suspects(shared, segments: int, min_chars: int):
     def run(batches: Batches) -> Batches:
         filters = {k: np.frombuffer(v, np.uint8) for k, v in shared.value.items()}
         for batch in batches:
-            docs, keys, places = [], [], []
-            for doc, text in zip(batch.column("__doc").to_pylist(), _texts(batch)):
+            docs, rows, keys, places = [], [], [], []
+            for doc, row, text in zip(batch.column("__doc").to_pylist(), batch.column("__row").to_pylist(), _texts(batch)):
                 at: dict[bytes, list[int]] = {}
                 for i, k in enumerate(line_keys(text, min_chars)):
                     if k is not None:
                         at.setdefault(k, []).append(i)
                 docs += [doc] * len(at)
+                rows += [row] * len(at)
                 keys += at.keys()
                 places += at.values()
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
@@ -140,9 +142,10 @@ def _suspects(shared, segments: int, min_chars: int):
             ends = np.cumsum([0, *(len(places[i]) for i in found)])
             yield pa.RecordBatch.from_arrays([
                 pa.array([docs[i] for i in found], pa.int64()),
+                pa.array([rows[i] for i in found], pa.int64()),
                 pa.array([keys[i] for i in found], pa.binary()),
                 lists([p for i in found for p in places[i]], ends, pa.int32()),
-            ], ["__doc", "line_key", "at"])
+            ], ["__doc", "__row", "line_key", "at"])
 
     return run
 
@@ -160,7 +163,7 @@ def _cut(counts: bool):
             added = {"text": pa.array(texts, pa.binary()).cast(pa.string())}
             if counts:
                 added |= {"n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())}
-            yield extended(batch.drop_columns(["__at", "__doc"]), **added)
+            yield extended(batch.drop_columns(["__at", "__doc", "__row"]), **added)
 
     return run
 
@@ -168,18 +171,19 @@ def _cut(counts: bool):
 def without_repeated_lines(docs: DataFrame, min_chars: int = 10, twice_bytes: int = 32 << 20, counts: bool = True) -> DataFrame:
     """The rows of ``docs`` with their texts cut, and with ``counts`` ``n_lines`` (before), ``n_dropped``."""
     spark = docs.sparkSession
-    docs = docs.drop("__doc", "__at")
-    keyed = bounded_batches(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
-    segments, filters = repeated_line_filter(keyed, min_chars, twice_bytes)
+    docs = docs.drop("__doc", "__row", "__at")
+    names = {"__doc": F.coalesce("doc_id", F.lit(NULL_ID)), "__row": F.xxhash64("text")}
+    keyed = bounded_batches(docs).withColumns(names).select("__doc", "__row", "text")
+    segments, filters = repeated_line_filter(keyed.drop("__row"), min_chars, twice_bytes)
     shared = spark.sparkContext.broadcast(filters)
-    suspects = stored(keyed.mapInArrow(_suspects(shared, segments, min_chars), "__doc long, line_key binary, at array<int>"), "line-suspects")
+    suspects = stored(keyed.mapInArrow(_suspects(shared, segments, min_chars), "__doc long, __row long, line_key binary, at array<int>"), "line-suspects")
     repeats = suspects.groupBy("line_key").agg(F.min("__doc").alias("_first"), F.max("__doc").alias("_last")).where("_first < _last")
     # stored, so that both sides of the join are shuffled for it and a hot line's rows can be split
     repeats = stored(repeats.select("line_key", "_first"), "line-repeats")
     drops = (
         suspects.join(repeats, "line_key").where("__doc > _first")
-        .groupBy("__doc").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("__at"))
+        .groupBy("__doc", "__row").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("__at"))
     )
-    rows = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(NULL_ID))).join(drops, "__doc", "left")
+    rows = docs.withColumns(names).join(drops, ["__doc", "__row"], "left")
     added = {"n_lines": "bigint", "n_dropped": "bigint"} if counts else {}
     return rows.mapInArrow(_cut(counts), with_columns(docs.drop("text").schema, text="string", **added))

@@ -62,6 +62,14 @@ def test_lines(spark, twice_bytes):
     assert set(docs.columns) | {"n_dropped"} == set(cut.columns)
 
 
+def test_lines_of_several_texts_under_one_id(spark):
+    texts = ["shared line of text", "shared line of text\nunique line a", "unique line b\nshared line of text", "unique line b\nfurther", None, "only further\nunique line a"]
+    docs = frame(spark, texts, [1, 2, 2, 3, 2, None])
+    cut = line_dedup.without_repeated_lines(docs).fillna(NONE, ["doc_id"])
+    assert listed(cut, "doc_id", "text", "n_lines", "n_dropped") == lines_by_hand(documents(docs))
+    assert {(2, "unique line b"), (3, "further"), (2, "")} <= {(r.doc_id, r.text) for r in cut.collect()}
+
+
 def test_lines_of_a_hot_source(spark):
     texts = ["common header line\n" + (prose(k, 8) if k % 3 else "second common line") for k in range(400)]
     docs = frame(spark, texts)
