@@ -15,6 +15,7 @@ Contract of the results:
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
 
 import numpy as np
@@ -40,11 +41,24 @@ def _rules() -> tuple[tuple[bytes, tuple[Rule, ...]], ...]:
 
 
 def suppressed(found: list[Detection]) -> list[Detection]:
-    """Detections that stay, in order of place."""
+    """Detections that stay, in order of place.
+
+    Strongest first, longer ones first among equals. Kept intervals that no other kept one covers are
+    held in order of start, and so of end as well: an interval is covered if the last one that
+    begins no later also ends no earlier.
+    """
     kept: list[Detection] = []
+    starts: list[int] = []
+    ends: list[int] = []
     for d in sorted(set(found), key=lambda d: (d[3], d[0] - d[1], d[0], d[2])):
-        if d[3] == 0 or not any(k[0] <= d[0] and d[1] <= k[1] for k in kept):
+        at = bisect_right(starts, d[0])
+        covered = at > 0 and ends[at - 1] >= d[1]
+        if d[3] == 0 or not covered:
             kept.append(d)
+        if not covered:
+            first = bisect_left(starts, d[0])
+            past = bisect_right(ends, d[1], first)  # those that it covers in turn
+            starts[first:past], ends[first:past] = [d[0]], [d[1]]
     return sorted(kept)
 
 
