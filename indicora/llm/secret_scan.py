@@ -6,9 +6,11 @@ long one in overlapping windows of which the highest counts:
 one-hot character classes, convolution filters over widths of five characters, the maximum of each
 filter, one output. Its labelled findings are the corpus's own: candidates that a pattern found are
 secrets; candidates that no pattern touched and that read as words, numbers or addresses are not.
-What is neither is left unlabelled and only scored. The threshold is calibrated on findings held
-back from training: the largest score that still finds ``recall`` of them, with and without what
-stands around them, never below one half.
+What is neither is left unlabelled and only scored. Patterns know a few formats only, so findings are
+widened: secrets are written anew in other alphabets, lengths, groups and prefixes, words in other
+cases and compounds, each in its own or a neutral context. Some formats are held back from training.
+The threshold is the largest score that finds ``recall`` of all labelled findings of the corpus (from
+a histogram made by the tasks) and ``FORMAT_RECALL`` of each format held back.
 
 Contract of the results:
 
@@ -22,13 +24,15 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicora.llm.common import Batches, bounded_batches, extended, with_columns
+from indicora.llm.common import Batches, bounded_batches, extended, stored, with_columns
 from indicora.llm.textbytes import blocks, word_spans
 
 #: Kinds in order, patterns, the part measured and its least length.
@@ -131,26 +135,36 @@ class Network:
         at = total.argmax(axis=1)
         return np.maximum(np.take_along_axis(total, at[:, None], 1)[:, 0] + self.bias, 0), at
 
+    @cached_property
+    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """What the filters give for every three classes in a row, and for the two that follow."""
+        one, two, three, four, five = self.filters
+        threes = one[:, None, None] + two[None, :, None] + three[None, None]
+        return threes.reshape(CLASSES**3, -1), (four[:, None] + five[None]).reshape(CLASSES**2, -1)
+
     def scores(self, rows: np.ndarray) -> np.ndarray:
         out = [np.zeros(0)]
-        for a in range(0, len(rows), 256):
-            h, _ = self.hidden(rows[a : a + 256])
+        threes, twos = self.runs
+        for a in range(0, len(rows), 128):
+            part = rows[a : a + 128].astype(np.int32)
+            pairs = part[:, :-1] * CLASSES + part[:, 1:]
+            total = threes[pairs[:, :-3] * CLASSES + part[:, 2:-2]]
+            total += twos[pairs[:, 3:]]
+            h = np.maximum(total.max(axis=1) + self.bias, 0)
             out.append(1 / (1 + np.exp(-np.clip(h @ self.out + self.out_bias, -30, 30))))
         return np.concatenate(out)
 
 
-def fit(rows: np.ndarray, secret: np.ndarray, *, filters: int = 24, epochs: int = 8, batch: int = 64, rate: float = 0.05, recall: float = 0.98, seed: int = 11) -> Network:
-    """Train by Adagrad on four fifths of the findings, half of the time on the candidate alone;
-    calibrate the threshold on the others."""
+def fit(rows: np.ndarray, secret: np.ndarray, *, filters: int = 48, epochs: int = 10, batch: int = 64, rate: float = 0.05, seed: int = 11) -> Network:
+    """Train by Adagrad, half of the time on the candidate alone."""
     random = np.random.default_rng(seed)
-    order = random.permutation(len(rows))
-    held, own = order[: len(order) // 5], order[len(order) // 5 :]
+    own = random.permutation(len(rows))
     net = Network(random.normal(0, 0.2, (FILTER, CLASSES, filters)).astype(np.float32), np.zeros(filters, np.float32), random.normal(0, 0.2, filters).astype(np.float32), 0.0)
     squares = [np.full_like(net.filters, 1e-4), np.full_like(net.bias, 1e-4), np.full_like(net.out, 1e-4), 1e-4]
     weight = np.where(secret, len(secret) / max(1, 2 * secret.sum()), len(secret) / max(1, 2 * (~secret).sum()))
     for _ in range(epochs):
         for a in range(0, len(own), batch):
-            pick = own[a : a + batch] if a else random.permutation(own)[:batch]
+            pick = own[a : a + batch]
             x = rows[pick].copy()
             blind = random.random(len(x)) < 0.5  # what stands around must not decide alone
             x[blind, :BEFORE] = x[blind, BEFORE + BODY :] = _PAD
@@ -166,14 +180,81 @@ def fit(rows: np.ndarray, secret: np.ndarray, *, filters: int = 24, epochs: int
                 squares[i] = squares[i] + slopes[i] ** 2
                 setattr(net, name, getattr(net, name) - rate * slopes[i] / np.sqrt(squares[i]))
         random.shuffle(own)
-    seen = rows[held][secret[held]]
-    alone = seen.copy()
-    alone[:, :BEFORE] = alone[:, BEFORE + BODY :] = _PAD
-    found = np.sort(np.minimum(net.scores(seen), net.scores(alone)))
-    net.threshold = max(0.5, float(found[int((1 - recall) * len(found))])) if len(found) else 1.1
     return net
 
 
+_LOWER, _UPPER, _DIGITS = b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
+#: Alphabet, least and largest length of a group, groups, what joins them, whether a prefix stands before.
+FORMATS = {
+    "hex": (b"0123456789abcdef", 16, 64, 1, b"", False),
+    "mixed": (_LOWER + _UPPER + _DIGITS, 12, 48, 1, b"", False),
+    "base64": (_LOWER + _UPPER + _DIGITS + b"+/", 20, 64, 1, b"", False),
+    "upper": (_UPPER + _DIGITS, 16, 40, 1, b"", False),
+    "lower": (_LOWER + _DIGITS, 14, 40, 1, b"", False),
+    "prefixed": (_LOWER + _UPPER + _DIGITS, 16, 40, 1, b"", True),
+    "dashed": (b"0123456789abcdef", 4, 12, 5, b"-", False),
+}
+#: Never learned; the threshold must find them.
+HELD_FORMATS = {
+    "upper hex": (b"0123456789ABCDEF", 28, 40, 1, b"", False),
+    "dotted": (_LOWER + _UPPER + _DIGITS + b"_-", 16, 40, 3, b".", False),
+    "underscored": (_LOWER + _UPPER + _DIGITS, 10, 24, 2, b"_", True),
+    "short": (_LOWER + _UPPER + _DIGITS, 12, 14, 1, b"", False),
+}
+FORMAT_RECALL = 0.92
+
+
+def written(form: tuple, random: np.random.Generator) -> bytes:
+    """A secret in a format: every group holds a digit and a letter, as random ones of this length do."""
+    letters, least, most, groups, joint, prefixed = form
+    draw = lambda: bytes(random.choice(np.frombuffer(letters, np.uint8), random.integers(least, most + 1)))
+    parts = [draw() for _ in range(groups)]
+    head = bytes(random.choice(np.frombuffer(_LOWER, np.uint8), random.integers(2, 5))) + (b"_" if random.random() < 0.5 else b"-") if prefixed else b""
+    return head + joint.join(parts)
+
+
+def _plain_again(words: list[bytes], random: np.random.Generator) -> bytes:
+    """Something that is no secret, made of candidates that are none: other cases, compounds, numbers."""
+    one, two = (words[random.integers(len(words))] for _ in range(2))
+    joint = (b"-", b"_", b".", b"/", b"")[random.integers(5)]
+    two = two.title() if joint == b"" else two
+    number = str(random.integers(1, 3000)).encode()
+    made = (one.upper(), one.title(), one + joint + two, one + joint + number, one + b"-" + number + b"." + number, one + b"/" + two + b"/" + one)
+    return made[random.integers(len(made))]
+
+
+def placed(value: bytes, around: np.ndarray) -> np.ndarray:
+    """The window at the beginning of a value that stands where another one stood."""
+    row = np.full(WIDTH, _PAD, np.int8)
+    row[:BEFORE], row[BEFORE + BODY :] = around[:BEFORE], around[BEFORE + BODY :]
+    kinds = CLASS[np.frombuffer(value, np.uint8)].astype(np.int8)
+    row[BEFORE : BEFORE + min(BODY, len(kinds))] = kinds[:BODY]
+    rest = kinds[BODY : BODY + AFTER]
+    row[BEFORE + BODY : BEFORE + BODY + len(rest)] = rest
+    return row
+
+
+def widened(rows: np.ndarray, candidates: list[bytes], secret: np.ndarray, most: int = 6000, seed: int = 5) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """Findings with others written after them, half secrets, and windows of each held-back format."""
+    random = np.random.default_rng(seed)
+    words = [c for c, s in zip(candidates, secret) if not s and c[:1].isalpha()] or [b"plain"]
+    n = min(most, 4 * len(rows)) // 2
+    around = lambda s: rows[random.choice(np.flatnonzero(secret if s and random.random() < 0.5 else ~secret))]
+    forms = list(FORMATS.values())
+    more = [placed(written(forms[k % len(forms)], random), around(True)) for k in range(n)]
+    more += [placed(_plain_again(words, random), around(False)) for _ in range(n)]
+    held = {name: np.stack([placed(written(form, random), around(k % 2 == 0)) for k in range(400)]) for name, form in HELD_FORMATS.items()}
+    return np.concatenate([rows, np.stack(more)]), np.r_[secret, np.ones(n, bool), np.zeros(n, bool)], held
+
+
+def overlaps(spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[bool]:
+    """Which spans overlap a base span; ``base`` is sorted by start."""
+    starts, ends = np.array([x[0] for x in base]), np.maximum.accumulate([x[1] for x in base])
+    last = np.searchsorted(starts, [b for _, b in spans], "left")  # base spans that begin before a span ends
+    reach = np.r_[-1, ends][last]
+    return (reach > np.array([a for a, _ in spans])).tolist()
+
+
 def _texts(batch: pa.RecordBatch):
     """For each text: bytes, base spans, candidates that overlap none, candidates inside one."""
     for _, data, offsets in blocks(batch):
@@ -183,40 +264,96 @@ def _texts(batch: pa.RecordBatch):
         for t in range(len(offsets) - 1):
             text = raw[offsets[t] : offsets[t + 1]]
             base = base_spans(text, hexes[t])
-            apart = [c for c in keys[t] if not any(a < c[1] and c[0] < b for a, b, _ in base)] if base else keys[t]
-            within = [c for c in keys[t] if any(a < c[1] and c[0] < b for a, b, _ in base)] if base else []
-            yield text, base, apart, within
+            if not base or not keys[t]:
+                yield text, base, keys[t], []
+                continue
+            touched = overlaps(keys[t], base)
+            yield text, base, [c for c, x in zip(keys[t], touched) if not x], [c for c, x in zip(keys[t], touched) if x]
+
 
+def _found(text: bytes, base: list, apart: list, within: list) -> tuple[list, list]:
+    """Windows of a text that are labelled: those of secrets and those of none."""
+    yes = [p for c in within for p in parts(*c)]
+    yes = [p for p, x in zip(yes, overlaps(yes, base)) if x] if yes else []
+    no = [p for c in apart if _WORDLIKE.fullmatch(text[c[0] : c[1]]) for p in parts(*c) if p[0] == c[0] or _PLAIN.fullmatch(text[p[0] : p[1]])]
+    return yes, no
+
+
+def _sampled(per_label: int):
+    """Of a task's labelled windows, those of smallest hash for each label."""
 
-def _findings(label: bool):
     def run(batches: Batches) -> Batches:
+        held: list[dict[int, tuple[bytes, bytes]]] = [{}, {}]
+
+        def trim(own: dict) -> dict:
+            return {h: own[h] for h in sorted(own)[:per_label]}
+
         for batch in batches:
-            rows, keys = [], []
-            for text, base, apart, within in _texts(batch):
-                if label:
-                    own = [p for c in within for p in parts(*c) if any(a < p[1] and p[0] < b for a, b, _ in base)]
-                else:
-                    own = [p for c in apart if _WORDLIKE.fullmatch(text[c[0] : c[1]]) for p in parts(*c) if p[0] == c[0] or _PLAIN.fullmatch(text[p[0] : p[1]])]
-                if own:
-                    rows += map(bytes, windows(np.frombuffer(text, np.uint8), own))
-                    keys += [text[a:b] for a, b in own]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(keys, pa.binary())], ["window", "candidate"])
+            for text, *rest in _texts(batch):
+                for label, spans in enumerate(reversed(_found(text, *rest))):
+                    data = np.frombuffer(text, np.uint8)
+                    for at in range(0, len(spans), SLICE):
+                        for (a, b), row in zip(spans[at : at + SLICE], windows(data, spans[at : at + SLICE])):
+                            held[label].setdefault(xxhash.xxh3_64_intdigest(raw := row.tobytes() + text[a:b]) >> 1, (raw[:WIDTH], text[a:b]))
+                        if len(held[label]) > 4 * per_label:
+                            held[label] = trim(held[label])
+        rows = [(label == 1, h, *x) for label in (0, 1) for h, x in trim(held[label]).items()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, (pa.bool_(), pa.int64(), pa.binary(), pa.binary()))], ["secret", "h", "window", "candidate"])
 
     return run
 
 
-def trained(docs: DataFrame, per_label: int = 4000) -> Network:
-    """Fit on a bounded sample of labelled findings: of each label those of smallest hash."""
+#: Bins of the histogram of scores, and windows scored at a time.
+BINS, SLICE = 1000, 1 << 14
+
+
+def _histogram(shared):
+    """How many labelled secrets of a task score in each bin, with and without what stands around."""
+
+    def run(batches: Batches) -> Batches:
+        total = np.zeros(BINS, np.int64)
+        for batch in batches:
+            for text, *rest in _texts(batch):
+                yes, _ = _found(text, *rest) if rest[2] else ([], [])
+                for at in range(0, len(yes), SLICE):
+                    rows = windows(np.frombuffer(text, np.uint8), yes[at : at + SLICE])
+                    alone = rows.copy()
+                    alone[:, :BEFORE] = alone[:, BEFORE + BODY :] = _PAD
+                    score = np.minimum(shared.value.scores(rows), shared.value.scores(alone))
+                    total += np.bincount(np.minimum((score * BINS).astype(np.int64), BINS - 1), minlength=BINS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bin", "n"])
+
+    return run
+
+
+def calibrated(net: Network, texts: DataFrame, held: dict[str, np.ndarray], recall: float) -> float:
+    """The largest threshold that finds ``recall`` of all findings and ``FORMAT_RECALL`` of each held-back format."""
+    shared = texts.sparkSession.sparkContext.broadcast(net)
+    counts = np.zeros(BINS, np.int64)
+    for k, n in texts.mapInArrow(_histogram(shared), "bin int, n long").groupBy("bin").agg(F.sum("n")).collect():
+        counts[k] = n
+    above = np.cumsum(counts[::-1])[::-1]  # findings that score in a bin or above it
+    own = float(np.flatnonzero(above >= recall * above[0])[-1]) / BINS
+    return min(own, *(float(np.sort(net.scores(rows))[int((1 - FORMAT_RECALL) * len(rows))]) for rows in held.values()))
+
+
+def trained(docs: DataFrame, per_label: int = 4000, recall: float = 0.98) -> Network:
+    """Fit on a bounded sample of labelled findings (of each label those of smallest hash), calibrate on all."""
     texts = bounded_batches(docs).select("text")
+    own = stored(texts.mapInArrow(_sampled(per_label), "secret boolean, h long, window binary, candidate binary"), "secret-findings")
     rows = []
     for label in (True, False):
-        found = texts.mapInArrow(_findings(label), "window binary, candidate binary")
-        rows += found.select("window", F.xxhash64("window", "candidate").alias("h")).distinct().orderBy("h", "window").limit(per_label).withColumn("secret", F.lit(label)).collect()
+        rows += own.where(F.col("secret") == label).distinct().orderBy("h", "window").limit(per_label).collect()
     secret = np.array([r.secret for r in rows], bool)
     if not secret.any() or secret.all():
         none = np.zeros(1, np.float32)
         return Network(np.zeros((FILTER, CLASSES, 1), np.float32), none, none, 0.0)
-    return fit(np.stack([np.frombuffer(r.window, np.int8) for r in rows]), secret)
+    found = np.stack([np.frombuffer(r.window, np.int8) for r in rows])
+    found, secret, held = widened(found, [bytes(r.candidate) for r in rows], secret)
+    net = fit(found, secret)
+    net.threshold = calibrated(net, texts, held, recall)
+    return net
 
 
 def _places(text: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -235,16 +372,30 @@ def scanned(docs: DataFrame, net: Network) -> DataFrame:
     def run(batches: Batches) -> Batches:
         net = shared.value
         for batch in batches:
-            texts, rows, heads, n = [], [], [], 0
+            texts, scores, waiting, n = [], [], [], 0
+
+            def score() -> None:
+                if waiting:
+                    rows = np.concatenate([windows(data, spans) for data, spans, _ in waiting])
+                    heads = np.concatenate([h for *_, h in waiting])
+                    # a candidate scores as its highest window
+                    scores.append(np.maximum.reduceat(net.scores(rows), np.cumsum(heads) - heads))
+                    waiting.clear()
+
+            first = 0
             for text, base, apart, _ in _texts(batch):
-                read = [parts(*c) for c in apart]
-                rows.append(windows(np.frombuffer(text, np.uint8), [p for own in read for p in own]))
-                texts.append((text, base, apart, len(heads)))
-                for own in read:
-                    heads.append(n)
-                    n += len(own)
-            # a candidate scores as its highest window
-            scores = np.maximum.reduceat(net.scores(np.concatenate(rows)), heads) if heads else np.zeros(0)
+                texts.append((text, base, apart, first))
+                first += len(apart)
+                data = np.frombuffer(text, np.uint8)
+                for at in range(0, len(apart), SLICE // 8):
+                    read = [parts(*c) for c in apart[at : at + SLICE // 8]]
+                    waiting.append((data, [p for own in read for p in own], np.array([len(own) for own in read])))
+                    n += len(waiting[-1][1])
+                    if n > SLICE:
+                        score()
+                        n = 0
+            score()
+            scores = np.concatenate(scores) if scores else np.zeros(0)
             out = []
             for text, base, apart, first in texts:
                 more = [(a, b, 3) for (a, b), s in zip(apart, scores[first : first + len(apart)]) if s >= net.threshold]

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -120,6 +121,42 @@ def test_network_tells_keys_from_words(spark):
     assert hits >= 54 and wrong <= 6
 
 
+def test_formats_never_learned_are_found(spark):
+    """Formats held back from training, in sentences like none of the training texts."""
+    pick = random.Random(8)
+    code = lambda n, letters: "".join(pick.choice(letters) for _ in range(n))
+    texts = [f"{prose(k, 30)} token={code(20, 'abcdefghijkmnpq23456789ABCDEFGH')} {prose(k + 500, 30)} {code(40, '0123456789abcdef')} notwithstanding Understandably www.example.org/reading-list 2024-05-06 12345678" for k in range(200)]
+    docs = frame(spark, texts)
+    net = secret_scan.trained(docs)
+    numbers = np.random.default_rng(2)
+    for name, form in secret_scan.HELD_FORMATS.items():
+        for context in ("It stood on the wall: {} and nobody knew", '{{"auth": "{}"}}', "bearer {}\n"):
+            own = [context.format(secret_scan.written(form, numbers).decode()) for _ in range(100)]
+            found = rows(secret_scan.scanned(frame(spark, own).select("doc_id", "text"), net))
+            assert sum("model" in s or "hex" in s or "assign" in s for s in found.spans) >= 85, (name, context)
+    plain = frame(spark, [prose(k, 60) + " notwithstanding Understandably www.example.org/reading-list 2024-05-06 12345678" for k in range(1000, 1200)])
+    assert sum(s != "" for s in rows(secret_scan.scanned(plain.select("doc_id", "text"), net)).spans) <= 10  # a hundredth of the candidates
+
+
+def test_overlaps_by_hand():
+    pick = random.Random(4)
+    for _ in range(200):
+        base = sorted((a, a + pick.randrange(1, 9), 0) for a in (pick.randrange(60) for _ in range(pick.randrange(1, 9))))
+        spans = sorted((a, a + pick.randrange(1, 9)) for a in (pick.randrange(60) for _ in range(6)))
+        assert secret_scan.overlaps(spans, base) == [any(a < d and c < b for a, b, _ in base) for c, d in spans]
+
+
+def test_long_texts_of_one_kind(spark):
+    """A megabyte of assignments, or of one phrase: work grows with the text, not with its square."""
+    began = time.time()
+    docs = frame(spark, ["token=abcdefgh1 " * 65_000, "a1b2c3d4e5" * 100_000])
+    got = rows(secret_scan.scanned(docs.select("doc_id", "text"), secret_scan.Network(np.zeros((5, secret_scan.CLASSES, 1), np.float32), np.zeros(1), np.zeros(1), 0.0)))
+    assert sorted(got.n_assign) == [0, 65_000]
+    docs = frame(spark, ["under the mit license " * 50_000])
+    assert rows(license_scan.scanned(docs.select("doc_id", "text"))).n_base.tolist() == [50_000]
+    assert time.time() - began < 120
+
+
 def test_windows_cover_candidates():
     for n in (8, 39, 40, 41, 56, 57, 200, 1001):
         own = secret_scan.parts(5, 5 + n)
@@ -348,3 +385,14 @@ def test_queries_cover_the_table(spark, tiny, name):
     if name == "op9_secret_scan":
         by_hand = {i: hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans_by_hand(t)).encode()).hexdigest() for i, t in zip(docs.doc_id, docs.text)}
         assert by_hand == dict(zip(got.doc_id, got.base_sha256))
+
+
+def test_suppression_by_hand():
+    pick = random.Random(6)
+    for _ in range(300):
+        found = [(a, a + pick.randrange(9), pick.choice("ab"), pick.randrange(3) * 10, 0.5) for a in (pick.randrange(25) for _ in range(pick.randrange(1, 14)))]
+        want = []
+        for d in sorted(set(found), key=lambda d: (d[3], d[0] - d[1], d[0], d[2])):
+            if d[3] == 0 or not any(k[0] <= d[0] and d[1] <= k[1] for k in want):
+                want.append(d)
+        assert license_scan.suppressed(found) == sorted(want)
