@@ -18,6 +18,7 @@ Contract of the results:
   stretch begins or ends with an unchanged q-gram, which is where alignment starts. One row per document and
   item: ids, the place of the best stretch in the document (code points of its text), its edits, and
   the item's share of bytes that verified stretches cover.
+* Long runs of one character and the like take time in proportion to the text: see ``_hits``.
 * Items of fewer than ``q`` normalised bytes, null or empty texts match nothing. Repeated rows of one
   ``doc_id`` or ``item_id`` give one row: the one with fewest edits, then the first place.
 """
@@ -33,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicora.llm.common import Batches, bounded_batches, stored
-from indicora.llm.textbytes import LOWER, NOT_WORD, U64, blocks
+from indicora.llm.textbytes import BYTE_BASE, LOWER, NOT_WORD, U64, blocks, mixed, powers
 
 NULL_ID = -(1 << 63)
 Q = 8
 _TABLE_BITS = 22
+#: Pairs of equal q-grams held at a time; grams are crowded beyond so many pairs a byte.
+HITS, CROWDED = 1 << 20, 1
 _CANON = LOWER.copy()
 _CANON[NOT_WORD] = 0x20
 
@@ -108,16 +111,54 @@ def indexed(ids: list[int], texts: list[str | None], min_chars: int, max_edits:
     return Items(np.array(ids, np.int64), data, begins, least, edits, least + 1 - Q * (edits + 1), g[at], at, item[at])
 
 
-def _hits(doc: np.ndarray, items: Items, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (place in the documents, number of the item's gram) of equal q-grams."""
+def _first_of_kind(doc: np.ndarray, begins: np.ndarray, owner: np.ndarray, place: np.ndarray, around: int) -> np.ndarray:
+    """Places whose surroundings don't stand earlier in the same text; all near a text's ends.
+
+    Alignments around two places with the same ``around`` bytes on both sides come out alike, and of
+    equal ones the first place counts. Surroundings are compared by 64-bit hash.
+    """
+    up, down = powers(BYTE_BASE, len(doc) + 1)
+    total = np.zeros(len(doc) + 1, U64)
+    np.cumsum((doc.astype(U64) + U64(1)) * up[:-1], out=total[1:])
+    text = owner[place]
+    first = (place - around < begins[text]) | (place + around > begins[text + 1])
+    inner = np.flatnonzero(~first)
+    p = place[inner]
+    kind = mixed((total[p + around] - total[p - around]) * down[p - around]) ^ mixed(text[inner].astype(U64))
+    first[inner[np.unique(kind, return_index=True)[1]]] = True
+    return first
+
+
+def _hits(doc: np.ndarray, begins: np.ndarray, owner: np.ndarray, items: Items, known: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs (place in the documents, number of the item's gram) of equal q-grams, and which of them
+    may begin a stretch: all of them once, in slices of about ``HITS`` pairs that overlap by the
+    length of a stretch. Where grams are crowded, as in long runs of one character, places that
+    look like an earlier one begin none, and pairs out of reach of every beginning are left out.
+    """
     g = grams(doc)
     place = np.flatnonzero(known[_slot(g)])
+    place = place[place + Q <= begins[owner[place] + 1]]
     g = g[place]
     low, high = np.searchsorted(items.gram, g, "left"), np.searchsorted(items.gram, g, "right")
-    n = high - low
-    place, low, n = place[n > 0], low[n > 0], n[n > 0]
-    which = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return np.repeat(place, n), which
+    place, low, n = place[high > low], low[high > low], (high - low)[high > low]
+    if not len(place):
+        return
+    reach = int(items.least.max())
+    leads = np.ones(len(place), bool)
+    if n.sum() > CROWDED * len(doc):
+        leads = _first_of_kind(doc, begins, owner, place, 3 * reach + 2 * int(items.edits.max()) + Q)
+        before = np.maximum.accumulate(np.where(leads, np.arange(len(place)), -1))
+        near = (before >= 0) & (place - place[np.maximum(before, 0)] <= reach)
+        place, low, n, leads = place[near], low[near], n[near], leads[near]
+    total = np.cumsum(n)
+    at = 0
+    while at < len(place):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + HITS, "right")))
+        end = int(np.searchsorted(place, place[to - 1] + reach, "right"))
+        own = n[at:end]
+        which = np.repeat(low[at:end], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        yield np.repeat(place[at:end], own), which, np.repeat(leads[at:end] & (np.arange(at, end) < to), own)
+        at = to
 
 
 def banded_edits(a: np.ndarray, b: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +179,7 @@ def banded_edits(a: np.ndarray, b: np.ndarray, width: int) -> tuple[np.ndarray,
     return row.min(axis=1), row.argmin(axis=1)
 
 
-def _stretches(place: np.ndarray, which: np.ndarray, owner: np.ndarray, items: Items) -> tuple[np.ndarray, ...]:
+def _stretches(place: np.ndarray, which: np.ndarray, leads: np.ndarray, owner: np.ndarray, items: Items) -> tuple[np.ndarray, ...]:
     """Starts of dense stretches: (document, item, place in the document, place in the item)."""
     item = items.item[which]
     diagonal = place - items.at[which]
@@ -151,7 +192,7 @@ def _stretches(place: np.ndarray, which: np.ndarray, owner: np.ndarray, items: I
         d = owner[p]
         need = items.shared[t]
         ahead = np.arange(len(p)) + need - 1
-        ok = (need > 0) & (ahead < len(p))
+        ok = leads[order] & (need > 0) & (ahead < len(p))
         ahead = np.minimum(ahead, max(0, len(p) - 1))
         ok &= (d[ahead] == d) & (t[ahead] == t) & (b[ahead] == b)
         ok &= p[ahead] - p <= items.least[t] - Q
@@ -163,10 +204,9 @@ def _stretches(place: np.ndarray, which: np.ndarray, owner: np.ndarray, items: I
     return tuple(np.unique(np.concatenate(found), axis=0).T)
 
 
-def _verified(doc: np.ndarray, begins: np.ndarray, starts: tuple[np.ndarray, ...], items: Items) -> Iterator[tuple]:
-    """(document, item, edits, first and last place in the document, share of the item) of matches."""
+def _verify(doc: np.ndarray, begins: np.ndarray, starts: tuple[np.ndarray, ...], items: Items, best: dict[tuple[int, int], list]) -> None:
+    """Keep, by document and item, the fewest edits, first and last place, and the bytes covered."""
     owner, item, p, j = starts
-    best: dict[tuple[int, int], list] = {}
     for length in np.unique(items.least[item]):
         own = np.flatnonzero(items.least[item] == length)
         for a in range(0, len(own), 4096):
@@ -190,8 +230,6 @@ def _verified(doc: np.ndarray, begins: np.ndarray, starts: tuple[np.ndarray, ...
                     entry[:3] = [int(edits[i]), lo, hi]
                 k = int(j0[i] - items.begins[key[1]])
                 entry[3][k : k + length] = True
-    for (d, t), (edits, lo, hi, covered) in best.items():
-        yield d, t, edits, lo, hi, float(covered.mean())
 
 
 MATCHES = "doc_id long, item_id long, edits int, doc_start long, doc_end long, item_share double"
@@ -204,15 +242,16 @@ def _matches(shared):
         for batch in batches:
             for slice_, data, offsets in blocks(batch):
                 doc, begins, origin = normalised(data, offsets)
-                place, which = _hits(doc, items, known)
-                if not len(place):
-                    continue
                 owner = np.searchsorted(begins, np.arange(len(doc)), "right") - 1
-                whole = place + Q <= begins[owner[place] + 1]
-                starts = _stretches(place[whole], which[whole], owner, items)
+                best: dict[tuple[int, int], list] = {}
+                for place, which, leads in _hits(doc, begins, owner, items, known):
+                    _verify(doc, begins, _stretches(place, which, leads, owner, items), items, best)
+                if not best:
+                    continue
                 ids = slice_.column("__doc").to_pylist()
                 rows = []
-                for d, t, edits, lo, hi, share in _verified(doc, begins, starts, items):
+                for (d, t), (edits, lo, hi, covered) in best.items():
+                    share = float(covered.mean())
                     text = data[offsets[d] : offsets[d + 1]]
                     chars = np.cumsum((text & 0xC0) != 0x80)
                     first, last = int(origin[lo] - offsets[d]), int(origin[max(lo, hi - 1)] - offsets[d])

@@ -396,3 +396,72 @@ def test_suppression_by_hand():
             if d[3] == 0 or not any(k[0] <= d[0] and d[1] <= k[1] for k in want):
                 want.append(d)
         assert license_scan.suppressed(found) == sorted(want)
+
+
+def crowded_matches(texts, items, crowded, hits=1 << 20):
+    """Matches of texts and items, in this process."""
+    before = decontamination.CROWDED, decontamination.HITS
+    decontamination.CROWDED, decontamination.HITS = crowded, hits
+    try:
+        held = decontamination.indexed(list(range(len(items))), items, 60, 0.09)
+        raw = [t.encode() for t in texts]
+        doc, begins, _ = decontamination.normalised(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        owner = np.searchsorted(begins, np.arange(len(doc)), "right") - 1
+        best = {}
+        for place, which, leads in decontamination._hits(doc, begins, owner, held, held.known()):
+            decontamination._verify(doc, begins, decontamination._stretches(place, which, leads, owner, held), held, best)
+        return {k: (*v[:3], round(float(v[3].mean()), 9)) for k, v in best.items()}
+    finally:
+        decontamination.CROWDED, decontamination.HITS = before
+
+
+def test_crowded_grams_change_no_match():
+    pick = random.Random(11)
+    few = lambda n: "".join(pick.choice("ab ") for _ in range(n))
+    items = ["a" * 70, "ab" * 50, few(120), prose(7, 20)]
+    texts = ["a" * 900 + "b" + "a" * 400, "ab" * 300 + items[2][10:90] + "ba" * 200, "x" + "a" * 63, items[3] + " " + "ab" * 40 + " " + items[3][5:], few(1500)]
+    want = crowded_matches(texts, items, 1e9)
+    assert want and {(0, 0), (1, 1), (3, 3)} <= set(want)
+    for crowded, hits in ((0, 1 << 20), (0, 50), (1e9, 70)):
+        assert crowded_matches(texts, items, crowded, hits) == want
+
+
+def test_a_long_run_of_one_character():
+    began = time.time()
+    got = crowded_matches(["a" * 2_000_000, "b" * 10 + "a" * 300_000 + "b"], ["a" * 200, "b" * 200], decontamination.CROWDED)
+    assert set(got) == {(0, 0), (1, 0)} and got[0, 0][:2] == (0, 0) and got[0, 0][3] == 1.0
+    assert time.time() - began < 20
+
+
+def test_matches_by_hand():
+    """Every stretch of every item against every place of every text."""
+    pick = random.Random(12)
+    items = [prose(k + 40, 9)[: 62 + k] for k in range(3)]
+    texts = []
+    for k in range(24):
+        item = items[k % 3]
+        part = list(item[: 60 + k % 3])
+        for _ in range(k // 2):
+            at = pick.randrange(len(part))
+            part[at : at + 1] = pick.choice(["", "q", part[at] + "z"])
+        texts.append(f"{prose(k, 4)} {''.join(part)} {prose(k + 9, 3)}")
+    got = crowded_matches(texts, items, decontamination.CROWDED)
+    plain = lambda t: " ".join(WORD.findall(t.translate(LOW)))
+    want = set()
+    for d, text in enumerate(map(plain, texts)):
+        for t, item in enumerate(map(plain, items)):
+            length, most = min(60, len(item)), int(min(60, len(item)) * 0.09)
+            if any(edits_by_hand_anywhere(item[j : j + length], text) <= most for j in range(len(item) - length + 1)):
+                want.add((d, t))
+    assert set(got) == want and 8 <= len(want) < 24
+
+
+def edits_by_hand_anywhere(a, b):
+    """Least edits between a and some stretch of b."""
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
