@@ -38,6 +38,8 @@ from indicora.llm.common import Batches, bounded_batches, stored
 BLOCK, SEGMENT = 128, 8192
 #: Components in a segment at most, and on the two sides of a cell on average.
 SEGMENT_SIZE, ROW_SIZE, COLUMN_SIZE = 1 << 22, 1 << 20, 1 << 21
+#: Tasks that all cells are dealt to, at most; a task has its cells one after the other.
+MOST_TASKS = 20_000
 #: Bounds held at a time, and most candidates kept before they are cut to the best.
 TILE, PENDING = 1 << 24, 1 << 20
 #: Whole numbers below these are exact in single and double precision.
@@ -256,6 +258,9 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 20, scale: float = 64.0, id
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     queries = packs.where("q_n > 0").select("kind", "dims", "q_n", "q_keys", "q_ids", "q_vectors", "q_kth", dealt(down).alias("down"), every(across).alias("across"))
     table = packs.select("segment", "n", "dims", "kind", "ids", "vectors", dealt(across).alias("across"), every(down).alias("down"))
+    # a stated number of tasks: adaptive execution would fold cells by their bytes, but they are work
+    tasks = min(down * across, MOST_TASKS)
+    queries, table = (side.repartition(tasks, "down", "across") for side in (queries, table))
     found = queries.groupBy("down", "across").cogroup(table.groupBy("down", "across")).applyInArrow(_cell(k), FOUND)
     ids = lambda name: F.when(F.col(name) != NULL_ID, F.col(name)).alias(name)
     best = Window.partitionBy("query_key").orderBy(F.desc("score"), "vec_id", "vec_key")
