@@ -10,14 +10,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicora.functions.numbers import rounded
 from indicora.functions.quantiles import exact_quantiles
 from indicora.learning.features import ANOMALY_FEATURES, calibrated, review_level
+from indicora.session import scratch_path
 
 TREES, SAMPLE, CONTAMINATION, SEED = 260, 256, 0.03, 42
+#: Partitions whose samples meet in one round.
+FAN = 16
 _TREE = "tree int, split array<int>, cut array<double>, low array<int>, high array<int>, length array<double>"
 
 
@@ -73,6 +77,7 @@ def _smallest(features: list[str], trees: int):
         for tree in range(trees):
             if len(hashes[tree]):
                 out = pd.DataFrame(best[tree], columns=features)
+                out.insert(0, "_slot", TaskContext.get().partitionId())
                 out.insert(0, "_draw", (_draw(hashes[tree], tree) >> np.uint64(1)).astype(np.int64))
                 out.insert(0, "tree", tree)
                 yield out
@@ -92,20 +97,31 @@ def _samples(frame: DataFrame, key: list[str], features: list[str], trees: int)
 
     The subsample per tree is the method's own setting. Every partition first keeps its own
     smallest, whatever the size of the input, so at most ``SAMPLE`` rows per tree and partition
-    are shuffled; draws follow from the key, so a retry repeats them.
+    are stored and merged; draws follow from the key, so a retry repeats them.
     """
     hashed = frame.select(F.xxhash64(*key, F.lit(SEED)).alias("_h"), *[F.col(c).cast("double") for c in features])
-    shape = ", ".join(["tree int", "_draw long", *[f"`{c}` double" for c in features]])
-    own = hashed.mapInPandas(_smallest(features, trees), shape)
+    shape = ", ".join(["tree int", "_draw long", "_slot int", *[f"`{c}` double" for c in features]])
+    path = scratch_path(frame.sparkSession, "tree-samples")
+    hashed.mapInPandas(_smallest(features, trees), shape).write.parquet(path)
+    return _merged(frame.sparkSession.read.schema(shape).parquet(path), features, trees)
+
+
+def _merged(own: DataFrame, features: list[str], trees: int, fan: int = FAN) -> DataFrame:
+    """The smallest draws of every tree from the smallest of every partition, in rounds.
+
+    A round brings ``fan`` partitions' rows of a tree together and keeps the ``SAMPLE`` smallest, so no
+    group ever holds more than ``fan`` times ``SAMPLE`` rows, however many partitions there were.
+    """
+    slots = (own.agg(F.max("_slot")).first()[0] or 0) + 1
     # a stated number of tasks keeps adaptive execution from folding all trees into one
-    tasks = min(trees, frame.sparkSession.sparkContext.defaultParallelism * 2)
-    ranked = Window.partitionBy("tree").orderBy("_draw", *features)
-    return (
-        own.repartition(tasks, "tree")
-        .withColumn("_rank", F.row_number().over(ranked))
-        .where(F.col("_rank") <= SAMPLE)
-        .select("tree", "_rank", *features)
-    )
+    tasks = min(trees, own.sparkSession.sparkContext.defaultParallelism * 2)
+    while True:
+        slots = -(-slots // fan)
+        own = own.withColumn("_slot", F.floor(F.col("_slot") / fan).cast("int")).repartition(max(tasks, min(slots, 1000)), "tree", "_slot")
+        ranked = Window.partitionBy("tree", "_slot").orderBy("_draw", *features)
+        own = own.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= SAMPLE)
+        if slots <= 1:
+            return own.select("tree", "_rank", *features)
 
 
 @dataclass

@@ -33,6 +33,25 @@ def _numbers(row, skip: tuple[str, ...] = ()) -> dict[str, float]:
     return {k: float(v) for k, v in row.asDict().items() if v is not None and k not in skip}
 
 
+def lineage(annual: DataFrame) -> tuple:
+    """What a model learned from: digest, rows, countries, indicators, first and last year."""
+    facts = annual.agg(
+        F.count_distinct("country").alias("countries"),
+        F.count_distinct("indicator").alias("indicators"),
+        F.min("year").alias("year_min"),
+        F.max("year").alias("year_max"),
+    ).first()
+    digest = table_digest(annual.select("country", "indicator", "year", "value")).first()
+    return (digest["digest"], digest["rows"], *facts)
+
+
+def append(spark: SparkSession, root: str, entries: list[tuple]) -> None:
+    """Add entries: kind, version, location, lineage, metrics, quality gates."""
+    untimed = ", ".join(p for p in _ENTRY.split(", ") if not p.startswith("trained_at"))
+    stamped = spark.createDataFrame(entries, untimed).withColumn("trained_at", F.current_timestamp())
+    stamped.write.mode("append").parquet(f"{root}/registry")
+
+
 def train_all(spark: SparkSession, annual: DataFrame, root: str, trees: int | None = None) -> Trained:
     """Train both models, save them under ``root`` and append two registry rows.
 
@@ -63,13 +82,7 @@ def train_all(spark: SparkSession, annual: DataFrame, root: str, trees: int | No
     ]
     spark.createDataFrame(nodes, isolation._TREE).write.parquet(f"{root}/isolation_trees/{run}")
 
-    facts = annual.agg(
-        F.count_distinct("country").alias("countries"),
-        F.count_distinct("indicator").alias("indicators"),
-        F.min("year").alias("year_min"),
-        F.max("year").alias("year_max"),
-    ).first()
-    digest = table_digest(annual.select("country", "indicator", "year", "value")).first()
+    shared = lineage(annual)
     written = [f"{root}/{n}/{run}" for n in (*tables, "forecast_preparation", "forecast_forest", "isolation_trees")]
     series = ["country", "indicator"]
     learned = training.groupBy(*series).agg(F.max("year").alias("_learned"))
@@ -78,21 +91,18 @@ def train_all(spark: SparkSession, annual: DataFrame, root: str, trees: int | No
         "artifacts_written": all(exists(spark, path) for path in written),
         "time_based_forecast_holdout": leaks == 0,
         "model_versioning": read(spark, root).where(F.col("version").endswith(run)).limit(1).count() == 0,
-        "lineage_hash_recorded": bool(digest["digest"]),
+        "lineage_hash_recorded": bool(shared[0]),
         "drift_baseline_recorded": statistics.limit(1).count() > 0,
     }
     flagged = isolation.metrics(detector.scored(ready)).first()
-    shared = (digest["digest"], digest["rows"], *facts)
     entries = [
-        ("forecast", f"forecast-rf-{digest['digest'][:8]}-{run}", f"{root}/forecast_forest/{run}",
+        ("forecast", f"forecast-rf-{shared[0][:8]}-{run}", f"{root}/forecast_forest/{run}",
          *shared, _numbers(overall.first()), quality),
-        ("anomaly", f"anomaly-iforest-{digest['digest'][:8]}-{run}", f"{root}/isolation_trees/{run}",
+        ("anomaly", f"anomaly-iforest-{shared[0][:8]}-{run}", f"{root}/isolation_trees/{run}",
          *shared, {**_numbers(flagged), "cut": detector.cut, "q05": detector.q05,
                    "q50": detector.q50, "q95": detector.q95}, quality),
     ]
-    untimed = ", ".join(p for p in _ENTRY.split(", ") if not p.startswith("trained_at"))
-    stamped = spark.createDataFrame(entries, untimed).withColumn("trained_at", F.current_timestamp())
-    stamped.write.mode("append").parquet(f"{root}/registry")
+    append(spark, root, entries)
     stored = {n: spark.read.parquet(f"{root}/{n}/{run}") for n in tables}
     return Trained(
         forecaster, detector, stored["statistics"], stored["residuals"], overall, read(spark, root)

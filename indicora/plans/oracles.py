@@ -532,5 +532,5 @@ ORACLES: dict[str, str] = {
     "event_stream": f"WITH {ROUTED} SELECT {_OUTCOMES} FROM routed",
 }
 
-ORACLES |= answers(SENSOR, CHECKED, ROUTED, OPS, OBS, _FULL)
+ORACLES |= answers(SENSOR, CHECKED, ROUTED, OPS, OBS, SERIES, _FULL)
 ORACLES = {name: _snapped(sql) for name, sql in ORACLES.items()}

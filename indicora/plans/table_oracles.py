@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from indicora import vocab
 
-def answers(sensor: str, checked: str, routed: str, ops: str, obs: str, full: str) -> dict[str, str]:
+_DIRECTED = set().union(*vocab.DIRECTIONS.values())
+
+
+def answers(sensor: str, checked: str, routed: str, ops: str, obs: str, series: str, full: str) -> dict[str, str]:
     """``sensor`` to ``obs``: common table expressions; ``full``: the format of shown times."""
     raw = """raw AS (
       SELECT CASE c_nationkey % 6 WHEN 0 THEN 'Vietnam' WHEN 1 THEN 'Laos' WHEN 2 THEN 'Thailand' WHEN 3 THEN 'Brunei' WHEN 4 THEN 'Myanmar' END AS country,
@@ -53,5 +57,11 @@ def answers(sensor: str, checked: str, routed: str, ops: str, obs: str, full: st
         "raw_folder_charsets": "SELECT * FROM (VALUES ('Open  Orders (Total).csv', 'windows-1252'), ('filled_orders.csv', 'UTF-8')) v(file_name, charset)",
         "typed_scan": """SELECT o_orderstatus AS country, o_orderpriority AS indicator, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n,
             round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 GROUP BY 1, 2, 3""",
+        "tree_samples": """WITH r AS (SELECT count(*) AS n FROM (SELECT DISTINCT o_custkey, year(o_orderdate) FROM orders))
+            SELECT CAST(tree AS INTEGER) AS tree, least(256, n) AS n, least(256, n) AS most, CAST(1 AS BIGINT) AS samples FROM r, range(2) t(tree)""",
+        "direction_union": f"""SELECT o_orderkey % {len(_DIRECTED) + 2} AS slot, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
+            WHERE o_orderkey % {len(_DIRECTED) + 2} < {len(_DIRECTED)} GROUP BY 1""",
+        "registry_entries": f"""WITH {series} SELECT 'forecast' AS kind, 'forecast-2' AS version, count(*) AS rows, count(DISTINCT country) AS countries,
+            count(DISTINCT indicator) AS indicators, min(year) AS year_min, max(year) AS year_max, CAST(3 AS BIGINT) AS entries FROM ser WHERE year <= 1996""",
         "metadata_scan": "SELECT TRUE AS present, p_type AS kind, count(*) AS n, count(*) AS whole FROM part GROUP BY 2",
     }

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indicora import vocab
 from indicora.functions import keys
 from indicora.functions.numbers import rounded
-from indicora.operators import events, filters, ordered, service
+from indicora.learning import isolation, registry
+from indicora.operators import events, filters, ordered, risk, service
 from indicora.plans import etl, retention, star, views
 from indicora.plans.queries import _now, _routed, _rules, _shown, _stamp, query
 from indicora.scaling import constant_table
@@ -333,3 +336,44 @@ def metadata_scan(spark, folder):
     return both.groupBy("present", F.split("description", ",")[0].alias("kind")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("description").contains("\nsecond line")).alias("whole")
     )
+
+
+# --- models -------------------------------------------------------------------------------------------
+@query
+def tree_samples(spark, folder):
+    """Rows that two trees of an isolation forest learn from: merged from forty partitions, and from one."""
+    rows = views.customer_series(spark, folder).select("o_custkey", "year", "value", F.col("year").cast("double").alias("at"))
+    out = None
+    for label, parts in (("one", 1), ("forty", 40)):
+        drawn = isolation._samples(rows.repartition(parts), ["o_custkey", "year"], ["value", "at"], 2)
+        own = drawn.groupBy("tree").agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct("value", "at").alias("distinct_rows"), rounded(F.sum("value"), 2).alias("total")
+        ).withColumn("from", F.lit(label))
+        out = own if out is None else out.unionByName(own)
+    same = out.groupBy("tree").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.countDistinct("total").alias("samples"))
+    return same.select("tree", "n", "most", "samples")
+
+
+@query
+def direction_union(spark, folder):
+    """Orders dealt to indicators, counted where either risk profile gives the indicator a direction."""
+    profiles = [risk.direction_table(spark, p).select("indicator") for p in vocab.DIRECTIONS]
+    directed = reduce(DataFrame.unionByName, profiles).distinct()
+    names = F.array(*[F.lit(n) for n in [*sorted(set().union(*vocab.DIRECTIONS.values())), "rainfall", "population"]])
+    dealt = views.table(spark, folder, "orders").select((F.col("o_orderkey") % F.size(names)).alias("slot"), "o_totalprice")
+    named = dealt.withColumn("indicator", F.element_at(names, (F.col("slot") + 1).cast("int")))
+    return named.join(directed, "indicator").groupBy("slot").agg(F.count(F.lit(1)).alias("n"), rounded(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query
+def registry_entries(spark, folder):
+    """Three runs in a registry of models; the newest entry of a kind stands."""
+    root = scratch_path(spark, "registry")
+    series = views.indicator_series(spark, folder)
+    for run in range(3):
+        learned = registry.lineage(series.where(F.col("year") <= 1994 + run))
+        registry.append(spark, root, [("forecast", f"forecast-{run}", "nowhere", *learned, {"run": float(run)}, {"kept": True})])
+    entries = registry.read(spark, root)
+    return registry.newest(entries).select(
+        "kind", "version", "rows", "countries", "indicators", "year_min", "year_max", F.lit(entries.count()).cast("long").alias("entries")
+    )

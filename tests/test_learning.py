@@ -58,6 +58,20 @@ def test_isolation_forest(spark, annual):
     assert again.cut == pytest.approx(model.cut, abs=1e-12)
 
 
+def test_samples_merged_in_rounds(spark, annual):
+    """However the rows are partitioned and merged, a tree's sample is its smallest draws."""
+    frame = features.anomaly_features(changes := features.with_changes(annual), features.indicator_statistics(changes))
+    names = features.ANOMALY_FEATURES
+    wanted = None
+    for parts, fan in ((1, 16), (40, 3), (7, 2)):
+        shape = ", ".join(["tree int", "_draw long", "_slot int", *[f"`{c}` double" for c in names]])
+        hashed = frame.repartition(parts).select(F.xxhash64("country", "indicator", "year", F.lit(isolation.SEED)).alias("_h"), *[F.col(c).cast("double") for c in names])
+        own = hashed.mapInPandas(isolation._smallest(names, 5), shape)
+        got = sorted(map(tuple, isolation._merged(own, names, 5, fan).collect()))
+        wanted = wanted or got
+        assert len(got) == 5 * 96 and got == wanted
+
+
 def test_drift(spark, annual):
     baseline = features.indicator_statistics(features.with_changes(annual))
     details = features.drift_details(annual, baseline)
