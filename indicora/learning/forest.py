@@ -1,4 +1,4 @@
-"""Random-forest forecasts of annual series with Spark ML."""
+"""Random-forest forecasts of annual series."""
 
 from __future__ import annotations
 
@@ -9,20 +9,18 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicora.functions.numbers import rounded
+from indicora.learning import histogram_forest
 from indicora.learning.features import FORECAST_NUMBERS
+from indicora.learning.histogram_forest import Forest
 from indicora.operators.series import SERIES
 from indicora.scaling import constant_table
-from indicora.session import scratch_path
 
 # --- fixed values: forest settings ----------------------------------------------------------
 TREES, DEPTH, LEAF_ROWS, SEED = 240, 14, 2, 42
-BINS = 256
-ROWS_PER_TASK = 20_000
 HISTORY = 5
 PLAUSIBLE_SPREADS, RESIDUAL_SHARE = 3.0, 0.25
 
@@ -40,24 +38,10 @@ def preprocessing() -> Pipeline:
     )
 
 
-def regressor(trees: int = TREES) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        labelCol="value",
-        numTrees=trees,
-        maxDepth=DEPTH,
-        minInstancesPerNode=LEAF_ROWS,
-        featureSubsetStrategy="all",
-        maxBins=BINS,
-        maxMemoryInMB=512,  # per task: few passes, and bounded
-        cacheNodeIds=False,
-        seed=SEED,
-    )
-
-
 @dataclass
 class Forecaster:
     preparation: PipelineModel
-    forest: RandomForestRegressionModel
+    forest: Forest
 
     def predicted(self, frame: DataFrame) -> DataFrame:
         scored = self.forest.transform(self.preparation.transform(frame))
@@ -72,7 +56,7 @@ class Forecaster:
         ]
 
     def importances(self, spark, top: int = 15) -> DataFrame:
-        weights = self.forest.featureImportances.toArray()
+        weights = self.forest.importances
         table = constant_table(
             spark, {"feature": self.feature_names(), "importance": [float(w) for w in weights]}
         )
@@ -85,48 +69,18 @@ class Forecaster:
     def node_arrays(self, spark) -> list[dict[str, np.ndarray]]:
         """Trees as arrays. Their size is bounded by the number of trees and the depth, not by
         the data that is scored."""
-        path = scratch_path(spark, "forest")
-        self.forest.write().save(path)
-        node = F.struct(
-            F.col("nodeData.id").alias("id"),
-            F.col("nodeData.leftChild").alias("low"),
-            F.col("nodeData.rightChild").alias("high"),
-            F.col("nodeData.split.featureIndex").alias("split"),
-            F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("cut"),
-            F.col("nodeData.prediction").alias("value"),
-            (F.col("nodeData.split.numCategories") > 0).alias("named"),
-        )
-        stored = spark.read.parquet(f"{path}/data").groupBy("treeID").agg(
-            F.array_sort(F.collect_list(node)).alias("nodes")
-        )
-        forest = []
-        for row in sorted(stored.collect(), key=lambda r: r["treeID"]):
-            columns = list(zip(*[tuple(n) for n in row["nodes"]]))
-            forest.append(
-                {
-                    "low": np.asarray(columns[1], dtype=np.int64),
-                    "high": np.asarray(columns[2], dtype=np.int64),
-                    "split": np.asarray(columns[3], dtype=np.int64),
-                    "cut": np.asarray([np.nan if c is None else c for c in columns[4]], dtype=float),
-                    "value": np.asarray(columns[5], dtype=float),
-                    # one-hot columns are split by the one category that goes low
-                    "named": np.asarray(columns[6], dtype=bool),
-                }
-            )
-        return forest
+        return self.forest.trees
 
 
 def train(frame: DataFrame, trees: int = TREES) -> Forecaster:
-    preparation = preprocessing().fit(frame)
-    ready = preparation.transform(frame).select("features", "value")
-    # best splits are searched by as many tasks as the input has; a small frame that adaptive
-    # execution folded into one partition is spread over the cores again
-    tasks = max(frame.sparkSession.sparkContext.defaultParallelism, frame.count() // ROWS_PER_TASK)
-    ready = ready.repartition(tasks).persist()
+    """Rows are told apart by series and year; they decide which trees draw a row how often."""
+    frame = frame.select(*SERIES, "year", *[c for c in FORECAST_NUMBERS if c != "year"], "value").persist()
     try:
-        return Forecaster(preparation, regressor(trees).fit(ready))
+        preparation = preprocessing().fit(frame)
+        ready = preparation.transform(frame).select("features", "value", F.xxhash64(*SERIES, "year").alias("key"))
+        return Forecaster(preparation, histogram_forest.fit(ready, trees, DEPTH, LEAF_ROWS, SEED))
     finally:
-        ready.unpersist()
+        frame.unpersist()
 
 
 def _tree_values(shared):

@@ -75,7 +75,7 @@ def train_all(spark: SparkSession, annual: DataFrame, root: str, trees: int | No
     for name, table in tables.items():
         table.write.parquet(f"{root}/{name}/{run}")
     forecaster.preparation.write().save(f"{root}/forecast_preparation/{run}")
-    forecaster.forest.write().save(f"{root}/forecast_forest/{run}")
+    forecaster.forest.table(spark).write.parquet(f"{root}/forecast_forest/{run}")
     nodes = [
         (i, t["split"].tolist(), t["cut"].tolist(), t["low"].tolist(), t["high"].tolist(), t["length"].tolist())
         for i, t in enumerate(detector.trees)

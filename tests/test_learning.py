@@ -2,9 +2,10 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from indicora.learning import features, forest, isolation, registry
+from indicora.learning import features, forest, histogram_forest, isolation, registry
 from indicora.operators import series
 
 
@@ -72,6 +73,33 @@ def test_samples_merged_in_rounds(spark, annual):
         assert len(got) == 5 * 96 and got == wanted
 
 
+def _leaves(tree):
+    return sorted(tree["value"][tree["low"] < 0].round(9).tolist())
+
+
+def test_trees_split_by_level_equal_local_ones(spark):
+    """Nodes split from summed histograms, and the same ones grown in a single task."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 30, (600, 3)).astype(float)
+    y = x[:, 0] * 2 + (x[:, 1] > 12) * 40 + rng.normal(0, 0.01, 600)
+    rows = [(int(k), Vectors.dense(p), float(v)) for k, p, v in zip(range(600), x, y)]
+    frame = spark.createDataFrame(rows, ["key", "features", "value"])
+    whole = histogram_forest.fit(frame, 3, 6, 2, 1)
+    levels = histogram_forest.fit(frame.repartition(4), 3, 6, 2, 1, local=40)
+    assert [_leaves(t) for t in whole.trees] == [_leaves(t) for t in levels.trees]
+    assert np.allclose(whole.importances, levels.importances, atol=1e-6) and whole.importances[2] < 0.01
+    scored = levels.transform(frame).collect()
+    assert all(abs(r["prediction"] - r["value"]) < 15 for r in scored)
+    # by hand: the first split of every tree has the least squares of all
+    for number, tree in enumerate(whole.trees):
+        w = histogram_forest.weights(np.arange(600).astype(np.int64).view(np.uint64), number, 1)
+        best = min(
+            (sum((w[m] * (y[m] - np.average(y[m], weights=w[m])) ** 2).sum() for m in (low & (w > 0), ~low & (w > 0))), f, c)
+            for f in range(3) for c in range(29) for low in [x[:, f] <= c] if (low & (w > 0)).sum() >= 2 and (~low & (w > 0)).sum() >= 2
+        )
+        assert (tree["split"][0], tree["cut"][0]) == (best[1], best[2])
+
+
 def test_drift(spark, annual):
     baseline = features.indicator_statistics(features.with_changes(annual))
     details = features.drift_details(annual, baseline)
