@@ -1,11 +1,11 @@
 """Regression forest grown from histograms of binned features.
 
-Features are cut into at most ``BINS`` bins at quantiles and packed into one byte each. A bootstrap
+Features are cut into at most ``BINS`` bins at quantiles and packed into two bytes each. A bootstrap
 weight per row and tree follows from the row's key. Nodes of many rows are split level by level: tasks
 add up, per node and feature, the rows and sums of every bin, the sums of all tasks meet per node and
 feature, and the best split of each node comes back. A node of at most ``LOCAL`` rows is sent, rows and
-all, to one task that grows the rest of its subtree. So no task holds more than ``LOCAL`` rows or
-``SLOTS`` histograms, and a small frame costs one shuffle instead of one per level.
+all, to one task that grows the rest of its subtree. So no task holds more than ``LOCAL`` rows of a node
+or ``CELLS`` sums, and a small frame costs one shuffle instead of one per level.
 """
 
 from __future__ import annotations
@@ -19,14 +19,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BINS = 256
-#: Rows of a node that one task grows on, and nodes whose histograms are made in one job.
-LOCAL, SLOTS = 50_000, 1024
+BINS = 1024
+#: Rows of a node that one task grows on, and bins of all histograms that are made in one job.
+LOCAL, CELLS = 50_000, 1 << 22
 #: Chances of a bootstrap weight of 0, 1, 2, ... at most (Poisson with mean 1).
 _POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, k + 1, dtype=float)) for k in range(12)])
 
-_SUBTREE = "tree int, node int, low array<int>, high array<int>, split array<int>, bin array<int>, value array<double>, gain array<double>"
-_SPLITS = "slot int, feature int, gain double, bin int, rows_low double, rows_high double, value_low double, value_high double"
+_SUBTREE = "tree int, node int, low array<int>, high array<int>, split array<int>, bin array<int>, next array<int>, value array<double>, gain array<double>"
+_SPLITS = "slot int, feature int, gain double, bin int, next int, rows_low double, rows_high double, value_low double, value_high double"
 
 
 def _bits(keys: np.ndarray, salt: int) -> np.ndarray:
@@ -35,54 +35,46 @@ def _bits(keys: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def weights(keys: np.ndarray, tree: int, seed: int) -> np.ndarray:
-    """How often each row is drawn for a tree."""
+def weights(keys: np.ndarray, tree: int, seed: int | None) -> np.ndarray:
+    """How often each row is drawn for a tree; once without a seed."""
+    if seed is None:
+        return np.ones(len(keys), np.int64)
     unit = (_bits(_bits(keys, seed), tree + 1) >> np.uint64(11)) * 2.0**-53
     return np.searchsorted(_POISSON, unit, "right")
 
 
-def best_splits(rows: np.ndarray, weight: np.ndarray, total: np.ndarray, first: np.ndarray, least: int) -> np.ndarray:
-    """Gain of every split "bin or below".
-
-    ``rows``, ``weight``, ``total``: rows, weights and weighted sums per bin, features end to end.
-    """
-    width = np.diff(first)
-    run = np.cumsum([rows, weight, total], axis=1)
-    before = np.zeros((3, len(width)))
-    before[:, 1:] = run[:, first[1:-1] - 1]
-    n, w, s = run - np.repeat(before, width, axis=1)
-    all_n, all_w, all_s = np.repeat(run[:, first[1:] - 1] - before, width, axis=1)
-    ok = (n >= least) & (all_n - n >= least)
+def gains(n: np.ndarray, w: np.ndarray, s: np.ndarray, least: int) -> np.ndarray:
+    """Gain of every split, from the rows, weights and sums up to it; the last row holds all."""
+    ok = (n >= least) & (n[-1] - n >= least)
     with np.errstate(divide="ignore", invalid="ignore"):
-        gain = s * s / w + (all_s - s) ** 2 / (all_w - w) - all_s * all_s / all_w
+        gain = s * s / w + (s[-1] - s) ** 2 / (w[-1] - w) - s[-1] * s[-1] / w[-1]
     return np.where(ok, gain, -np.inf)
 
 
-def grown(bins: np.ndarray, y: np.ndarray, w: np.ndarray, first: np.ndarray, depth: int, limit: int, least: int) -> dict[str, list]:
+def grown(bins: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, limit: int, least: int) -> dict[str, list]:
     """The subtree over some rows, whose root lies at ``depth``."""
-    nodes: dict[str, list] = {k: [] for k in ("low", "high", "split", "bin", "value", "gain")}
-    flat = bins.astype(np.int64) + first[:-1]
-    size = int(first[-1])
+    nodes: dict[str, list] = {k: [] for k in ("low", "high", "split", "bin", "next", "value", "gain")}
 
     def add(at: np.ndarray, depth: int) -> int:
         here = len(nodes["low"])
         own_w, own_y = w[at], y[at]
-        for name, start in (("low", -1), ("high", -1), ("split", -1), ("bin", -1), ("value", float((own_w * own_y).sum() / own_w.sum())), ("gain", 0.0)):
+        mean = float((own_w * own_y).sum() / own_w.sum())
+        for name, start in (("low", -1), ("high", -1), ("split", -1), ("bin", -1), ("next", -1), ("value", mean), ("gain", 0.0)):
             nodes[name].append(start)
         if depth >= limit or len(at) < 2 * least or own_y.min() == own_y.max():
             return here
-        places = flat[at].ravel()
-        per = flat.shape[1]
-        gain = best_splits(
-            np.bincount(places, minlength=size), np.bincount(places, np.repeat(own_w, per), size),
-            np.bincount(places, np.repeat(own_w * (own_y - nodes["value"][here]), per), size), first, least,
-        )
-        cut = int(gain.argmax())
-        if not gain[cut] > 0:
+        own = bins[at]
+        order = np.argsort(own, axis=0, kind="stable")
+        own = np.take_along_axis(own, order, 0)
+        n = np.broadcast_to(np.arange(1, len(at) + 1)[:, None], own.shape)
+        gain = gains(n, np.cumsum(own_w[order], 0), np.cumsum((own_w * (own_y - mean))[order], 0), least)
+        gain[:-1][own[:-1] == own[1:]] = -np.inf
+        feature, row = divmod(int(gain.T.argmax()), len(at))
+        if not gain[row, feature] > 0:
             return here
-        feature = int(np.searchsorted(first, cut, "right")) - 1
-        goes_low = flat[at, feature] <= cut
-        nodes["split"][here], nodes["bin"][here], nodes["gain"][here] = feature, cut - int(first[feature]), float(gain[cut])
+        cut, past = int(own[row, feature]), int(own[row + 1, feature])
+        goes_low = bins[at, feature] <= cut
+        nodes["split"][here], nodes["bin"][here], nodes["next"][here], nodes["gain"][here] = feature, cut, past, float(gain[row, feature])
         nodes["low"][here] = add(at[goes_low], depth + 1)
         nodes["high"][here] = add(at[~goes_low], depth + 1)
         return here
@@ -95,12 +87,12 @@ class _Tree:
     """Splits found so far; ``open`` nodes wait for theirs."""
 
     def __init__(self, rows: int):
-        self.low, self.high, self.split, self.bin, self.value, self.gain = ([x] for x in (-1, -1, -1, -1, 0.0, 0.0))
+        self.low, self.high, self.split, self.bin, self.next, self.value, self.gain = ([x] for x in (-1, -1, -1, -1, -1, 0.0, 0.0))
         self.depth, self.rows = [0], [float(rows)]
         self.open = [0]
 
     def add(self, depth: int, rows: float, value: float) -> int:
-        for column, x in zip((self.low, self.high, self.split, self.bin, self.value, self.gain, self.depth, self.rows), (-1, -1, -1, -1, value, 0.0, depth, rows)):
+        for column, x in zip((self.low, self.high, self.split, self.bin, self.next, self.value, self.gain, self.depth, self.rows), (-1, -1, -1, -1, -1, value, 0.0, depth, rows)):
             column.append(x)
         return len(self.low) - 1
 
@@ -117,7 +109,7 @@ class _Tree:
 
 
 def _matrix(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, features)
+    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), "<u2").reshape(-1, features)
     return bins, batch.column("value").to_numpy(), batch.column("key").to_numpy().view(np.uint64)
 
 
@@ -126,13 +118,13 @@ def _binned(edges: list[np.ndarray]):
         for batch in batches:
             column = batch.column("points")
             points = column.flatten().to_numpy().reshape(len(batch), -1) if len(batch) else np.zeros((0, len(edges)))
-            bins = np.stack([np.searchsorted(e, points[:, f], "left") for f, e in enumerate(edges)], axis=1).astype(np.uint8) if edges else points
+            bins = np.stack([np.searchsorted(e[:-1], points[:, f], "left") for f, e in enumerate(edges)], axis=1).astype("<u2")
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([r.tobytes() for r in bins], pa.binary()), batch.column("value")], ["key", "bins", "value"])
 
     return run
 
 
-def _histograms(trees: dict[int, _Tree], slots: dict[tuple[int, int], int], first: np.ndarray, seed: int):
+def _histograms(trees: dict[int, _Tree], slots: dict[tuple[int, int], int], first: np.ndarray, seed: int | None):
     """Rows, weights and sums of a task, per slot and feature."""
 
     def run(batches):
@@ -162,20 +154,21 @@ def _split_of(least: int):
 
     def run(part: pa.Table) -> pa.Table:
         sums = sum(np.frombuffer(x, np.float64).reshape(3, -1) for x in part.column("sums").to_pylist())
-        first = np.array([0, sums.shape[1]])
-        gain = best_splits(*sums, first, least)
+        used = np.flatnonzero(sums[0])
+        run = np.cumsum(sums[:, used], axis=1)
+        gain = gains(*run, least)
         cut = int(gain.argmax())
-        n, w, s = sums[:, : cut + 1].sum(axis=1)
-        all_n, all_w, all_s = sums.sum(axis=1)
-        high = all_w - w
-        row = (part.column("slot")[0].as_py(), part.column("feature")[0].as_py(), float(gain[cut]), cut, n, all_n - n, s / w if w else all_s / all_w, (all_s - s) / high if high else all_s / all_w)
-        kinds = (pa.int32(), pa.int32(), pa.float64(), pa.int32()) + (pa.float64(),) * 4
+        (n, w, s), (all_n, all_w, all_s) = run[:, cut], run[:, -1]
+        ends = int(used[cut]), int(used[min(cut + 1, len(used) - 1)])
+        high = (all_s - s) / (all_w - w) if all_w > w else all_s / all_w
+        row = (part.column("slot")[0].as_py(), part.column("feature")[0].as_py(), float(gain[cut]), *ends, n, all_n - n, s / w, high)
+        kinds = (pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32()) + (pa.float64(),) * 4
         return pa.Table.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], [c.split()[0] for c in _SPLITS.split(", ")])
 
     return run
 
 
-def _dealt(trees: dict[int, _Tree], features: int, seed: int):
+def _dealt(trees: dict[int, _Tree], features: int, seed: int | None):
     """Rows of open nodes, one for each tree that drew them."""
 
     def run(batches):
@@ -196,16 +189,16 @@ def _dealt(trees: dict[int, _Tree], features: int, seed: int):
     return run
 
 
-def _subtree(first: np.ndarray, limit: int, least: int):
+def _subtree(limit: int, least: int):
     def run(part: pa.Table) -> pa.Table:
         part = part.combine_chunks()
-        bins = np.frombuffer(b"".join(part.column("bins").to_pylist()), np.uint8).reshape(len(part), -1)
+        bins = np.frombuffer(b"".join(part.column("bins").to_pylist()), "<u2").reshape(len(part), -1)
         # sums don't depend on the order in which rows arrive
         order = np.lexsort((part.column("value").to_numpy(), part.column("key").to_numpy()))
         y, w = part.column("value").to_numpy()[order], part.column("weight").to_numpy()[order].astype(float)
-        nodes = grown(bins[order], y, w, first, part.column("depth")[0].as_py(), limit, least)
+        nodes = grown(bins[order], y, w, part.column("depth")[0].as_py(), limit, least)
         ints = pa.list_(pa.int32())
-        kinds = (ints,) * 4 + (pa.list_(pa.float64()),) * 2
+        kinds = (ints,) * 5 + (pa.list_(pa.float64()),) * 2
         head = [pa.array([part.column(c)[0].as_py()], pa.int32()) for c in ("tree", "node")]
         return pa.Table.from_arrays([*head, *(pa.array([nodes[n]], k) for n, k in zip(nodes, kinds))], ["tree", "node", *nodes])
 
@@ -245,20 +238,23 @@ class Forest:
 
 
 def quantile_edges(rows: DataFrame, features: int, bins: int = BINS) -> list[np.ndarray]:
-    """Per feature, the largest value of every bin but the last; the driver gets bins times features numbers."""
+    """Per feature, the largest value of every bin; the driver gets bins times features numbers."""
     marks = F.array(*[F.lit(k / bins) for k in range(1, bins)])
     cells = [F.percentile_approx(F.col("points")[f], marks, 20_000).alias(f"q{f}") for f in range(features)]
     ends = [F.max(F.col("points")[f]).alias(f"m{f}") for f in range(features)]
     row = rows.agg(*cells, *ends).first()
-    return [np.array(sorted(v for v in set(row[f"q{f}"]) if v < row[f"m{f}"])) for f in range(features)]
+    return [np.array(sorted({*row[f"q{f}"], row[f"m{f}"]})) for f in range(features)]
 
 
-def fit(ready: DataFrame, trees: int, depth: int, least: int, seed: int, local: int = LOCAL) -> Forest:
-    """Grow a forest over ``ready``: features (vector), value, key (long, tells rows apart)."""
+def fit(ready: DataFrame, trees: int, depth: int, least: int, seed: int | None, local: int = LOCAL) -> Forest:
+    """Grow a forest over ``ready``: features (vector), value, key (long, tells rows apart).
+
+    Without a ``seed`` every tree learns from all rows.
+    """
     rows = ready.select("key", vector_to_array("features").alias("points"), F.col("value").cast("double").alias("value"))
     features = rows.select(F.size("points")).first()[0]
     edges = quantile_edges(rows, features)
-    first = np.cumsum([0, *(len(e) + 1 for e in edges)])
+    first = np.cumsum([0, *map(len, edges)])
     binned = rows.mapInArrow(_binned(edges), "key long, bins binary, value double").persist()
     try:
         n = binned.count()
@@ -266,7 +262,7 @@ def fit(ready: DataFrame, trees: int, depth: int, least: int, seed: int, local:
         _split_large(binned, grown_trees, first, depth, least, seed, local)
         tasks = max(1, min(2 * ready.sparkSession.sparkContext.defaultParallelism, trees))
         waiting = binned.mapInArrow(_dealt(grown_trees, features, seed), "tree int, node int, depth int, weight int, value double, bins binary, key long")
-        small = waiting.repartition(tasks, "tree", "node").groupBy("tree", "node").applyInArrow(_subtree(first, depth, least), _SUBTREE)
+        small = waiting.repartition(tasks, "tree", "node").groupBy("tree", "node").applyInArrow(_subtree(depth, least), _SUBTREE)
         for part in small.collect():  # trees of at most 2 ** depth nodes
             _graft(grown_trees[part["tree"]], part)
     finally:
@@ -274,11 +270,12 @@ def fit(ready: DataFrame, trees: int, depth: int, least: int, seed: int, local:
     return _arrays(grown_trees, edges)
 
 
-def _split_large(binned: DataFrame, trees: dict[int, _Tree], first: np.ndarray, depth: int, least: int, seed: int, local: int) -> None:
+def _split_large(binned: DataFrame, trees: dict[int, _Tree], first: np.ndarray, depth: int, least: int, seed: int | None, local: int) -> None:
     """Split nodes of more than ``local`` rows, a level at a time."""
     while large := [(t, n) for t, tree in trees.items() for n in tree.open if tree.rows[n] > local and tree.depth[n] < depth]:
-        for at in range(0, len(large), SLOTS):
-            slots = {place: k for k, place in enumerate(large[at : at + SLOTS])}
+        most = max(1, CELLS // int(first[-1]))
+        for at in range(0, len(large), most):
+            slots = {place: k for k, place in enumerate(large[at : at + most])}
             own = {t: trees[t] for t, _ in slots}
             sums = binned.mapInArrow(_histograms(own, slots, first, seed), "slot int, feature int, sums binary")
             splits = sums.groupBy("slot", "feature").applyInArrow(_split_of(least), _SPLITS)
@@ -294,7 +291,7 @@ def _split(tree: _Tree, node: int, b) -> None:
     if b is None or not b["gain"] > 0:
         tree.value[node] = tree.value[node] if b is None or node else (b["value_low"] * b["rows_low"] + b["value_high"] * b["rows_high"]) / max(1.0, b["rows_low"] + b["rows_high"])
         return
-    tree.split[node], tree.bin[node], tree.gain[node] = b["feature"], b["bin"], b["gain"]
+    tree.split[node], tree.bin[node], tree.next[node], tree.gain[node] = b["feature"], b["bin"], b["next"], b["gain"]
     for side in ("low", "high"):
         child = tree.add(tree.depth[node] + 1, b[f"rows_{side}"], b[f"value_{side}"])
         getattr(tree, side)[node] = child
@@ -307,12 +304,12 @@ def _graft(tree: _Tree, part) -> None:
     moved = lambda k: -1 if k < 0 else base + k
     node = part["node"]
     tree.low[node], tree.high[node] = moved(part["low"][0]), moved(part["high"][0])
-    for name in ("split", "bin", "value", "gain"):
+    for name in ("split", "bin", "next", "value", "gain"):
         getattr(tree, name)[node] = part[name][0]
     for k in range(1, len(part["low"])):
         tree.add(0, 0.0, 0.0)
         tree.low[-1], tree.high[-1] = moved(part["low"][k]), moved(part["high"][k])
-        for name in ("split", "bin", "value", "gain"):
+        for name in ("split", "bin", "next", "value", "gain"):
             getattr(tree, name)[-1] = part[name][k]
 
 
@@ -323,7 +320,8 @@ def _arrays(trees: dict[int, _Tree], edges: list[np.ndarray]) -> Forest:
         split = np.array(tree.split, np.int64)
         gain = np.bincount(split[split >= 0], np.array(tree.gain)[split >= 0], len(edges))
         share += gain / gain.sum() if gain.sum() > 0 else 0
-        cut = [edges[f][b] if f >= 0 else np.nan for f, b in zip(tree.split, tree.bin)]
+        # halfway between the values on both sides
+        cut = [(edges[f][a] + edges[f][b]) / 2 if f >= 0 else np.nan for f, a, b in zip(tree.split, tree.bin, tree.next)]
         out.append({
             "low": np.array(tree.low, np.int64), "high": np.array(tree.high, np.int64), "split": split, "cut": np.array(cut, float),
             "value": np.array(tree.value, float), "named": np.zeros(len(split), bool),

@@ -59,6 +59,16 @@ def answers(sensor: str, checked: str, routed: str, ops: str, obs: str, series:
             round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 GROUP BY 1, 2, 3""",
         "tree_samples": """WITH r AS (SELECT count(*) AS n FROM (SELECT DISTINCT o_custkey, year(o_orderdate) FROM orders))
             SELECT CAST(tree AS INTEGER) AS tree, least(256, n) AS n, least(256, n) AS most, CAST(1 AS BIGINT) AS samples FROM r, range(2) t(tree)""",
+        "regression_stump": """WITH f AS (SELECT 0 AS i, 'l_tax' AS feature, l_tax AS v, l_extendedprice AS y FROM lineitem
+              UNION ALL SELECT 1, 'l_quantity', l_quantity, l_extendedprice FROM lineitem UNION ALL SELECT 2, 'l_discount', l_discount, l_extendedprice FROM lineitem),
+            c AS (SELECT i, feature, v AS cut, count(*) AS n, sum(y) AS s FROM f GROUP BY ALL),
+            r AS (SELECT *, lead(cut) OVER b AS past, sum(n) OVER b AS nl, sum(s) OVER b AS sl, sum(n) OVER w AS na, sum(s) OVER w AS sa FROM c
+                  WINDOW b AS (PARTITION BY i ORDER BY cut), w AS (PARTITION BY i))
+            SELECT feature, (cut + past) / 2 AS cut, round(sl / nl, 2) AS value_low, round((sa - sl) / (na - nl), 2) AS value_high, CAST(2 AS BIGINT) AS leaves
+            FROM r WHERE nl < na ORDER BY sl * sl / nl + (sa - sl) * (sa - sl) / (na - nl) DESC, i LIMIT 1""",
+        "importance_facts": f"""WITH {series}, n AS (SELECT country, indicator FROM ser GROUP BY 1, 2 HAVING count(*) >= 4),
+            k AS (SELECT count(DISTINCT country) + count(DISTINCT indicator) + 6 AS k FROM n)
+            SELECT k AS features, CAST(0 AS BIGINT) AS negative, 1.0::DOUBLE AS total, CAST(least(15, k) AS INTEGER) AS top, TRUE AS in_order FROM k""",
         "direction_union": f"""SELECT o_orderkey % {len(_DIRECTED) + 2} AS slot, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
             WHERE o_orderkey % {len(_DIRECTED) + 2} < {len(_DIRECTED)} GROUP BY 1""",
         "registry_entries": f"""WITH {series} SELECT 'forecast' AS kind, 'forecast-2' AS version, count(*) AS rows, count(DISTINCT country) AS countries,

@@ -5,13 +5,14 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicora import vocab
 from indicora.functions import keys
 from indicora.functions.numbers import rounded
-from indicora.learning import isolation, registry
+from indicora.learning import features, forest, histogram_forest, isolation, registry
 from indicora.operators import events, filters, ordered, risk, service
 from indicora.plans import etl, retention, star, views
 from indicora.plans.queries import _now, _routed, _rules, _shown, _stamp, query
@@ -354,6 +355,33 @@ def tree_samples(spark, folder):
     return same.select("tree", "n", "most", "samples")
 
 
+@query
+def regression_stump(spark, folder):
+    """A tree of one split over all line items, from histograms that tasks add up."""
+    lines = views.table(spark, folder, "lineitem").select(
+        F.xxhash64("l_orderkey", "l_linenumber").alias("key"), F.col("l_extendedprice").alias("value"), "l_tax", "l_quantity", "l_discount"
+    )
+    ready = VectorAssembler(inputCols=["l_tax", "l_quantity", "l_discount"], outputCol="features").transform(lines)
+    tree = histogram_forest.fit(ready, 1, 1, 2, None, local=500).trees[0]
+    low, high = tree["low"][0], tree["high"][0]
+    return constant_table(spark, {
+        "feature": [["l_tax", "l_quantity", "l_discount"][tree["split"][0]]], "cut": [float(tree["cut"][0])],
+        "value_low": [round(float(tree["value"][low]), 2)], "value_high": [round(float(tree["value"][high]), 2)], "leaves": [int((tree["low"] < 0).sum())],
+    })
+
+
+@query
+def importance_facts(spark, folder):
+    """What importances must hold: one per name and number, none negative, one in sum, the top ones in order."""
+    annual = views.indicator_series(spark, folder)
+    model = forest.train(features.holdout(features.forecast_frame(annual))[0], trees=8)
+    every = model.importances(spark, top=10_000)
+    top = [r["importance"] for r in model.importances(spark).collect()]
+    return every.agg(
+        F.count(F.lit(1)).alias("features"), F.count_if(F.col("importance") < 0).alias("negative"), F.round(F.sum("importance"), 3).alias("total")
+    ).withColumns({"top": F.lit(len(top)), "in_order": F.lit(top == sorted(top, reverse=True))})
+
+
 @query
 def direction_union(spark, folder):
     """Orders dealt to indicators, counted where either risk profile gives the indicator a direction."""
