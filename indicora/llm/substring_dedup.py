@@ -30,6 +30,8 @@ from indicora.llm.common import Batches, bounded_batches, extended, lists, with_
 from indicora.llm.textbytes import U64, blocks, inside_text, span_hashes, window_hashes, word_spans
 
 NULL_ID = -(1 << 63)
+#: Bytes of text that a range of hashes stands for: some five million windows.
+PART_TEXT = 32 << 20
 #: Windows of one range of hashes, or, without hashes, starts to remove for one share of the ids:
 #: ids, how many of the places belong to each, places.
 PACKED = "part int, hashes binary, ids binary, runs binary, places binary"
@@ -192,10 +194,13 @@ def without_repeated_passages(docs: DataFrame, width: int = 20, parts: int | Non
     """The rows of ``docs`` with their texts cut, and ``n_words`` (before), ``n_removed``.
 
     ``parts``: ranges of hashes, each of which one task holds in memory at a time; unless given,
-    twice as many as the session has shuffle partitions. ``most``: windows a task combines at a time.
+    one for every ``PART_TEXT`` bytes of text, and at least twice as many as the session has shuffle
+    partitions. ``most``: windows a task combines at a time.
     """
     spark = bounded_batches(docs).sparkSession
-    parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not parts:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_TEXT))
     keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__doc"), "text")
     found = (
         keyed.mapInArrow(_windows(width, parts, most), PACKED)

@@ -131,6 +131,16 @@ def test_passages(spark, most):
     assert listed(cut, "doc_id", "text", "n_words", "n_removed") == passages_by_hand(documents(docs), 20)
 
 
+def test_ranges_follow_the_input(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "PART_TEXT", 500)
+    docs = frame(spark)
+    cut = substring_dedup.without_repeated_passages(docs).fillna(NONE, ["doc_id"])
+    assert "part#" in cut._jdf.queryExecution().executedPlan().toString()
+    size = sum(len((t or "").encode()) for t in odd_texts())
+    assert f", {-(-size // 500)})" in cut._jdf.queryExecution().executedPlan().toString()
+    assert listed(cut, "doc_id", "text", "n_words", "n_removed") == passages_by_hand(documents(docs), 20)
+
+
 def near_by_hand(docs, threshold):
     sets, copies = {}, defaultdict(list)
     for i, t in docs:
