@@ -1,10 +1,11 @@
 """Score texts by a log-bilinear neural language model and by smoothed word counts.
 
 Counting covers every training document: tasks combine equal words of a batch, Spark adds them up by
-the whole word. The ``vocabulary`` most frequent words have vectors of their own; all others are the
-class "other", within which a word's probability follows from its count. The model predicts a
-token's vector from those of the two before it (one matrix for each place); a token's probability is
-the softmax, over the whole vocabulary, of its vector's product with the prediction.
+the whole word. The ``vocabulary`` most frequent words have vectors of their own; all other words, seen or
+not, share those of ``classes`` classes by hash, as targets and as contexts. The model predicts a
+token's vector from those of the two before it (one matrix for each place); the probability of a
+frequent word or a class is the softmax, over all of them, of its vector's product with the
+prediction. Within a class a word's probability follows from its count.
 
 Training is noise-contrastive: each partition runs over all its training texts, in numpy, telling
 true tokens from noise drawn by frequency, and sends its parameters, a fixed amount, on; weighted means
@@ -34,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicora.llm.common import Batches, bounded_batches, lists, stored
-from indicora.llm.textbytes import LOWER, U64, blocks, span_hashes, word_spans
+from indicora.llm.textbytes import LOWER, U64, blocks, mixed, span_hashes, word_spans
 
-VOCABULARY, HOT = 1024, 50_000
+VOCABULARY, CLASSES, HOT = 1024, 512, 50_000
 SIZE, NOISE, MINIBATCH, RATE = 16, 64, 2048, 0.1
 _SLOTS = 20
+#: Rounds of training.
+ROUNDS = 1
 
 
 class Lookup:
@@ -84,7 +87,7 @@ def _counts(batches: Batches) -> Batches:
 
 @dataclass
 class Vocabulary:
-    """Frequent words by falling count, and totals over all training tokens."""
+    """Frequent words by falling count, totals over all training tokens, and those of each class."""
 
     hashes: np.ndarray  # of the hot words
     counts: np.ndarray
@@ -92,32 +95,67 @@ class Vocabulary:
     tokens: int
     types: int
     docs: int
+    class_tokens: np.ndarray | None = None  # one class of all other words unless given
+    class_types: np.ndarray | None = None
+
+    def __post_init__(self):
+        if self.class_tokens is None:
+            own = self.counts[: self.size].sum()
+            self.class_tokens = np.array([int(self.tokens - self.docs - own)])
+            self.class_types = np.array([max(0, self.types - (self.docs > 0) - self.size)])
 
     @property
     def other(self) -> int:
+        """The first class."""
         return self.size
 
     @property
     def end(self) -> int:
-        return self.size + 1
+        return self.size + len(self.class_tokens)
 
     @property
     def start(self) -> int:  # context only
-        return self.size + 1
+        return self.end
+
+    @property
+    def targets(self) -> int:
+        """Frequent words, classes, and the end."""
+        return self.end + 1
+
+    def numbers(self, found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Of words by their place among the hot ones (-1: none) and hash: themselves, or their class."""
+        return np.where((found >= 0) & (found < self.size), found, self.size + class_of(hashes, len(self.class_tokens)))
 
     def frequencies(self) -> np.ndarray:
-        """Of words, "other" and the end among training tokens, one added to each."""
-        own = self.counts[: self.size]
-        n = np.r_[own, self.tokens - self.docs - own.sum(), self.docs] + 1.0
+        """Of words, classes and the end among training tokens, one added to each."""
+        n = np.r_[self.counts[: self.size], self.class_tokens, self.docs] + 1.0
         return n / n.sum()
 
-    def rare_total(self) -> int:
-        """N + V + 1 of the words that make up "other"."""
-        return int(self.tokens - self.docs - self.counts[: self.size].sum()) + max(0, self.types - (self.docs > 0) - self.size) + 1
+    def within(self) -> np.ndarray:
+        """log10 of N + V + 1 of each class; the one is for words never seen."""
+        return np.log10(self.class_tokens + self.class_types + 1.0)
+
+
+def class_of(hashes: np.ndarray, classes: int) -> np.ndarray:
+    return (mixed(hashes) % U64(classes)).astype(np.int64)
+
 
+def _class_sums(classes: int):
+    """Tokens and types of a task's words by class."""
 
-def counted(train: DataFrame, vocabulary: int = VOCABULARY, hot: int = HOT) -> tuple[DataFrame, Vocabulary]:
-    """Counts of all training words (word, n), and the frequent ones."""
+    def run(batches: Batches) -> Batches:
+        total = np.zeros((2, classes), np.int64)
+        for batch in batches:
+            own = class_of(word_hashes(batch.column("word").to_pylist()), classes) if len(batch) else np.zeros(0, np.int64)
+            total[0] += np.bincount(own, batch.column("n").to_numpy(), classes).astype(np.int64)
+            total[1] += np.bincount(own, minlength=classes)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes, dtype=np.int32)), pa.array(total[0]), pa.array(total[1])], ["class", "n", "types"])
+
+    return run
+
+
+def counted(train: DataFrame, vocabulary: int = VOCABULARY, hot: int = HOT, classes: int = CLASSES) -> tuple[DataFrame, Vocabulary]:
+    """Counts of all training words (word, n), the frequent ones, and the classes of all others."""
     counts = stored(train.select("text").mapInArrow(_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     docs = train.count()
     words, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -131,7 +169,14 @@ def counted(train: DataFrame, vocabulary: int = VOCABULARY, hot: int = HOT) -> t
     top = counts.where(step >= upper).collect() if held else []
     top = sorted(top, key=lambda r: (-r.n, bytes(r.word)))
     hashes = word_hashes([bytes(r.word) for r in top]) if top else np.zeros(0, U64)
-    return counts, Vocabulary(hashes, np.array([r.n for r in top], np.int64), min(vocabulary, len(top)), words + docs, types + (docs > 0), docs)
+    size, n = min(vocabulary, len(top)), np.array([r.n for r in top], np.int64)
+    classes = classes if words else 1
+    sums = np.zeros((2, classes), np.int64)
+    for row in counts.mapInArrow(_class_sums(classes), "class int, n long, types long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).collect():
+        sums[:, row["class"]] = row.n, row.types
+    own = class_of(hashes[:size], classes)  # frequent words are in no class
+    sums -= np.stack([np.bincount(own, n[:size], classes), np.bincount(own, minlength=classes)]).astype(np.int64)
+    return counts, Vocabulary(hashes, n, size, words + docs, types + (docs > 0), docs, *sums)
 
 
 @dataclass
@@ -145,8 +190,7 @@ class Model:
         return np.concatenate([x.ravel() for x in (self.vectors, self.places, self.targets, self.bias)]).astype(np.float64)
 
     @staticmethod
-    def shaped(flat: np.ndarray, size: int) -> Model:
-        n = size + 2
+    def shaped(flat: np.ndarray, n: int) -> Model:
         cut = np.cumsum([n * SIZE, 2 * SIZE * SIZE, n * SIZE])
         a, b, c, d = np.split(flat.astype(np.float32), cut)
         return Model(a.reshape(n, SIZE), b.reshape(2, SIZE, SIZE), c.reshape(n, SIZE), d)
@@ -154,7 +198,7 @@ class Model:
 
 def initial(vocab: Vocabulary, seed: int = 5) -> Model:
     random = np.random.default_rng(seed)
-    n = vocab.size + 2
+    n = vocab.targets
     small = lambda *shape: random.normal(0, 0.1, shape).astype(np.float32)
     return Model(small(n, SIZE), np.stack([np.eye(SIZE, dtype=np.float32), np.eye(SIZE, dtype=np.float32)]) + small(2, SIZE, SIZE), small(n, SIZE), np.log(vocab.frequencies()).astype(np.float32))
 
@@ -232,9 +276,8 @@ def _learned(shared):
             for slice_, data, offsets in blocks(batch):
                 low = LOWER[data]
                 _, _, doc, h = tokens(low, offsets)
-                number = look(h)
-                number[number < 0] = vocab.other
-                trainer = trainer or Trainer(Model.shaped(flat, vocab.size), vocab, int(h[0] % U64(1 << 32)) if len(h) else 0)
+                number = vocab.numbers(look(h), h)
+                trainer = trainer or Trainer(Model.shaped(flat, vocab.targets), vocab, int(h[0] % U64(1 << 32)) if len(h) else 0)
                 target, one, two, _ = stream(number, doc, len(slice_), vocab)
                 trainer.learn(target, one, two)
                 seen += len(target)
@@ -253,23 +296,25 @@ def _added(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["n", "total"])
 
 
-def trained(train: DataFrame, vocab: Vocabulary) -> Model:
-    """One round over all training texts in every partition; the parameters' weighted mean."""
+def trained(train: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Model:
+    """In each round every partition goes once over all its texts, from the mean of the round before;
+    the parameters' weighted mean goes on."""
     flat = initial(vocab).flat()
-    shared = train.sparkSession.sparkContext.broadcast((vocab, flat))
-    own = train.select("text").mapInArrow(_learned(shared), "n long, total binary")
-    # a few sums, each as large as one model, reach the driver
-    rows = own.repartition(16).mapInArrow(_added, "n long, total binary").collect()
-    if rows:
-        flat = sum(np.frombuffer(bytes(r.total)) for r in rows) / sum(r.n for r in rows)
-    return Model.shaped(flat, vocab.size)
+    for _ in range(rounds):
+        shared = train.sparkSession.sparkContext.broadcast((vocab, flat))
+        own = train.select("text").mapInArrow(_learned(shared), "n long, total binary")
+        # a few sums, each as large as one model, reach the driver
+        rows = own.repartition(16).mapInArrow(_added, "n long, total binary").collect()
+        if rows:
+            flat = sum(np.frombuffer(bytes(r.total)) for r in rows) / sum(r.n for r in rows)
+    return Model.shaped(flat, vocab.targets)
 
 
 class Scorer:
     """Normalised log10 probabilities; each pair of preceding tokens is normalised once."""
 
     def __init__(self, model: Model, vocab: Vocabulary):
-        self.m, self.n = model, vocab.size + 2
+        self.m, self.n = model, vocab.targets
         self.first, self.second = model.vectors @ model.places[0], model.vectors @ model.places[1]
         self.norms = np.full(self.n * self.n, np.nan, np.float32)
 
@@ -286,14 +331,14 @@ class Scorer:
         return scores.astype(np.float64) / np.log(10)
 
 
-SCORED = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, n_other long, hot_sum double, other_sum double, model_sum double, words array<binary>, times array<int>"
+SCORED = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, hot_sum double, other_sum double, model_sum double, words array<binary>, times array<int>"
 
 
 def _scores(shared):
     def run(batches: Batches) -> Batches:
         vocab, model = shared.value
         look, scorer = Lookup(vocab.hashes), Scorer(model, vocab)
-        logs = np.log10(vocab.counts + 1.0)
+        logs, within = np.log10(vocab.counts + 1.0), vocab.within()
         random = np.random.default_rng()
         for batch in batches:
             for slice_, data, offsets in blocks(batch):
@@ -304,7 +349,8 @@ def _scores(shared):
                 hot = number >= 0
                 other = number >= vocab.size
                 add = lambda d, w=None: np.bincount(d, w, n)
-                own = np.where((number < 0) | other, vocab.other, number)
+                own = vocab.numbers(number, h)
+                shared_ = own >= vocab.size
                 target, one, two, owner = stream(own, doc, n, vocab)
                 # rare words: each once per text, with its number
                 rare = np.flatnonzero(~hot)
@@ -317,10 +363,10 @@ def _scores(shared):
                 words = [raw[a:b] for a, b in zip(start[heads].tolist(), end[heads].tolist())]
                 columns = [
                     pa.array(random.integers(-(1 << 63), (1 << 63) - 1, n), pa.int64()), slice_.column("doc_id").cast(pa.int64()), slice_.column("held_out"),
-                    pa.array(add(doc) + 1, pa.int64()), pa.array(add(doc[hot]) + (vocab.docs > 0), pa.int64()), pa.array(add(doc[~hot | other]), pa.int64()),
+                    pa.array(add(doc) + 1, pa.int64()), pa.array(add(doc[hot]) + (vocab.docs > 0), pa.int64()),
                     pa.array(add(doc[hot], logs[number[hot]]) + np.log10(vocab.docs + 1.0), pa.float64()),
                     pa.array(add(doc[other], logs[number[other]]), pa.float64()),
-                    pa.array(add(owner, scorer(target, one, two)), pa.float64()),
+                    pa.array(add(owner, scorer(target, one, two)) - add(doc[shared_], within[own[shared_] - vocab.size]), pa.float64()),
                     lists(words, ends, pa.binary()), lists(times.astype(np.int32), ends),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SCORED.split(", ")])
@@ -328,14 +374,14 @@ def _scores(shared):
     return run
 
 
-def scored(docs: DataFrame, held_out, vocabulary: int = VOCABULARY, hot: int = HOT) -> DataFrame:
+def scored(docs: DataFrame, held_out, vocabulary: int = VOCABULARY, hot: int = HOT, classes: int = CLASSES) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``held_out``: a condition on the rows of ``docs``; the others are learned from.
     """
     rows = bounded_batches(docs).select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     train = rows.where("NOT held_out")
-    counts, vocab = counted(train, vocabulary, hot)
+    counts, vocab = counted(train, vocabulary, hot, classes)
     model = trained(train, vocab)
     shared = docs.sparkSession.sparkContext.broadcast((vocab, model))
     partial = stored(rows.mapInArrow(_scores(shared), SCORED), "scores")
@@ -344,11 +390,10 @@ def scored(docs: DataFrame, held_out, vocabulary: int = VOCABULARY, hot: int = H
         .join(counts, "word").groupBy("key").agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_sum"))
     )
     every = float(np.log10(vocab.tokens + vocab.types + 1.0))
-    within = float(np.log10(vocab.rare_total()))
     known = lambda c: F.coalesce(c, F.lit(0))
     return partial.drop("words", "times").join(rare, "key", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + known("rare_known")).alias("n_known"),
         F.lit(vocab.tokens).cast("long").alias("train_tokens"),
         (F.col("hot_sum") + known("rare_sum") - F.col("n_tokens") * every).alias("base_score"),
-        (F.col("model_sum") + F.col("other_sum") + known("rare_sum") - F.col("n_other") * within).alias("score"),
+        (F.col("model_sum") + F.col("other_sum") + known("rare_sum")).alias("score"),
     )

@@ -280,6 +280,23 @@ def test_probabilities_sum_to_one():
         assert abs(p.sum() - 1) < 1e-5
 
 
+def test_classes_cover_all_other_words(spark):
+    """Words, classes with their words by count, and the unseen: probabilities sum to one."""
+    texts = [prose(k, 40) for k in range(80)]
+    counts, vocab = language_model.counted(frame(spark, texts), vocabulary=30, hot=100, classes=7)
+    c = Counter(w.encode() for t in texts for w in t.translate(LOW).split())
+    top = {w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:30]}
+    own = {w: int(language_model.class_of(language_model.word_hashes([w]), 7)[0]) for w in c if w not in top}
+    assert vocab.class_tokens.tolist() == [sum(c[w] for w in own if own[w] == k) for k in range(7)]
+    assert vocab.class_types.tolist() == [sum(own[w] == k for w in own) for k in range(7)]
+    scorer = language_model.Scorer(language_model.initial(vocab), vocab)
+    p = 10 ** scorer(np.arange(vocab.targets), np.full(vocab.targets, 3), np.full(vocab.targets, vocab.other + 2))
+    inside = [sum(c[w] + 1 for w in own if own[w] == k) + 1 for k in range(7)]
+    assert abs(sum(p[:30]) + sum(p[30:37] * inside / 10 ** vocab.within()) + p[37] - 1) < 1e-5
+    seen = {w: language_model.word_hashes([w]) for w in list(own)[:20]}
+    assert all(vocab.numbers(np.array([-1]), h)[0] == 30 + own[w] for w, h in seen.items())
+
+
 def test_model_beats_counts_on_held_out_texts(spark):
     pick = random.Random(2)
     words = [f"w{k}" for k in range(40)]
