@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from indicora.llm.common import Batches, bounded_batches, lists, stored
 from indicora.llm.textbytes import LOWER, U64, blocks, mixed, span_hashes, word_spans
 
-VOCABULARY, CLASSES, HOT = 1024, 512, 50_000
+VOCABULARY, CLASSES, HOT = 1024, 256, 50_000
 SIZE, NOISE, MINIBATCH, RATE = 16, 64, 2048, 0.1
 _SLOTS = 20
 #: Rounds of training.
@@ -321,11 +321,15 @@ class Scorer:
     def __call__(self, target: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         pair = one * self.n + two
         new = np.unique(pair[np.isnan(self.norms[pair])])
-        for a in range(0, len(new), 2048):
-            k = new[a : a + 2048]
-            scores = (self.first[k // self.n] + self.second[k % self.n]) @ self.m.targets.T + self.m.bias
-            top = scores.max(axis=1)
-            self.norms[k] = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
+        for a in range(0, len(new), 128):  # so few that their scores stay in the processor's cache
+            k = new[a : a + 128]
+            scores = (self.first[k // self.n] + self.second[k % self.n]) @ self.m.targets.T
+            scores += self.m.bias
+            top = np.zeros(len(k), np.float32)
+            if not -60 < scores.min() <= scores.max() < 60:
+                top = scores.max(axis=1)
+                scores -= top[:, None]
+            self.norms[k] = top + np.log(np.exp(scores, out=scores).sum(axis=1))
         guess = self.first[one] + self.second[two]
         scores = np.einsum("ij,ij->i", guess, self.m.targets[target]) + self.m.bias[target] - self.norms[pair]
         return scores.astype(np.float64) / np.log(10)
