@@ -44,6 +44,8 @@ HEADLINE = [
     "error_rate_5min",
     "latency_p95",
     "retention_keep",
+    "deep_page",
+    "regression_stump",
     # trainings and streams
     "forest_metrics",
     "iforest_scores",
