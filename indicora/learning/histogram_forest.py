@@ -4,7 +4,8 @@ Features are cut into at most ``BINS`` bins at quantiles and packed into two byt
 weight per row and tree follows from the row's key. Nodes of many rows are split level by level: tasks
 add up, per node and feature, the rows and sums of every bin, the sums of all tasks meet per node and
 feature, and the best split of each node comes back. A node of at most ``LOCAL`` rows is sent, rows and
-all, to one task that grows the rest of its subtree. So no task holds more than ``LOCAL`` rows of a node
+all, to one task that grows the rest of its subtree; a node at the depth limit is a leaf whose value came
+with the split above it, and its rows are not sent. So no task holds more than ``LOCAL`` rows of a node
 or ``CELLS`` sums, and a small frame costs one shuffle instead of one per level.
 """
 
@@ -26,7 +27,7 @@ LOCAL, CELLS = 50_000, 1 << 22
 _POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, k + 1, dtype=float)) for k in range(12)])
 
 _SUBTREE = "tree int, node int, low array<int>, high array<int>, split array<int>, bin array<int>, next array<int>, value array<double>, gain array<double>"
-_SPLITS = "slot int, feature int, gain double, bin int, next int, rows_low double, rows_high double, value_low double, value_high double"
+_SPLITS = "slot int, feature int, gain double, bin int, next int, rows_low double, rows_high double, value_low double, value_high double, value double"
 
 
 def _bits(keys: np.ndarray, salt: int) -> np.ndarray:
@@ -161,8 +162,8 @@ def _split_of(least: int):
         (n, w, s), (all_n, all_w, all_s) = run[:, cut], run[:, -1]
         ends = int(used[cut]), int(used[min(cut + 1, len(used) - 1)])
         high = (all_s - s) / (all_w - w) if all_w > w else all_s / all_w
-        row = (part.column("slot")[0].as_py(), part.column("feature")[0].as_py(), float(gain[cut]), *ends, n, all_n - n, s / w, high)
-        kinds = (pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32()) + (pa.float64(),) * 4
+        row = (part.column("slot")[0].as_py(), part.column("feature")[0].as_py(), float(gain[cut]), *ends, n, all_n - n, s / w, high, all_s / all_w)
+        kinds = (pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32()) + (pa.float64(),) * 5
         return pa.Table.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], [c.split()[0] for c in _SPLITS.split(", ")])
 
     return run
@@ -263,7 +264,8 @@ def fit(ready: DataFrame, trees: int, depth: int, least: int, seed: int | None,
         tasks = max(1, min(2 * ready.sparkSession.sparkContext.defaultParallelism, trees))
         waiting = binned.mapInArrow(_dealt(grown_trees, features, seed), "tree int, node int, depth int, weight int, value double, bins binary, key long")
         small = waiting.repartition(tasks, "tree", "node").groupBy("tree", "node").applyInArrow(_subtree(depth, least), _SUBTREE)
-        for part in small.collect():  # trees of at most 2 ** depth nodes
+        waits = any(tree.open for tree in grown_trees.values())
+        for part in small.collect() if waits else []:  # trees of at most 2 ** depth nodes
             _graft(grown_trees[part["tree"]], part)
     finally:
         binned.unpersist()
@@ -271,8 +273,8 @@ def fit(ready: DataFrame, trees: int, depth: int, least: int, seed: int | None,
 
 
 def _split_large(binned: DataFrame, trees: dict[int, _Tree], first: np.ndarray, depth: int, least: int, seed: int | None, local: int) -> None:
-    """Split nodes of more than ``local`` rows, a level at a time."""
-    while large := [(t, n) for t, tree in trees.items() for n in tree.open if tree.rows[n] > local and tree.depth[n] < depth]:
+    """Split nodes of more than ``local`` rows, a level at a time. Those at the depth limit are leaves."""
+    while large := [(t, n) for t, tree in trees.items() for n in tree.open if tree.rows[n] > local]:
         most = max(1, CELLS // int(first[-1]))
         for at in range(0, len(large), most):
             slots = {place: k for k, place in enumerate(large[at : at + most])}
@@ -283,19 +285,20 @@ def _split_large(binned: DataFrame, trees: dict[int, _Tree], first: np.ndarray,
             best = splits.groupBy("slot").agg(F.max_by(F.struct(*splits.columns[1:]), order).alias("b")).collect()
             found = {r["slot"]: r["b"] for r in best}
             for (t, node), k in slots.items():
-                _split(trees[t], node, found.get(k))
+                _split(trees[t], node, found.get(k), depth)
 
 
-def _split(tree: _Tree, node: int, b) -> None:
+def _split(tree: _Tree, node: int, b, limit: int) -> None:
     tree.open.remove(node)
-    if b is None or not b["gain"] > 0:
-        tree.value[node] = tree.value[node] if b is None or node else (b["value_low"] * b["rows_low"] + b["value_high"] * b["rows_high"]) / max(1.0, b["rows_low"] + b["rows_high"])
+    if b is None or tree.depth[node] >= limit or not b["gain"] > 0:
+        tree.value[node] = tree.value[node] if b is None or node else b["value"]
         return
     tree.split[node], tree.bin[node], tree.next[node], tree.gain[node] = b["feature"], b["bin"], b["next"], b["gain"]
     for side in ("low", "high"):
         child = tree.add(tree.depth[node] + 1, b[f"rows_{side}"], b[f"value_{side}"])
         getattr(tree, side)[node] = child
-        tree.open.append(child)
+        if tree.depth[child] < limit:
+            tree.open.append(child)
 
 
 def _graft(tree: _Tree, part) -> None:

@@ -100,6 +100,19 @@ def test_trees_split_by_level_equal_local_ones(spark):
         assert (tree["split"][0], tree["cut"][0]) == (best[1], best[2] + 0.5)
 
 
+def test_leaves_at_the_depth_limit_send_no_rows(spark, monkeypatch):
+    """A large node at the limit is a leaf; its value comes from the split above it."""
+    rows = [(k, Vectors.dense([float(k % 40), float(k % 7)]), float(k % 40 >= 25) * 10 + k % 7) for k in range(2_000)]
+    frame = spark.createDataFrame(rows, ["key", "features", "value"])
+    whole = [histogram_forest.fit(frame, 2, depth, 2, 5) for depth in (0, 1, 2)]
+    monkeypatch.setattr(histogram_forest, "_dealt", lambda *_: pytest.fail("rows sent") if any(t.open for t in _[0].values()) else lambda batches: iter(()))
+    for depth, same in zip((0, 1, 2), whole):
+        by_level = histogram_forest.fit(frame, 2, depth, 2, 5, local=100)
+        assert [len(t["low"]) for t in by_level.trees] == [2 ** (depth + 1) - 1] * 2
+        for a, b in zip(by_level.trees, same.trees):
+            assert _leaves(a) == _leaves(b) and len(_leaves(a)) == 2**depth
+
+
 def test_drift(spark, annual):
     baseline = features.indicator_statistics(features.with_changes(annual))
     details = features.drift_details(annual, baseline)
