@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicora import vocab
 from indicora.functions.numbers import rounded
-from indicora.functions.quantiles import exact_quantiles
+from indicora.functions.quantiles import exact_quantiles, magnitude_bucket
 from indicora.scaling import constant_table
 
 
@@ -126,6 +128,47 @@ def window_latency_sketch(
     )
 
 
+def latency_counts(events: DataFrame, latency: str, width: str = "5 minutes") -> DataFrame:
+    """How often each latency occurs in each tumbling window (also valid on a stream).
+
+    A hot window's state is spread over its values. Columns: window_start, latency, n.
+    """
+    return (
+        events.groupBy(F.window("observed_at", width).alias("w"), F.col(latency).cast("double").alias("latency"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col("w.start").alias("window_start"), "latency", "n")
+    )
+
+
+def window_latency_of_counts(counts: DataFrame, limit: float = 2.0, p: str = "0.95") -> DataFrame:
+    """Exact percentile per window from ``latency_counts``: the smallest value of rank ceil(p * n).
+
+    Nulls are events without a latency; NaN ranks last. Totals per magnitude find the bucket that holds
+    the rank, and only that bucket's values are put in order, so no task orders a whole window.
+    """
+    v, far = F.col("latency"), F.lit(1 << 62)
+    bucket = F.when(F.isnan(v), far + 1).when(v == float("inf"), far).when(v == float("-inf"), -far).otherwise(magnitude_bucket(v))
+    valued = counts.withColumn("_b", bucket)
+    totals = valued.groupBy("window_start", "_b").agg(F.sum("n").alias("_bn"))
+    of_window = Window.partitionBy("window_start")
+    known = F.when(F.col("_b").isNotNull(), F.col("_bn"))
+    upto = F.sum(known).over(of_window.orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1))
+    ranked = totals.select(
+        "window_start", F.col("_b").alias("_wb"), known.alias("_known"), F.sum("_bn").over(of_window).alias("events"),
+        F.coalesce(upto, F.lit(0)).alias("_start"),
+        F.ceil(F.sum(known).over(of_window).cast("decimal(20,0)") * F.lit(Decimal(p))).cast("long").alias("_rank"),
+    )
+    # a window without any latency keeps its row
+    holds = F.when(F.col("_rank").isNull(), True).otherwise((F.col("_start") < F.col("_rank")) & (F.col("_rank") <= F.col("_start") + F.col("_known")))
+    wanted = ranked.where(holds).select(F.col("window_start").alias("_w"), "_wb", "events", "_start", "_rank")
+    same = (F.col("window_start") == F.col("_w")) & F.col("_b").eqNullSafe(F.col("_wb"))
+    upto_value = Window.partitionBy("window_start").orderBy("latency").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = valued.join(wanted, same).withColumn("_to", F.col("_start") + F.sum("n").over(upto_value))
+    at_rank = F.min(F.when(F.col("_to") >= F.col("_rank"), F.col("latency")))
+    found = near.groupBy("window_start", "events").agg(at_rank.alias("p95"))
+    return found.withColumn("alerting", F.col("p95") > limit)
+
+
 def window_growth(
     letters: DataFrame, at: str, minutes: int = 5, look_back: int = 3, factor: float = 2.0, least: int = 10, lateness: str | None = None
 ) -> DataFrame:

@@ -150,7 +150,7 @@ def corrected_replay(spark, folder):
 # --- service windows ----------------------------------------------------------------------------------
 @query
 def latency_stream(spark, folder):
-    """95th percentiles of a stream's windows, in four runs; the last windows are still open."""
+    """Exact 95th percentiles of a stream's windows, in four runs; the last windows are still open."""
     from indicora.streaming import alert_flow
 
     root = scratch_path(spark, "latency-stream")
@@ -162,10 +162,8 @@ def latency_stream(spark, folder):
         signals.where(quarter == part).write.mode("append").parquet(f"{root}/incoming")
         incoming = spark.readStream.schema(signals.schema).parquet(f"{root}/incoming")
         rows = views.as_ops_events(incoming).withColumn("latency", F.col("value") / 100)
-        windows = alert_flow.windowed_latency(rows, "latency", "10 minutes", "1 hour", 2.0, 10_000)
-        flow = windows.writeStream.option("checkpointLocation", f"{root}/progress").trigger(availableNow=True)
-        flow.format("parquet").start(f"{root}/windows").awaitTermination()
-    found = spark.read.parquet(f"{root}/windows")
+        alert_flow.start_latency(rows, "latency", f"{root}/windows", f"{root}/progress", "10 minutes", "1 hour", 2.0).awaitTermination()
+    found = alert_flow.latency_table(spark, f"{root}/windows")
     return found.select(_shown(F.col("window_start")).alias("window_start"), "events", rounded("p95", 6).alias("p95"), "alerting")
 
 

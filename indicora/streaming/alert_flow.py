@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from indicora.operators import alerts
-from indicora.operators.service import window_growth, window_health, window_latency_sketch
+from indicora.operators.service import latency_counts, window_growth, window_health, window_latency_of_counts, window_latency_sketch
+from indicora.sources.tables import exists
 from indicora.streaming.keyed_state import KeyedState
 
 
@@ -93,6 +94,39 @@ def windowed_latency(
     return window_latency_sketch(events.withWatermark("observed_at", lateness), latency, width, limit, accuracy)
 
 
+_LATENCY = "window_start timestamp, events long, p95 double, alerting boolean, batch_id long"
+
+
+def start_latency(
+    events: DataFrame, latency: str, root: str, checkpoint: str, lateness: str = "10 minutes", width: str = "5 minutes", limit: float = 2.0, *, available_now: bool = True
+) -> StreamingQuery:
+    """Exact 95th percentile per event-time window of a stream, written when the window closes.
+
+    The state holds how often each latency occurred in each window the watermark left open. All
+    counts of a window leave it in one micro-batch, whose folder a second run replaces.
+    """
+    counts = latency_counts(events.withWatermark("observed_at", lateness), latency, width)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()  # evicted from the state once, read twice
+        try:
+            window_latency_of_counts(kept, limit).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        finally:
+            kept.unpersist()
+
+    writer = counts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def latency_table(spark: SparkSession, root: str) -> DataFrame:
+    """Closed windows of ``start_latency``; none before its first batch."""
+    if not exists(spark, root):
+        return spark.createDataFrame([], _LATENCY).drop("batch_id")
+    return spark.read.schema(_LATENCY).option("basePath", root).parquet(root).drop("batch_id")
+
+
 def windowed_growth(letters: DataFrame, lateness: str = "10 minutes", **rule) -> DataFrame:
     """Jumps in the number of dead letters of a stream with ``failed_at``."""
     return window_growth(letters, "failed_at", lateness=lateness, **rule)

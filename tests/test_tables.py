@@ -253,6 +253,32 @@ def test_sketched_percentiles_are_within_their_error(spark):
         assert len(own) == r["events"] and abs(rank - 0.95 * len(own)) <= len(own) / 200 + 1
 
 
+def test_percentiles_of_a_stream_are_exact_in_large_windows(spark, tmp_path):
+    """Windows of more events than a sketch keeps; nulls, infinities, and windows without a latency."""
+    from indicora.streaming import alert_flow
+
+    at = F.timestamp_seconds(F.lit(1_700_000_400) + F.col("id") % 3 * 3600 + F.col("id") % 3000)
+    value = F.when(F.col("id") % 3 == 2, None).when(F.col("id") % 50 == 7, None).when(F.col("id") % 1000 == 1, float("inf")).otherwise(F.xxhash64("id") % 40_000 / 7.0)
+    rows = spark.range(90_000).select(at.alias("observed_at"), value.alias("v"))
+    newer = spark.range(1).select(F.timestamp_seconds(F.lit(1_700_100_000)).alias("observed_at"), F.lit(1.0).alias("v"))
+    for part in (rows.where("v < 100"), rows.where("v IS NULL OR v >= 100"), newer):
+        part.write.mode("append").parquet(str(tmp_path / "in"))
+    incoming = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    root = str(tmp_path / "windows")
+    assert alert_flow.latency_table(spark, root).count() == 0
+    alert_flow.start_latency(incoming, "v", root, str(tmp_path / "progress"), width="1 hour").awaitTermination()
+    got = {r["window_start"]: (r["events"], r["p95"], r["alerting"]) for r in alert_flow.latency_table(spark, root).collect()}
+    held: dict = {}
+    for r in rows.select(F.window("observed_at", "1 hour").start.alias("w"), "v").collect():
+        held.setdefault(r["w"], []).append(r["v"])
+    want = {}
+    for w, values in held.items():
+        known = sorted(v for v in values if v is not None)
+        p95 = known[-(-95 * len(known) // 100) - 1] if known else None
+        want[w] = (len(values), p95, None if p95 is None else p95 > 2.0)
+    assert got == want and len(want) >= 3 and None in {p for _, p, _ in want.values()}
+
+
 def test_growth_of_dead_letters(spark):
     per_window = {0: 4, 1: 4, 2: 4, 3: 12, 4: 12, 5: 12, 6: 12, 20: 3, 30: 50}
     rows = [(60 * 5 * w + k % 300,) for w, n in per_window.items() for k in range(n)]
