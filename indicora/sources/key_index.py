@@ -74,8 +74,12 @@ class KeyIndex:
             if e["batches"] != [[batch, batch]] and (zones is None or not e["zones"].keys().isdisjoint(zones))
         ]
 
-    def known(self, asked: DataFrame, batch: int | None = None) -> DataFrame:
-        """Rows (zone, key) of ``asked`` whose key was added in the same zone by another batch."""
+    def known(self, asked: DataFrame, batch: int | None = None, kept: list[DataFrame] | None = None) -> DataFrame:
+        """Rows (zone, key) of ``asked`` whose key was added in the same zone by another batch.
+
+        Keys that pass the marks are needed here and again in the answer. With ``kept`` they are
+        persisted and added to it; the caller unpersists them when the answer has been used.
+        """
         asked = asked.select("zone", F.col("key").cast("string").alias("key"))
         found = [r["zone"] for r in asked.select("zone").distinct().limit(MOST_ZONES + 1).collect()]
         zones = None if len(found) > MOST_ZONES else found
@@ -84,6 +88,8 @@ class KeyIndex:
         if not marks:
             return self.spark.createDataFrame([], "zone string, key string")
         suspects = self._suspects(asked, entries, marks, zones)
+        if kept is not None:
+            kept.append(suspects.persist())
         places = suspects.select("zone", _part().alias("part")).distinct()
         wanted = None if zones is None else {(r["zone"], r["part"]) for r in places.collect()}
         paths = self.key_paths(entries, wanted)

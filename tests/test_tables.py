@@ -136,6 +136,26 @@ def test_a_load_reads_no_facts_and_can_break_off(spark, tmp_path, monkeypatch):
     assert star.facts(spark, root, "fact_health") is None
 
 
+def test_a_load_computes_its_rows_once(spark, tmp_path):
+    """Dimensions, keys and facts come from one pass over rows that may be costly to make."""
+    shape = "event_id string, station_id string, country string, timestamp string, temperature_c double, humidity_pct double, rainfall_mm double, seq long"
+    for load in range(2):
+        made = spark.sparkContext.accumulator(0)
+
+        def counted(batches, made=made):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+
+        ids = range(load * 50, load * 50 + 100)
+        rows = spark.createDataFrame([(f"e{i}", "TH-BKK-01", "Laos", f"2026-07-{i % 28 + 1:02}T09:15:30Z", 1.0, 2.0, 3.0, i) for i in ids], shape)
+        told = star.load_weather(spark, rows.mapInArrow(counted, shape), str(tmp_path), ["seq"], load).first()
+        assert tuple(told) == ((100, 100, 0), (100, 50, 50))[load] and made.value == 100
+    assert star.facts(spark, str(tmp_path), "fact_weather").select("event_id").distinct().count() == 150
+    # a day's rows are not dealt over many small files
+    assert max(len(list(p.glob("*.parquet"))) for p in tmp_path.glob("fact_weather/*/date_key=*")) == 1
+
+
 # --- keyed state
 def test_state_writes_what_changed(spark, tmp_path):
     schema = spark.createDataFrame([], "k string, v long").schema
