@@ -68,7 +68,7 @@ def route_batch(
         return
     book = ledger(spark, root)
     valid = parsed.where(passes(rules)).select(F.col("event_day").alias("zone"), event_fingerprint().alias("key"))
-    known = book.known(valid, batch_id)
+    known = book.known(valid, batch_id, kept := [])
     marked = events.routed(
         parsed,
         rules,
@@ -84,8 +84,8 @@ def route_batch(
             writer.parquet(f"{root}/{name}/batch_id={batch_id}")
 
         for outcome in ("accepted", "duplicate"):
-            rows = marked.where(F.col("outcome") == outcome)
-            write(rows.select("fingerprint", *events.EVENT_COLUMNS, "event_day"), outcome, "event_day")
+            rows = marked.where(F.col("outcome") == outcome).select("fingerprint", *events.EVENT_COLUMNS, "event_day")
+            write(rows.hint("rebalance", "event_day"), outcome, "event_day")  # not one small file per task and day
         place = F.concat_ws("#", "file_path", "block", "row")
         again = events.retries(
             marked.withColumn("place", place), failed_at, keep=["raw", "place"]
@@ -96,8 +96,8 @@ def route_batch(
         book.add(first.select(F.col("event_day").alias("zone"), F.col("fingerprint").alias("key")), batch_id)
         book.compact(LEDGER_FOLDERS)
     finally:
-        marked.unpersist()
-        parsed.unpersist()
+        for held in (marked, parsed, *kept):
+            held.unpersist()
 
 
 def start(

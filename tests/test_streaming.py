@@ -60,6 +60,20 @@ def test_rerun_of_a_batch_changes_nothing(spark, tmp_path):
     assert (got["accepted"], got["duplicate"]) == (2, 2)
 
 
+def test_a_day_of_a_batch_is_one_file(spark, tmp_path):
+    """Tasks don't each write a file for every day; what was known before is a duplicate all the same."""
+    root = str(tmp_path / "out")
+    _put(tmp_path / "in", "a", [_line(n % 300) for n in range(400)])
+    lines = json_lines.read_lines(spark, str(tmp_path / "in"))
+    for batch_id in (0, 1):
+        event_flow.route_batch(lines, batch_id, root, json_lines.line_rules())
+    got = event_flow.counts(spark, root).first()
+    assert (got["accepted"], got["duplicate"]) == (300, 500)
+    for name, batch_id in (("accepted", 0), ("duplicate", 0), ("duplicate", 1)):
+        days = list((tmp_path / "out" / name / f"batch_id={batch_id}").glob("event_day=*"))
+        assert len(days) == 5 and all(len(list(d.glob("*.parquet"))) == 1 for d in days)
+
+
 def test_due_retries_come_back_once(spark, tmp_path):
     incoming = tmp_path / "in"
     _put(incoming, "a", [_line(1, humidity_pct=101), _line(2)])
