@@ -131,20 +131,22 @@ def window_latency_sketch(
 def latency_counts(events: DataFrame, latency: str, width: str = "5 minutes") -> DataFrame:
     """How often each latency occurs in each tumbling window (also valid on a stream).
 
-    A hot window's state is spread over its values. Columns: window_start, latency, n.
+    A hot window's rows are spread over its values. Columns: window_start, latency, n and, in microseconds,
+    ends (the window's end) and latest (the newest time of these events).
     """
     return (
         events.groupBy(F.window("observed_at", width).alias("w"), F.col(latency).cast("double").alias("latency"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("window_start"), "latency", "n")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("observed_at").alias("latest"))
+        .select(F.col("w.start").alias("window_start"), "latency", "n", F.unix_micros(F.col("w.end")).alias("ends"), F.unix_micros("latest").alias("latest"))
     )
 
 
 def window_latency_of_counts(counts: DataFrame, limit: float = 2.0, p: str = "0.95") -> DataFrame:
     """Exact percentile per window from ``latency_counts``: the smallest value of rank ceil(p * n).
 
-    Nulls are events without a latency; NaN ranks last. Totals per magnitude find the bucket that holds
-    the rank, and only that bucket's values are put in order, so no task orders a whole window.
+    Counts of the same latency add up. Nulls are events without a latency; NaN ranks last. Totals per
+    magnitude find the bucket that holds the rank, and only that bucket's values are put in order, so
+    no task orders a whole window.
     """
     v, far = F.col("latency"), F.lit(1 << 62)
     bucket = F.when(F.isnan(v), far + 1).when(v == float("inf"), far).when(v == float("-inf"), -far).otherwise(magnitude_bucket(v))

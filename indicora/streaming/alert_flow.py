@@ -9,6 +9,9 @@ reads the state before it and replaces its own output.
 
 from __future__ import annotations
 
+import uuid
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from indicora.operators import alerts
 from indicora.operators.service import latency_counts, window_growth, window_health, window_latency_of_counts, window_latency_sketch
+from indicora.sources.commits import Commits
 from indicora.sources.tables import exists
 from indicora.streaming.keyed_state import KeyedState
 
@@ -95,6 +99,49 @@ def windowed_latency(
 
 
 _LATENCY = "window_start timestamp, events long, p95 double, alerting boolean, batch_id long"
+MOST_FOLDERS = 16  # of counts for the open windows, before a batch merges them
+
+
+def close_windows(batch: DataFrame, batch_id: int, latency: str, root: str, lateness: int, width: str, limit: float) -> None:
+    """Store a batch's counts and write the windows that its newest event closes.
+
+    ``lateness`` in microseconds. A window is closed when it ends at or before the watermark, the
+    newest time so far less the lateness; events of closed windows are late and dropped.
+    """
+    spark, state = batch.sparkSession, f"{root}/_open"
+    log = Commits(spark, state)
+    entries = log.entries()
+    known = [e for e in entries if e["batch"] < batch_id]
+    if batch_id > 0 and (not known or known[-1]["batch"] != batch_id - 1):
+        raise FileNotFoundError(f"counts of the batch before are missing: {state}, batch {batch_id - 1}")
+    closed = known[-1]["watermark"] if known else None
+    is_open = F.lit(True) if closed is None else F.col("ends") > closed
+    merged = max((k for k, e in enumerate(known) if e["merged"]), default=0)
+    used = [e for e in known[merged:] if e["until"] is not None and (closed is None or e["until"] > closed)]
+
+    counts = latency_counts(batch, latency, width).where(is_open)
+    held = spark.read.schema(counts.schema).parquet(*[e["folder"] for e in used]).where(is_open) if used else None
+    merge = len(used) >= MOST_FOLDERS
+    if merge:
+        both = counts.unionByName(held).groupBy("window_start", "ends", "latency")
+        counts, held = both.agg(F.sum("n").alias("n"), F.max("latest").alias("latest")).select(*counts.columns), None
+    folder = f"{state}/counts-{uuid.uuid4().hex}"
+    counts.sortWithinPartitions("ends").write.parquet(folder)  # a reader of few windows skips the others' pages
+    counts = spark.read.schema(counts.schema).parquet(folder)
+    latest, until = counts.agg(F.max("latest"), F.max("ends")).first()
+    reached = [t for t in (closed, None if latest is None else latest - lateness) if t is not None]
+    watermark = max(reached, default=None)
+
+    held = counts if held is None else held.unionByName(counts)
+    closing = held.where(F.lit(False) if watermark == closed else F.col("ends") <= watermark)
+    window_latency_of_counts(closing, limit).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+    # this batch may run again from the counts before it
+    kept = [*(e for e in known[:-1] if e in used), *known[-1:]]
+    entry = {"folder": folder, "batch": batch_id, "watermark": watermark, "until": until, "merged": merge}
+    log.commit(lambda _: [*kept, entry])
+    for e in entries:
+        if e not in kept:
+            log.delete(e["folder"])
 
 
 def start_latency(
@@ -102,19 +149,18 @@ def start_latency(
 ) -> StreamingQuery:
     """Exact 95th percentile per event-time window of a stream, written when the window closes.
 
-    The state holds how often each latency occurred in each window the watermark left open. All
-    counts of a window leave it in one micro-batch, whose folder a second run replaces.
+    How often each latency occurred in the open windows is kept in files, of which a batch adds one
+    folder: a state store would hold them in the executors' memory. Folders below ``root``:
+    batch_id=<n> (the windows that batch closed, replaced by a second run) and _open (the counts;
+    ``vacuum`` removes what runs that broke off left there).
     """
-    counts = latency_counts(events.withWatermark("observed_at", lateness), latency, width)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()  # evicted from the state once, read twice
-        try:
-            window_latency_of_counts(kept, limit).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
-        finally:
-            kept.unpersist()
-
-    writer = counts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    zero = "TIMESTAMP_NTZ'1970-01-01'"
+    delay = lateness if lateness.strip().lower().startswith("interval") else f"INTERVAL {lateness}"
+    micros = events.sparkSession.sql(f"SELECT {zero} + {delay} - {zero}").first()[0] // timedelta(microseconds=1)
+    watched = events.withWatermark("observed_at", lateness)  # for the flow's progress reports
+    writer = watched.writeStream.foreachBatch(
+        lambda batch, batch_id: close_windows(batch, batch_id, latency, root, micros, width, limit)
+    ).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

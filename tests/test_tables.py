@@ -299,6 +299,61 @@ def test_percentiles_of_a_stream_are_exact_in_large_windows(spark, tmp_path):
     assert got == want and len(want) >= 3 and None in {p for _, p, _ in want.values()}
 
 
+def test_open_windows_of_a_latency_stream_take_no_memory(spark, tmp_path):
+    """A state store would hold a row per latency of the open windows in the executors' heap."""
+    from indicora.streaming import alert_flow
+
+    at = F.timestamp_seconds(F.lit(1_700_006_400) + F.col("id") % 7200)
+    spark.range(40_000).select(at.alias("observed_at"), (F.col("id") / 8.0).alias("v")).write.parquet(str(tmp_path / "in"))
+    incoming = spark.readStream.schema("observed_at timestamp, v double").parquet(str(tmp_path / "in"))
+    flow = alert_flow.start_latency(incoming, "v", str(tmp_path / "windows"), str(tmp_path / "progress"), width="1 day")
+    flow.awaitTermination()
+    assert sum(p["numInputRows"] for p in flow.recentProgress) == 40_000
+    held = [o["numRowsTotal"] for p in flow.recentProgress for o in p["stateOperators"]]
+    assert max(held, default=0) < 1_000
+    assert alert_flow.latency_table(spark, str(tmp_path / "windows")).count() == 0  # the only window is open
+
+
+@pytest.mark.parametrize("most", [16, 2])
+def test_windows_of_a_latency_stream_close_over_batches(spark, tmp_path, monkeypatch, most):
+    """Late events, batches without events, a batch that runs again, times before 1970, counts merged or not."""
+    from indicora.streaming import alert_flow
+
+    monkeypatch.setattr(alert_flow, "MOST_FOLDERS", most)
+    root, hour, delay = str(tmp_path / "windows"), 3600, 600
+    batches = [
+        [(-9000, 7.0), (-9000, 8.0), (100, 1.0), (3500, None), (3599, 3.0)],
+        [],
+        [(3000, 2.5), (200, 9.0), (4100, 0.5)],  # the first hour is still open
+        [(7199, 4.0), (-8000, 1.0), (3599, 50.0)],  # the last two are open, the one before is late
+        [(3700, 4.5), (10, 99.0), (7300, 1.0), (7800, float("nan"))],  # the second is late
+        [(3700, 1e6), (7400, 6.0), (11_000, 1.0)],  # the first is late
+        [(90_000, 1.0)],
+    ]
+    held, want, watermark, read = {}, {}, None, []
+    for k, rows in enumerate(batches):
+        frame = spark.createDataFrame([(float(t), v) for t, v in rows], "t double, v double")
+        frame = frame.select(F.timestamp_seconds("t").alias("observed_at"), "v")
+        for _ in range(2 if k in (3, 5) else 1):  # the second run replaces the first
+            alert_flow.close_windows(frame, k, "v", root, delay * 1_000_000, "1 hour", 2.0)
+        for t, v in rows:
+            if watermark is None or t // hour * hour + hour > watermark:
+                held.setdefault(t // hour * hour, []).append(v)
+        watermark = max([t - delay for t, _ in rows] + ([] if watermark is None else [watermark]))
+        for w in [w for w in held if w + hour <= watermark]:
+            values = held.pop(w)
+            known = sorted((v for v in values if v is not None), key=lambda v: (v != v, v))
+            want[w] = (len(values), repr(known[-(-95 * len(known) // 100) - 1]))
+        read.append(Commits(spark, f"{root}/_open").entries())
+    got = alert_flow.latency_table(spark, root).select(F.unix_seconds("window_start").alias("w"), "events", "p95").collect()
+    assert {r["w"]: (r["events"], repr(r["p95"])) for r in got} == want and len(got) == len(want) == 5
+    assert max(map(len, read)) <= most + 2 and any(e["merged"] for r in read for e in r) == (most == 2)
+    left = {e["folder"] for e in Commits(spark, f"{root}/_open").entries()}
+    assert {f"{root}/_open/{p.name}" for p in (tmp_path / "windows" / "_open").glob("counts-*")} == left
+    with pytest.raises(FileNotFoundError):
+        alert_flow.close_windows(frame, len(batches) + 1, "v", root, delay * 1_000_000, "1 hour", 2.0)
+
+
 def test_growth_of_dead_letters(spark):
     per_window = {0: 4, 1: 4, 2: 4, 3: 12, 4: 12, 5: 12, 6: 12, 20: 3, 30: 50}
     rows = [(60 * 5 * w + k % 300,) for w, n in per_window.items() for k in range(n)]
